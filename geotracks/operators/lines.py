@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from geotracks.functions import geometry as geo
-from geotracks.session import checkpoint
+from geotracks.session import materialize
 
 #: Vertices of one line a task handles at a time when it needs neighbours.
 CHUNK = 8192
@@ -44,36 +44,66 @@ def merge_lines(vertices: DataFrame, keys: Sequence[str]) -> MergedLines:
     A merged line runs in the direction of most of its parts; a closed one starts at its
     first part. Parts of one point are no lines and drop out.
     """
-    keys = list(keys)
-    parts = checkpoint(track_parts(vertices, keys).where("points > 1"))
-    placed = checkpoint(_place_parts(parts, keys))
-    lines = placed.groupBy(*keys, "line_no").agg(
-        (F.sum(F.col("points") - 1) + 1).alias("points"),
-        F.min_by(F.when(F.col("forward"), F.col("sx")).otherwise(F.col("ex")), "before").alias("sx"),
-        F.min_by(F.when(F.col("forward"), F.col("sy")).otherwise(F.col("ey")), "before").alias("sy"),
-        F.max_by(F.when(F.col("forward"), F.col("ex")).otherwise(F.col("sx")), "before").alias("ex"),
-        F.max_by(F.when(F.col("forward"), F.col("ey")).otherwise(F.col("sy")), "before").alias("ey"),
+    parts = materialize(track_parts(vertices, keys))
+    placed = place_parts(parts, keys)
+    return MergedLines(
+        place_vertices(vertices, placed, [*keys, "seg_no"], keys), line_table(placed, keys)
+    )
+
+
+def line_table(placed: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per merged line: keys, line_no, size, end points, closed."""
+    first = lambda a, b: F.min_by(F.when(F.col("forward"), F.col(a)).otherwise(F.col(b)), "before")
+    last = lambda a, b: F.max_by(F.when(F.col("forward"), F.col(a)).otherwise(F.col(b)), "before")
+    return (
+        placed.groupBy(*keys, "line_no")
+        .agg(
+            (F.sum(F.col("points") - 1) + 1).alias("points"),
+            first("sx", "ex").alias("sx"),
+            first("sy", "ey").alias("sy"),
+            last("ex", "sx").alias("ex"),
+            last("ey", "sy").alias("ey"),
+        )
+        .withColumn("closed", (F.col("sx") == F.col("ex")) & (F.col("sy") == F.col("ey")))
     )
-    closed = (F.col("sx") == F.col("ex")) & (F.col("sy") == F.col("ey"))
+
+
+def place_vertices(
+    vertices: DataFrame, placed: DataFrame, on: Sequence[str], keys: Sequence[str]
+) -> DataFrame:
+    """Vertices renumbered along their merged line; ``on`` joins a vertex to its part."""
     spots = placed.select(
-        *keys, "seg_no", "line_no", "forward", "before", F.col("points").alias("part_points")
+        *dict.fromkeys([*on, *keys]),
+        "line_no",
+        "forward",
+        "before",
+        F.col("points").alias("part_points"),
     )
     inside = F.when(F.col("forward"), F.col("pt_no")).otherwise(
         F.col("part_points") - F.col("pt_no") + 1
     )
-    renumbered = (
-        vertices.join(spots, [*keys, "seg_no"])
+    return (
+        vertices.select(*on, "pt_no", "x", "y")
+        .join(spots, list(on))
         .withColumn("inside", inside)
         # The joint belongs to the part before it.
         .where("before = 0 OR inside > 1")
         .select(*keys, "line_no", (F.col("before") + F.col("inside")).alias("pt_no"), "x", "y")
     )
-    return MergedLines(renumbered, lines.withColumn("closed", closed))
 
 
-def _place_parts(parts: DataFrame, keys: list[str]) -> DataFrame:
-    """Adds line_no (lowest part of the line), direction and points-before to each part."""
+def place_parts(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Adds line_no (lowest part of the line), direction and points-before to each part.
+
+    ``parts`` should be a stored table; it is read several times. So is the result.
+    """
+    keys = list(keys)
+    parts = parts.where("points > 1")
     longest = parts.groupBy(*keys).count().agg(F.max("count")).first()[0] or 1
+    if longest == 1:
+        return parts.withColumns(
+            {"line_no": F.col("seg_no"), "forward": F.lit(True), "before": F.lit(0).cast("long")}
+        )
     states = _walk(_steps(parts, keys), keys, math.ceil(math.log2(longest)))
 
     # Both directions of a part side by side; the walk back tells what lies before it.
@@ -117,7 +147,6 @@ def _place_parts(parts: DataFrame, keys: list[str]) -> DataFrame:
         .otherwise(F.col("vote") > 0)
     )
     forward = F.col("along") == keep_way
-    way = F.when(forward, F.col("fwd")).otherwise(F.col("rev"))
     to_lowest = F.when(forward, F.col("fwd.lowest_at")).otherwise(F.col("rev.lowest_at"))
     opposite_span = F.when(forward, F.col("rev.span")).otherwise(F.col("fwd.span"))
     before = F.when(
@@ -128,12 +157,11 @@ def _place_parts(parts: DataFrame, keys: list[str]) -> DataFrame:
     ).otherwise(opposite_span - F.col("edges"))
     placed = (
         chained.join(chains, [*keys, "chain"])
-        .withColumn("way", way)
         .select(
             *keys, "seg_no", "line_no", forward.alias("forward"), before.cast("long").alias("before")
         )
     )
-    return parts.join(placed, [*keys, "seg_no"])
+    return materialize(parts.join(placed, [*keys, "seg_no"]))
 
 
 def _steps(parts: DataFrame, keys: list[str]) -> DataFrame:
@@ -205,43 +233,43 @@ def _walk(steps: DataFrame, keys: list[str], rounds: int) -> DataFrame:
             .alias("lowest_at"),
         )
         if done % 3 == 0 and done < rounds:
-            states = checkpoint(states)
+            states = materialize(states)
     return states
 
 
-def close_lines(merged: MergedLines, keys: Sequence[str]) -> tuple[MergedLines, DataFrame]:
-    """Close open single lines by repeating their start point.
-
-    A track that stays in several parts, not all closed, has no ring: its vertices go, and
-    its keys are returned as the second value.
-    """
-    keys = list(keys)
-    shape = merged.lines.groupBy(*keys).agg(
-        F.count("*").alias("parts"), F.min("closed").alias("all_closed")
+def broken_tracks(lines: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys of tracks that stay in several lines, not all closed: they have no ring."""
+    return (
+        lines.groupBy(*keys)
+        .agg(F.count("*").alias("parts"), F.min("closed").alias("all_closed"))
+        .where("parts > 1 AND NOT all_closed")
+        .select(*keys)
     )
-    rejected = shape.where("parts > 1 AND NOT all_closed").select(*keys)
-    open_single = merged.lines.where("NOT closed").join(
-        shape.where("parts = 1"), keys, "left_semi"
+
+
+def closing_vertices(lines: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The start point again, one past the end, for every track that is one open line."""
+    single = lines.groupBy(*keys).agg(
+        F.count("*").alias("parts"),
+        *[F.first(c).alias(c) for c in ("line_no", "points", "sx", "sy", "closed")],
     )
-    closing = open_single.select(
+    return single.where("parts = 1 AND NOT closed").select(
         *keys,
         "line_no",
         (F.col("points") + 1).alias("pt_no"),
         F.col("sx").alias("x"),
         F.col("sy").alias("y"),
     )
-    kept = merged.vertices.join(rejected, keys, "left_anti").unionByName(closing)
-    lines = merged.lines.join(rejected, keys, "left_anti").select(
-        *keys,
-        "line_no",
-        (F.col("points") + (~F.col("closed")).cast("int")).alias("points"),
-        "sx",
-        "sy",
-        F.col("sx").alias("ex"),
-        F.col("sy").alias("ey"),
-        F.lit(True).alias("closed"),
-    )
-    return MergedLines(kept, lines), rejected
+
+
+def close_lines(merged: MergedLines, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Vertices with open single lines closed, and the keys of tracks that have no ring.
+
+    The vertices of those tracks are left out.
+    """
+    broken = broken_tracks(merged.lines, keys)
+    kept = merged.vertices.join(broken, list(keys), "left_anti")
+    return kept.unionByName(closing_vertices(merged.lines, keys)), broken
 
 
 def ring_sums(vertices: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -1,31 +1,36 @@
-"""Session helpers shared by the jobs."""
+"""Cutting lineage safely."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Materialize ``df`` in the reliable checkpoint folder and cut its lineage.
+def materialize(df: DataFrame) -> DataFrame:
+    """``df`` written once as parquet in the shared checkpoint folder, and read back.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``. A local folder is
-    set only for a local-mode session that names none, as in tests.
+    For intermediate tables that are read several times. It survives lost executors, and
+    later joins see the true size, so a side is broadcast only when it is really small.
     """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    return df.checkpoint(eager=True)
+    path = f"{work_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
+def work_folder(spark: SparkSession) -> str:
+    """The folder the cluster names in ``spark.checkpoint.dir``.
+
+    Only a local-mode session that names none gets one of its own, as in tests.
+    """
     context = spark.sparkContext
-    if context.getCheckpointDir() is not None:
-        return
-    configured = context.getConf().get("spark.checkpoint.dir")
-    if configured:
-        context.setCheckpointDir(configured)
-    elif context.master.startswith("local"):
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="geotracks-checkpoint-"))
-    else:
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    if context.getCheckpointDir() is None:
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if configured:
+            context.setCheckpointDir(configured)
+        elif context.master.startswith("local"):
+            context.setCheckpointDir(tempfile.mkdtemp(prefix="geotracks-"))
+        else:
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return context.getCheckpointDir()
