@@ -77,43 +77,51 @@ def merge_features(
         notices += ("compare is ignored: the layouts differ",)
         compare = False
 
-    fields = [c for c in target.columns if c in layout.columns and c != fid]
+    in_source = {c.lower() for c in layout.columns}
+    fields = [c for c in target.columns if c.lower() in in_source and c != fid]
+    written = fields if select is None else [c for c in fields if c in select]
+    recast = [c for c in written if source.schema[_named(source, c)].dataType != target.schema[c].dataType]
     rows = source.select(
         F.col(order_by).alias("_seq"),
         F.col(fid).alias("_src_fid"),
         _key(source, target, on or fid, source).alias("_key"),
-        F.struct(*fields).alias("_row"),
+        F.struct(*[F.col(c).alias(c) for c in fields]).alias("_row"),
     )
     first = _first_per_key(target, on or fid, fid, fields, source, keep_row=compare)
-    summary = _summarize(rows, first, mode, compare, dry_run)
-    plan = _actions(summary, mode, dry_run)
 
-    appends = plan.where("appends > 0").select(
-        F.col("_src_fid"), "_seq", F.col("_value").alias("_row"), "appends"
-    )
-    failed = None
-    if preserve_fid:
-        taken = target.select(F.col(fid).alias("_src_fid"))
-        failed = appends.join(taken, "_src_fid", "left_semi")
-        appends = appends.join(taken, "_src_fid", "left_anti")
-    writes = plan.where("updates > 0 AND _target_fid IS NOT NULL").select(
-        F.col("_target_fid").alias(fid), F.col("_value").alias("_row"), "updates"
-    )
-    bad_casts = _bad_casts(writes, target, select) if select else None
-
-    rejects = _rejects(failed, writes, bad_casts, fid, target.sparkSession)
-    if not skip_failures and (failed is not None or bad_casts is not None):
-        _raise_first(rejects)
-    good = writes.where(~bad_casts) if bad_casts is not None else writes
-
-    counts = _counts(plan, rejects)
-    if dry_run:
-        features = target
-    else:
-        features = _updated(target, good, fid, fields if select is None else select).unionByName(
-            _appended(target, appends, fid, fields, preserve_fid)
-        )
-    return MergeResult(features, counts, rejects, notices)
+    rejects = []
+    if preserve_fid and on is not None and mode != "update_only" and not dry_run:
+        taken = _taken_fids(rows, first, target, fid)
+        rows = rows.join(taken.select("_seq"), "_seq", "left_anti")
+        rejects.append(_reject(taken, F.col("_src_fid"), "append", "fid is taken", F.lit(1)))
+    plan = _actions(_summarize(rows, first, mode, compare, dry_run), mode, dry_run)
+    writes = plan.where("updates > 0 AND _target_fid IS NOT NULL")
+    appends = plan.where("appends > 0")
+    if recast and not dry_run:
+        bad = _does_not_fit(recast, target)
+        reason = "value does not fit the target type"
+        rejects.append(_reject(writes.where(bad), F.col("_target_fid"), "update", reason, F.col("updates")))
+        rejects.append(_reject(appends.where(bad), F.col("_src_fid"), "append", reason, F.col("appends")))
+        writes, appends = writes.where(~bad), appends.where(~bad)
+    rejected = target.sparkSession.createDataFrame([], _REJECTS)
+    for part in rejects:
+        rejected = rejected.unionByName(part)
+    if rejects and not skip_failures:
+        _raise_first(rejected)
+
+    features = target
+    if not dry_run:
+        features = _updated(target, writes, fid, written)
+        if mode != "update_only":
+            features = features.unionByName(_appended(target, appends, fid, fields, preserve_fid))
+    return MergeResult(features, _counts(plan, rejected), rejected, notices)
+
+
+_REJECTS = "fid long, action string, reason string, features long"
+
+
+def _named(df: DataFrame, name: str) -> str:
+    return next(c for c in df.columns if c.lower() == name.lower())
 
 
 def _check(source, target, on, mode, select) -> tuple[str, ...]:
@@ -223,39 +231,43 @@ def _actions(summary: DataFrame, mode: str, dry_run: bool) -> DataFrame:
     return summary.withColumns({"updates": updates.cast("long"), "appends": appends.cast("long")})
 
 
-def _bad_casts(writes: DataFrame, target: DataFrame, select: Sequence[str]) -> Column:
-    """True where a chosen value is there but cannot become the target's type."""
+def _taken_fids(rows: DataFrame, first: DataFrame, target: DataFrame, fid: str) -> DataFrame:
+    """Rows that would be appended under a fid the target already has.
+
+    They fail until a row of the same key comes through; rows after it are updates.
+    """
+    unmatched = rows.join(first.select("_key"), "_key", "left_anti")
+    known = target.select(F.col(fid).alias("_src_fid"))
+    through = (
+        unmatched.where("_key IS NOT NULL")
+        .join(known, "_src_fid", "left_anti")
+        .groupBy("_key")
+        .agg(F.min("_seq").alias("_through"))
+    )
+    return (
+        unmatched.join(known, "_src_fid", "left_semi")
+        .join(through, "_key", "left")
+        .where("_through IS NULL OR _seq < _through")
+        .select("_seq", "_src_fid")
+    )
+
+
+def _does_not_fit(columns: Sequence[str], target: DataFrame) -> Column:
+    """True where a value is there but cannot become the target's type."""
     bad = F.lit(False)
-    for name in select:
-        value = F.col("_row")[name]
+    for name in columns:
+        value = F.col("_value")[name]
         bad = bad | (value.isNotNull() & value.try_cast(target.schema[name].dataType).isNull())
     return bad
 
 
-def _rejects(failed, writes, bad_casts, fid, spark) -> DataFrame:
-    parts = [spark.createDataFrame([], "fid long, action string, reason string, features long")]
-    if failed is not None:
-        parts.append(
-            failed.select(
-                F.col("_src_fid").cast("long").alias("fid"),
-                F.lit("append").alias("action"),
-                F.lit("fid is taken").alias("reason"),
-                F.col("appends").alias("features"),
-            )
-        )
-    if bad_casts is not None:
-        parts.append(
-            writes.where(bad_casts).select(
-                F.col(fid).cast("long").alias("fid"),
-                F.lit("update").alias("action"),
-                F.lit("value does not fit the target type").alias("reason"),
-                F.col("updates").alias("features"),
-            )
-        )
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+def _reject(df: DataFrame, fid: Column, action: str, reason: str, features: Column) -> DataFrame:
+    return df.select(
+        fid.cast("long").alias("fid"),
+        F.lit(action).alias("action"),
+        F.lit(reason).alias("reason"),
+        features.cast("long").alias("features"),
+    )
 
 
 def _raise_first(rejects: DataFrame) -> None:
@@ -264,28 +276,33 @@ def _raise_first(rejects: DataFrame) -> None:
         raise ValueError(f"{worst['action']} of fid {worst['fid']} failed: {worst['reason']}")
 
 
-def _counts(plan: DataFrame, rejects: DataFrame) -> DataFrame:
+def _counts(plan: DataFrame, rejected: DataFrame) -> DataFrame:
     total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
     made = plan.agg(total("updates").alias("_u"), total("appends").alias("_a"))
-    lost = rejects.agg(
+    lost = rejected.agg(
         total(F.when(F.col("action") == "update", F.col("features"))).alias("failed_updates"),
         total(F.when(F.col("action") == "append", F.col("features"))).alias("failed_appends"),
+        # Taken fids left the plan before it was counted; misfits are still in it.
+        total(F.when(F.col("reason") != "fid is taken", F.col("features"))
+              * (F.col("action") == "append").cast("int")).alias("_misfit_appends"),
     )
-    # Both sides are one aggregate row.
+    # Each side is one aggregate row.
     return made.join(lost, F.lit(True)).select(
         (F.col("_u") - F.col("failed_updates")).alias("updated"),
-        (F.col("_a") - F.col("failed_appends")).alias("appended"),
+        (F.col("_a") - F.col("_misfit_appends")).alias("appended"),
         "failed_updates",
         "failed_appends",
     )
 
 
 def _updated(target: DataFrame, writes: DataFrame, fid: str, fields: Sequence[str]) -> DataFrame:
-    hits = writes.select(fid, F.struct("_row").alias("_hit"))
+    hits = writes.select(F.col("_target_fid").alias(fid), F.struct("_value").alias("_hit"))
     joined = target.join(hits, fid, "left")
     return joined.select(
         *[
-            F.when(F.col("_hit").isNotNull(), F.col("_hit._row")[c].try_cast(target.schema[c].dataType))
+            F.when(
+                F.col("_hit").isNotNull(), _as(F.col("_hit._value")[c], target.schema[c].dataType)
+            )
             .otherwise(F.col(c))
             .alias(c)
             if c in fields
@@ -296,16 +313,23 @@ def _updated(target: DataFrame, writes: DataFrame, fid: str, fields: Sequence[st
 
 
 def _appended(target, appends, fid, fields, preserve_fid) -> DataFrame:
+    fid_type = target.schema[fid].dataType
     values = [
-        (F.col("_row")[c] if c in fields else F.lit(None)).cast(target.schema[c].dataType).alias(c)
+        _as(F.col("_value")[c] if c in fields else F.lit(None), target.schema[c].dataType).alias(c)
         for c in target.columns
         if c != fid
     ]
     if preserve_fid:
-        fresh = appends.select(F.col("_src_fid").cast(target.schema[fid].dataType).alias(fid), *values)
+        fresh = appends.select(F.col("_src_fid").cast(fid_type).alias(fid), *values)
     else:
         start = target.agg(F.max(fid)).first()[0] or 0
-        fresh = number_rows(appends.select("_seq", "_row"), ["_seq"], name="_ordinal").select(
-            (F.lit(start) + F.col("_ordinal")).cast(target.schema[fid].dataType).alias(fid), *values
-        )
+        numbered = number_rows(appends.select("_seq", "_value"), ["_seq"], name="_ordinal")
+        fresh = numbered.select((F.lit(start) + F.col("_ordinal")).cast(fid_type).alias(fid), *values)
     return fresh.select(*target.columns)
+
+
+def _as(value: Column, data_type: T.DataType) -> Column:
+    """Values that do not fit were rejected before, so nothing is lost here."""
+    if isinstance(data_type, (T.StructType, T.ArrayType, T.MapType)):
+        return value.cast(data_type)
+    return value.try_cast(data_type)
