@@ -245,7 +245,7 @@ _DRY_COMPARED = (
 
 _SITE_REST = "store_name, site_name, site_number, altitude, gatewidth, ownername, comments, countrygeofeature_id, adm1geofeature_id, adm2geofeature_id"
 _BOUNDARY_OK = "geom_type = 'MultiPolygon' AND srid = 4326 AND try_cast(adm0_code AS DECIMAL(9, 0)) IS NOT NULL"
-_BOUNDARY = f"""SELECT ogc_fid, status, CAST(str_year AS DOUBLE) AS str_year,
+_BOUNDARY = f"""SELECT CAST(ogc_fid AS BIGINT) AS ogc_fid, status, CAST(str_year AS DOUBLE) AS str_year,
   CAST(exp_year AS DOUBLE) AS exp_year, disp_area, CAST(adm0_code AS DOUBLE) AS adm0_code, adm0_name,
   CAST(shape_leng AS DOUBLE) AS shape_leng, CAST(shape_area AS DOUBLE) AS shape_area,
   geom_type, srid, minx, miny, maxx, maxy
@@ -276,14 +276,14 @@ CHECKS: dict[str, str] = {
     "plot_tracks": _with("heads") + "SELECT batch_no, ogc_fid, name FROM heads WHERE kind = 'plot'",
     "plot_area_key": _with("heads") + "SELECT batch_no, ogc_fid, name, area_key FROM heads",
     "line_merge_ordered": _with("shapes")
-    + "SELECT batch_no, ogc_fid, lines, points, closed FROM shapes",
+    + "SELECT batch_no, ogc_fid, CAST(lines AS BIGINT) AS lines, points, closed FROM shapes",
     "ring_close": _with("shapes")
     + """SELECT batch_no, ogc_fid, ring_points AS points, true AS closed,
            round(hectares, 4) AS hectares FROM shapes WHERE ring_points IS NOT NULL""",
     "area_upsert": _upsert("area", "fid, name AS area_id", "fx_exclude_areas"),
     "plot_upsert": _upsert("plot", "fid, area_id, name AS plot_id", "fx_exclude_plots"),
     "import_rejects": _with("heads", "shapes")
-    + """SELECT kind, name, 'parts do not join' AS reason, 1 AS tracks
+    + """SELECT kind, name, 'parts do not join' AS reason, CAST(1 AS BIGINT) AS tracks
          FROM heads JOIN shapes USING (batch_no, ogc_fid)
          WHERE kind IS NOT NULL AND batch_no = 2 AND ring_points IS NULL""",
     "new_names_not_in": _with("heads")
@@ -322,7 +322,7 @@ CHECKS: dict[str, str] = {
            round(miny + (r.range + 1) * 0.05, 9) AS maxy, 5 AS points
          FROM frame, range(0, nx) c, range(0, ny) r""",
     "mercator_points": _with("pts")
-    + """SELECT batch_no, ogc_fid, seg_no, pt_no, round(mx, 3) AS mx, round(my, 3) AS my FROM pts""",
+    + """SELECT batch_no, ogc_fid, seg_no, CAST(pt_no AS BIGINT) AS pt_no, round(mx, 3) AS mx, round(my, 3) AS my FROM pts""",
     "merge_default": _with("fx_source", "fx_target", "last_fid")
     + """SELECT t.fid, CASE WHEN s.fid IS NULL THEN t.code ELSE s.code END AS code,
            coalesce(s.label, t.label) AS label, coalesce(s.val, t.val) AS val,
@@ -347,7 +347,7 @@ CHECKS: dict[str, str] = {
            AND coalesce(v.code, 'null ' || v.seq) = coalesce(f.code, 'null ' || f.seq)
          WHERE f.rn = 1 AND f.t_fid IS NULL AND f.fid NOT IN (SELECT fid FROM fx_target)""",
     "merge_rejects": _with("walk")
-    + """SELECT fid, 'append' AS action, 'fid is taken' AS reason, 1 AS features
+    + """SELECT fid, 'append' AS action, 'fid is taken' AS reason, CAST(1 AS BIGINT) AS features
          FROM walk WHERE rn = 1 AND t_fid IS NULL AND fid IN (SELECT fid FROM fx_target)""",
     "merge_counts": _with("walk") + _counts(*_PLAIN, "false"),
     "merge_compare": _with("walk") + _counts(*_COMPARED, "true"),
@@ -364,8 +364,8 @@ CHECKS: dict[str, str] = {
             AND latitude <> '' AND longitude <> ''""",
     "boundary_load": _with("fx_boundaries") + _BOUNDARY,
     "boundary_rejects": _with("fx_boundaries")
-    + f"""SELECT ogc_fid, CASE WHEN geom_type <> 'MultiPolygon' THEN 'geometry type'
-            ELSE 'adm0_code' END AS reason, 1 AS features
+    + f"""SELECT CAST(ogc_fid AS BIGINT) AS ogc_fid, CASE WHEN geom_type <> 'MultiPolygon' THEN 'geometry type'
+            ELSE 'adm0_code' END AS reason, CAST(1 AS BIGINT) AS features
           FROM fx_boundaries WHERE NOT ({_BOUNDARY_OK})""",
     "boundary_filter": _with("fx_boundaries")
     + f"SELECT * FROM ({_BOUNDARY}) WHERE adm0_code = 6",

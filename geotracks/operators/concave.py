@@ -6,7 +6,9 @@ small rings, whatever its number of points, and one task digs its outline:
 
 * start from the convex hull of everything;
 * take the longest edge a-b, and the free point c nearest to it (least |ac| + |cb|);
-* replace a-b by a-c-b if both new edges are shorter and cross no outline or cell edge;
+* replace a-b by a-c-b if both new edges are shorter and cross no outline or cell edge, else
+  leave the edge as it is (so a cave wider than its mouth is not entered, and no triangle is
+  cut out of a single cell, whose inner points are not at hand);
 * stop a given hull when its area is at or below the wanted share of the convex area.
 
 No cell hull is ever cut, so each hull contains every point; it lies inside the convex
@@ -101,6 +103,7 @@ def dig(
     follow[last] = last - cell_sizes + 1
     walls = np.flatnonzero(follow != np.arange(len(x)))
     wall_from, wall_to = walls, follow[walls]
+    cell = np.repeat(np.arange(len(cell_sizes)), cell_sizes)
 
     lower, upper = chains(np.zeros(len(x), dtype=np.int8), x, y)
     ring = np.concatenate([lower, upper[1:-1][::-1]])
@@ -135,14 +138,14 @@ def dig(
             break
         to_a = np.hypot(x[free] - x[a], y[free] - y[a])
         to_b = np.hypot(x[free] - x[b], y[free] - y[b])
-        near = (np.maximum(to_a, to_b) < -length) & (np.minimum(to_a, to_b) > 0)
+        turns = _turn(x, y, a, b, free)
+        near = (np.maximum(to_a, to_b) < -length) & (np.minimum(to_a, to_b) > 0) & (turns >= 0)
         if not near.any():
             continue
-        options = free[near]
-        pick = np.lexsort((y[options], x[options], (to_a + to_b)[near]))[0]
-        c = int(options[pick])
-        turn = _turn(x, y, a, b, c)
-        if turn < 0:
+        options = np.flatnonzero(near)
+        pick = options[np.lexsort((y[free[near]], x[free[near]], (to_a + to_b)[near]))[0]]
+        c, turn = int(free[pick]), turns[pick]
+        if cell[a] == cell[b] == cell[c]:
             continue
         rim = np.flatnonzero(after >= 0)
         froms = np.concatenate([rim, wall_from])
