@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from geotracks.session import materialize
+
 _POINT = T.StructType(
     [T.StructField("_lat", T.DoubleType()), T.StructField("_lon", T.DoubleType())]
 )
@@ -33,7 +35,7 @@ def read_gpx(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     Files are parsed where they are read, one task per file at most.
     """
     raw = spark.read.format("xml").schema(_TRACK).options(**_OPTIONS).load(path)
-    return split_gpx(tag_files(raw))
+    return split_gpx(store_rows(_with_file(raw)))
 
 
 def stream_gpx_rows(
@@ -43,21 +45,24 @@ def stream_gpx_rows(
     stream = spark.readStream.format("xml").schema(_TRACK).options(**_OPTIONS)
     if files_per_batch is not None:
         stream = stream.option("maxFilesPerTrigger", files_per_batch)
-    return tag_files(stream.option("pathGlobFilter", "*.gpx").load(folder))
+    return _with_file(stream.option("pathGlobFilter", "*.gpx").load(folder))
+
 
+def _with_file(raw: DataFrame) -> DataFrame:
+    """Adds the file path, by which files are ordered."""
+    return raw.select("*", F.col("_metadata.file_path").alias("src"))
 
-def tag_files(raw: DataFrame) -> DataFrame:
-    """Adds the file path, by which files are ordered, and a number in file order.
+
+def store_rows(raw: DataFrame) -> DataFrame:
+    """Parsed rows, numbered in file order and stored, so that files are parsed once.
 
     Rows of one file are read in order by one task, so the number follows the file.
     """
-    return raw.select("*", F.col("_metadata.file_path").alias("src")).withColumn(
-        "ogc_fid", F.monotonically_increasing_id() + 1
-    )
+    return materialize(raw.withColumn("ogc_fid", F.monotonically_increasing_id() + 1))
 
 
 def split_gpx(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Vertices of whole files, and the names of broken ones."""
+    """Vertices of whole files, and the names of broken ones, from stored rows."""
     broken = raw.where(F.col(_CORRUPT).isNotNull()).groupBy("src").agg(
         F.lit("file cannot be read").alias("reason")
     )

@@ -9,8 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from geotracks.plans.importer import import_tracks
 from geotracks.schemas import TRACK_VERTICES
-from geotracks.session import materialize
-from geotracks.sources.gpx import split_gpx, stream_gpx_rows
+from geotracks.sources.gpx import split_gpx, store_rows, stream_gpx_rows
 from geotracks.sources.store import TrackStore
 
 
@@ -43,8 +42,7 @@ def stream_gpx(
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        # The files are parsed once; the import reads their vertices twice.
-        vertices, broken = split_gpx(materialize(batch))
+        vertices, broken = split_gpx(store_rows(batch))
         broken.write.mode("overwrite").parquet(f"{store.base}/broken_files/version={batch_id}")
         import_batch(store, vertices, batch_id, keep_clazz)
 
