@@ -99,42 +99,44 @@ def place_parts(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
     """
     keys = list(keys)
     parts = parts.where("points > 1")
-    longest = parts.groupBy(*keys).count().agg(F.max("count")).first()[0] or 1
+    longest = parts.groupBy(*keys).count().agg(F.max("count")).collect()[0][0] or 1
     if longest == 1:
         return parts.withColumns(
             {"line_no": F.col("seg_no"), "forward": F.lit(True), "before": F.lit(0).cast("long")}
         )
     states = _walk(_steps(parts, keys), keys, math.ceil(math.log2(longest)))
 
-    # Both directions of a part side by side; the walk back tells what lies before it.
-    side = lambda even: F.first(
-        F.when(
-            (F.col("state") % 2 == 0) == F.lit(even),
-            F.struct("last", "span", "lowest", "lowest_at", F.col("ahead").isNotNull().alias("loop")),
-        ),
-        ignorenulls=True,
-    )
+    # Both directions of a part side by side (f: forward, b: backward); the walk back tells
+    # what lies before it. Plain long columns, so that every aggregate is a hash aggregate.
+    sided = [
+        F.max(F.when(F.col("state") % 2 == odd, F.col(c))).alias(f"{side}_{c}")
+        for odd, side in ((0, "f"), (1, "b"))
+        for c in ("last", "span", "lowest", "lowest_at")
+    ]
     both = states.groupBy(*keys, F.shiftright("state", 1).cast("int").alias("seg_no")).agg(
-        side(True).alias("fwd"), side(False).alias("rev"), F.max("edges").alias("edges")
+        *sided, F.max("edges").alias("edges"), F.max(F.col("ahead").isNotNull()).alias("loop")
     )
-    flip = lambda state: state.bitwiseXOR(F.lit(1).cast("long"))
-    there = F.struct(flip(F.col("rev.last")).alias("a"), F.col("fwd.last").alias("b"))
-    back = F.struct(flip(F.col("fwd.last")).alias("a"), F.col("rev.last").alias("b"))
-    chained = both.select(
-        "*",
-        F.when(
-            F.col("fwd.loop"),
-            F.struct(
-                F.shiftright("fwd.lowest", 1).alias("a"), F.lit(-1).cast("long").alias("b")
+    # A chain is named by its end states in the direction whose name is lower, a loop by its
+    # lowest part; ``along`` tells if the part runs forward in that direction.
+    flip = lambda c: F.col(c).bitwiseXOR(F.lit(1).cast("long"))
+    lower = (flip("b_last") < flip("f_last")) | (
+        (flip("b_last") == flip("f_last")) & (F.col("f_last") <= F.col("b_last"))
+    )
+    along = F.when(F.col("loop"), F.col("f_lowest") % 2 == 0).otherwise(lower)
+    loop_at = F.shiftright(F.least("f_lowest", "b_lowest"), 1)
+    chained = both.withColumns(
+        {
+            "along": along,
+            "chain_from": F.when(F.col("loop"), loop_at).otherwise(
+                F.when(lower, flip("b_last")).otherwise(flip("f_last"))
             ),
-        )
-        .otherwise(F.least(there, back))
-        .alias("chain"),
-        F.when(F.col("fwd.loop"), F.col("fwd.lowest") % 2 == 0)
-        .otherwise(there <= back)
-        .alias("along"),
+            "chain_to": F.when(F.col("loop"), F.lit(-1).cast("long")).otherwise(
+                F.when(lower, F.col("f_last")).otherwise(F.col("b_last"))
+            ),
+        }
     )
-    chains = chained.groupBy(*keys, "chain").agg(
+    chain = [*keys, "chain_from", "chain_to"]
+    chains = chained.groupBy(*chain).agg(
         F.min("seg_no").alias("line_no"),
         F.min_by("along", "seg_no").alias("first_along"),
         F.sum(F.when(F.col("along"), 1).otherwise(-1)).alias("vote"),
@@ -142,58 +144,50 @@ def place_parts(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
     # In a loop "along" already means: the way its lowest part runs forward.
     keep_way = (
-        F.when(F.col("fwd.loop"), F.lit(True))
+        F.when(F.col("loop"), F.lit(True))
         .when(F.col("vote") == 0, F.col("first_along"))
         .otherwise(F.col("vote") > 0)
     )
     forward = F.col("along") == keep_way
-    to_lowest = F.when(forward, F.col("fwd.lowest_at")).otherwise(F.col("rev.lowest_at"))
-    opposite_span = F.when(forward, F.col("rev.span")).otherwise(F.col("fwd.span"))
+    to_lowest = F.when(forward, F.col("f_lowest_at")).otherwise(F.col("b_lowest_at"))
+    opposite_span = F.when(forward, F.col("b_span")).otherwise(F.col("f_span"))
     before = F.when(
-        F.col("fwd.loop"),
+        F.col("loop"),
         F.when(F.col("seg_no") == F.col("line_no"), F.lit(0)).otherwise(
             F.col("chain_edges") - to_lowest
         ),
     ).otherwise(opposite_span - F.col("edges"))
-    placed = (
-        chained.join(chains, [*keys, "chain"])
-        .select(
-            *keys, "seg_no", "line_no", forward.alias("forward"), before.cast("long").alias("before")
-        )
+    placed = chained.join(chains, chain).select(
+        *keys, "seg_no", "line_no", forward.alias("forward"), before.cast("long").alias("before")
     )
     return materialize(parts.join(placed, [*keys, "seg_no"]))
 
 
 def _steps(parts: DataFrame, keys: list[str]) -> DataFrame:
     """Walking states of each part (``2 * seg_no`` forward, ``+ 1`` backward) and their next."""
-    end = lambda name, x, y: F.struct(
-        F.lit(name).alias("end"), F.col(x).alias("px"), F.col(y).alias("py")
+    forward = F.col("seg_no").cast("long") * 2
+    # A part end is named by the state that leaves through it.
+    end = lambda state, x, y: F.struct(
+        state.alias("exit"), F.col(x).alias("px"), F.col(y).alias("py")
     )
     ends = parts.select(
-        *keys, "seg_no", F.explode(F.array(end(0, "sx", "sy"), end(1, "ex", "ey"))).alias("e")
-    ).select(*keys, "seg_no", "e.*")
+        *keys, F.explode(F.array(end(forward, "ex", "ey"), end(forward + 1, "sx", "sy"))).alias("e")
+    ).select(*keys, "e.*")
     nodes = (
         ends.groupBy(*keys, "px", "py")
-        .agg(
-            F.count("*").alias("degree"),
-            F.min(F.struct("seg_no", "end")).alias("p"),
-            F.max(F.struct("seg_no", "end")).alias("q"),
-        )
-        .where("degree = 2 AND p.seg_no <> q.seg_no")
+        .agg(F.count("*").alias("degree"), F.min("exit").alias("p"), F.max("exit").alias("q"))
+        .where("degree = 2 AND shiftright(p, 1) <> shiftright(q, 1)")
     )
-    # Leaving by the end (1) is the forward state; entering by the start (0) is too.
-    leave = lambda e: F.col(f"{e}.seg_no").cast("long") * 2 + (1 - F.col(f"{e}.end"))
-    enter = lambda e: F.col(f"{e}.seg_no").cast("long") * 2 + F.col(f"{e}.end")
-    step = lambda a, b: F.struct(leave(a).alias("state"), enter(b).alias("ahead"))
+    # Leaving through one end, a walk enters by the other: against the state that leaves there.
+    turned = lambda c: F.col(c).bitwiseXOR(F.lit(1).cast("long")).alias("ahead")
+    step = lambda a, b: F.struct(F.col(a).alias("state"), turned(b))
     links = nodes.select(
         *keys, F.explode(F.array(step("p", "q"), step("q", "p"))).alias("s")
     ).select(*keys, "s.*")
     states = parts.select(
         *keys,
         (F.col("points") - 1).alias("edges"),
-        F.explode(
-            F.array(F.col("seg_no").cast("long") * 2, F.col("seg_no").cast("long") * 2 + 1)
-        ).alias("state"),
+        F.explode(F.array(forward, forward + 1)).alias("state"),
     )
     return states.join(links, [*keys, "state"], "left")
 

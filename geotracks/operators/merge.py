@@ -93,7 +93,7 @@ def merge_features(
     if preserve_fid and on is not None and mode != "update_only" and not dry_run:
         taken = _taken_fids(rows, first, target, fid)
         rows = rows.join(taken.select("_seq"), "_seq", "left_anti")
-        rejects.append(_reject(taken, F.col("_src_fid"), "append", "fid is taken", F.lit(1)))
+        rejects.append(_reject(taken, F.col("_src_fid"), "append", _TAKEN, F.lit(1)))
     plan = _actions(_summarize(rows, first, mode, compare, dry_run), mode, dry_run)
     writes = plan.where("updates > 0 AND _target_fid IS NOT NULL")
     appends = plan.where("appends > 0")
@@ -117,6 +117,7 @@ def merge_features(
     return MergeResult(features, _counts(plan, rejected), rejected, notices)
 
 
+_TAKEN = "fid is taken"
 _REJECTS = "fid long, action string, reason string, features long"
 
 
@@ -277,22 +278,24 @@ def _raise_first(rejects: DataFrame) -> None:
 
 
 def _counts(plan: DataFrame, rejected: DataFrame) -> DataFrame:
-    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
-    made = plan.agg(total("updates").alias("_u"), total("appends").alias("_a"))
-    lost = rejected.agg(
-        total(F.when(F.col("action") == "update", F.col("features"))).alias("failed_updates"),
-        total(F.when(F.col("action") == "append", F.col("features"))).alias("failed_appends"),
-        # Taken fids left the plan before it was counted; misfits are still in it.
-        total(F.when(F.col("reason") != "fid is taken", F.col("features"))
-              * (F.col("action") == "append").cast("int")).alias("_misfit_appends"),
+    zero = F.lit(0).cast("long")
+    action = lambda name: F.when(F.col("action") == name, F.col("features")).otherwise(0)
+    planned = plan.select(
+        F.col("updates").alias("updated"),
+        F.col("appends").alias("appended"),
+        zero.alias("failed_updates"),
+        zero.alias("failed_appends"),
     )
-    # Each side is one aggregate row.
-    return made.join(lost, F.lit(True)).select(
-        (F.col("_u") - F.col("failed_updates")).alias("updated"),
-        (F.col("_a") - F.col("_misfit_appends")).alias("appended"),
-        "failed_updates",
-        "failed_appends",
+    # Rows with a taken fid left before the plan was made; misfits are still counted in it.
+    in_plan = (F.col("reason") != _TAKEN).cast("long")
+    failed = rejected.select(
+        (-action("update") * in_plan).alias("updated"),
+        (-action("append") * in_plan).alias("appended"),
+        action("update").alias("failed_updates"),
+        action("append").alias("failed_appends"),
     )
+    both = planned.unionByName(failed)
+    return both.agg(*[F.coalesce(F.sum(c), zero).alias(c) for c in both.columns])
 
 
 def _updated(target: DataFrame, writes: DataFrame, fid: str, fields: Sequence[str]) -> DataFrame:

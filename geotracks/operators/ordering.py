@@ -73,27 +73,27 @@ def number_rows(
         out = df.withColumn(name, F.row_number().over(group.orderBy(*order_by)).cast("long"))
         return out.withColumn(total, F.count("*").over(group)) if total else out
 
-    ranged = df.withColumn("_range", range_number(df, columns, cuts))
-    local = ranged.withColumn(
-        name, F.row_number().over(Window.partitionBy(*by, "_range").orderBy(*order_by))
-    )
+    ranged = _ranged(df, columns, by, cuts)
+    inside = Window.partitionBy("_group", "_range").orderBy(*order_by)
+    local = ranged.withColumn("_local", F.row_number().over(inside))
     # One row per (group, range): few per group, and per range when there is no group.
-    group = Window.partitionBy(*by)
+    group = Window.partitionBy("_group")
+    so_far = group.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     before = (
-        ranged.groupBy(*by, "_range")
+        ranged.groupBy("_group", "_range")
         .agg(F.count("*").alias("_rows"))
-        .withColumn(
-            "_before",
-            F.sum("_rows").over(group.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)),
+        .select(
+            "_group",
+            "_range",
+            F.coalesce(F.sum("_rows").over(so_far), F.lit(0)).alias("_before"),
+            F.sum("_rows").over(group).alias("_total"),
         )
-        .withColumn("_total", F.sum("_rows").over(group))
-        .drop("_rows")
     )
-    joined = _join_null_safe(local, before, [*by, "_range"])
-    out = joined.withColumn(name, (F.col(name) + F.coalesce("_before", F.lit(0))).cast("long"))
-    if total:
-        out = out.withColumn(total, F.col("_total"))
-    return out.select(*df.columns, name, *([total] if total else []))
+    return local.join(before, ["_group", "_range"]).select(
+        *df.columns,
+        (F.col("_local") + F.col("_before")).cast("long").alias(name),
+        *([F.col("_total").alias(total)] if total else []),
+    )
 
 
 def with_previous(
@@ -111,21 +111,34 @@ def with_previous(
         return df.withColumn(
             name, F.lag(value).over(Window.partitionBy(*by).orderBy(*order_by))
         )
-    ranged = df.withColumn("_value", value).withColumn("_range", range_number(df, columns, cuts))
-    inside = Window.partitionBy(*by, "_range").orderBy(*order_by)
-    local = ranged.withColumn("_first", F.row_number().over(inside) == 1).withColumn(
-        name, F.lag("_value").over(inside)
+    ranged = _ranged(df.withColumn("_value", value), columns, by, cuts)
+    inside = Window.partitionBy("_group", "_range").orderBy(*order_by)
+    local = ranged.withColumns(
+        {"_first": F.row_number().over(inside) == 1, "_inside": F.lag("_value").over(inside)}
     )
     carried = (
-        ranged.groupBy(*by, "_range")
+        ranged.groupBy("_group", "_range")
         .agg(F.max_by("_value", F.struct(*order_by)).alias("_last"))
-        .withColumn("_carried", F.lag("_last").over(Window.partitionBy(*by).orderBy("_range")))
-        .drop("_last")
+        .select(
+            "_group",
+            "_range",
+            F.lag("_last").over(Window.partitionBy("_group").orderBy("_range")).alias("_carried"),
+        )
     )
-    joined = _join_null_safe(local, carried, [*by, "_range"])
-    return joined.withColumn(
-        name, F.when(F.col("_first"), F.col("_carried")).otherwise(F.col(name))
-    ).select(*df.columns, name)
+    return local.join(carried, ["_group", "_range"]).select(
+        *df.columns,
+        F.when(F.col("_first"), F.col("_carried")).otherwise(F.col("_inside")).alias(name),
+    )
+
+
+def _ranged(df: DataFrame, columns: Sequence[str], by: Sequence[str], cuts: list[Row]) -> DataFrame:
+    """Adds the range number, and the group as one struct.
+
+    A struct is never null, so groups with null keys join by plain equality and the window's
+    partitioning serves the join as well.
+    """
+    group = F.struct(*by) if by else F.struct(F.lit(0))
+    return df.withColumns({"_range": range_number(df, columns, cuts), "_group": group})
 
 
 def assign_fid(
@@ -154,13 +167,3 @@ def feature_at(df: DataFrame, order_by: Sequence[str], index: int) -> DataFrame:
 def first_features(df: DataFrame, order_by: Sequence[str], n: int) -> DataFrame:
     """The first ``n`` rows in ``order_by`` order."""
     return df.orderBy(*order_by).limit(n)
-
-
-def _join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    renamed = right.select(
-        *[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in right.columns]
-    )
-    condition = F.lit(True)
-    for k in keys:
-        condition = condition & F.col(k).eqNullSafe(F.col(f"_r_{k}"))
-    return left.join(renamed, condition, "inner").drop(*[f"_r_{k}" for k in keys])

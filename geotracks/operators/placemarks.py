@@ -12,6 +12,10 @@ from geotracks.operators.ordering import number_rows
 # Texts of the report.
 STYLE_URL = "#exampleStyleMap"
 NO_POINT = "0,0,0"
+TITLE = "<h1>Feature N. {}</h1>"
+PROPERTY = (
+    '<ul><li><p><font color="green">Property <b>{}</b> has value <b>{}</b></font></p></li></ul>'
+)
 
 
 def placemarks(
@@ -30,26 +34,26 @@ def placemarks(
         raise ValueError("axis_order must be 'yx' or 'xy'")
     numbered = number_rows(features, order_by, name="idx")
     index = F.col("idx").cast("string")
-    title = F.concat(F.lit("<h1>Feature N. "), index, F.lit("</h1>"))
-    listed = F.concat(
-        *[
-            F.concat(
-                F.lit(f'<ul><li><p><font color="green">Property <b>{name}</b> has value <b>'),
-                _text(F.col(name), features.schema[name].dataType),
-                F.lit("</b></font></p></li></ul>"),
-            )
-            for name in features.columns
-        ]
-    )
+    listed = [
+        _fill(PROPERTY, F.lit(name), _text(F.col(name), features.schema[name].dataType))
+        for name in features.columns
+    ]
     return numbered.select(
         "idx",
         F.concat(F.lit("Feature_"), index).alias("name"),
         F.lit(STYLE_URL).alias("styleUrl"),
-        F.concat(title, listed).alias("description"),
+        F.concat(_fill(TITLE, index), *listed).alias("description"),
         _coordinates(features, geometry, axis_order).alias("coordinates"),
     )
 
 
+def _fill(template: str, *values: Column) -> Column:
+    """The template with a value at each pair of braces."""
+    texts = template.split("{}")
+    pairs = [part for text, value in zip(texts, values) for part in (F.lit(text), value)]
+    return F.concat(*pairs, F.lit(texts[-1]))
+
+
 def _coordinates(features: DataFrame, geometry: str, axis_order: str) -> Column:
     if not _is_point(features.schema[geometry].dataType):
         return F.lit(NO_POINT)

@@ -16,6 +16,8 @@ from geotracks.plans.importer import LEVEL_KEYS, Features, ImportResult
 
 DERIVATIONS = ("convex", "concave", "polygon")
 
+_VERTICES = "fid long, line_no int, pt_no long, x double, y double, version int, kind string"
+
 
 class TrackStore:
     def __init__(self, spark: SparkSession, base: str):
@@ -33,7 +35,8 @@ class TrackStore:
             return None
         stored = self._stored(level, version)
         places = stored.select("fid", F.col("geom_version").alias("version"))
-        vertices = self.spark.read.parquet(f"{self.base}/{level}_vertices")
+        stored_vertices = self.spark.read.schema(_VERTICES).parquet(f"{self.base}/vertices")
+        vertices = stored_vertices.where(F.col("kind") == level)
         current = vertices.join(places, ["fid", "version"], "left_semi")
         return Features(
             stored.drop("geom_version"), current.select("fid", "line_no", "pt_no", "x", "y")
@@ -44,22 +47,21 @@ class TrackStore:
         last = self.version()
         if last is not None and version <= last:
             return
+        result.fresh_vertices.write.mode("overwrite").partitionBy("kind").parquet(
+            f"{self.base}/vertices/version={version}"
+        )
         for level in LEVEL_KEYS:
-            mine = F.col("kind") == level
-            touched = result.changed.where(mine).select("fid", F.lit(version).alias("_new"))
-            table = result.level(level).table.join(touched, "fid", "left")
+            table = result.level(level).table
+            touched = result.changed.where(F.col("kind") == level)
+            versioned = table.join(touched.select("fid", F.lit(version).alias("_new")), "fid", "left")
+            place = F.col("_new")
             if last is not None:
                 before = self._stored(level, last).select("fid", "geom_version")
-                table = table.join(before, "fid", "left")
-            else:
-                table = table.withColumn("geom_version", F.lit(None).cast("int"))
-            table.select(
-                *result.level(level).table.columns,
-                F.coalesce("_new", "geom_version").cast("int").alias("geom_version"),
-            ).write.mode("overwrite").parquet(f"{self.base}/{level}/version={version}")
-            result.fresh_vertices.where(mine).drop("kind").write.mode("overwrite").parquet(
-                f"{self.base}/{level}_vertices/version={version}"
-            )
+                versioned = versioned.join(before, "fid", "left")
+                place = F.coalesce("_new", "geom_version")
+            versioned.select(*table.columns, place.cast("int").alias("geom_version")).write.mode(
+                "overwrite"
+            ).parquet(f"{self.base}/{level}/version={version}")
         result.rejects.write.mode("overwrite").parquet(f"{self.base}/rejects/version={version}")
         self._commit("commits", version)
 
