@@ -9,7 +9,8 @@ small rings, whatever its number of points, and one task digs its outline:
 * replace a-b by a-c-b if both new edges are shorter and cross no outline or cell edge, else
   leave the edge as it is (so a cave wider than its mouth is not entered, and no triangle is
   cut out of a single cell, whose inner points are not at hand);
-* stop a given hull when its area is at or below the wanted share of the convex area.
+* stop a given hull when its area is at or below the wanted share of the convex area, or no
+  edge is longer than a cell.
 
 No cell hull is ever cut, so each hull contains every point; it lies inside the convex
 hull; share 1 is the convex hull. Ties are broken by coordinates.
@@ -130,8 +131,12 @@ def dig(
                 result[i] = outline()
         return len(result) == len(shares)
 
+    # Below the size of a cell the shape is not known.
+    finest = np.hypot(np.ptp(x), np.ptp(y)) / GRID
     while edges and not settle():
         length, _, _, a = heapq.heappop(edges)
+        if -length <= finest:
+            break
         b = int(after[a])
         free = np.flatnonzero(after < 0)
         if not len(free):

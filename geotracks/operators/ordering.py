@@ -37,20 +37,21 @@ def cut_points(
 
 
 def range_number(df: DataFrame, columns: Sequence[str], cuts: list[Row]) -> Column:
-    """Number of cut points at or below the row, found in two short scans."""
+    """Number of cut points at or below the row, by binary search in the sorted cuts."""
     types = [df.schema[c].dataType for c in columns]
+    points = F.array(
+        *[
+            F.struct(*[F.lit(v).cast(t).alias(c) for v, t, c in zip(cut, types, columns)])
+            for cut in cuts
+        ]
+    )
+    key = F.struct(*columns)
+    jumps = F.array(*[F.lit(1 << k) for k in reversed(range(len(cuts).bit_length()))])
 
-    def literal(cut: Row) -> Column:
-        return F.struct(*[F.lit(v).cast(t).alias(c) for v, t, c in zip(cut, types, columns)])
+    def jump(at: Column, by: Column) -> Column:
+        return F.when(F.get(points, at + by - 1) <= key, at + by).otherwise(at)
 
-    step = max(1, math.isqrt(len(cuts)))
-    groups = [cuts[i : i + step] for i in range(0, len(cuts), step)]
-    key = F.struct(*[F.col(c) for c in columns])
-    heads = F.array(*[literal(g[0]) for g in groups])
-    members = F.array(*[F.array(*[literal(c) for c in g]) for g in groups])
-    group = F.size(F.filter(heads, lambda h: h <= key))
-    inside = F.size(F.filter(F.get(members, group - 1), lambda c: c <= key))
-    return F.when(group == 0, 0).otherwise((group - 1) * step + inside)
+    return F.aggregate(jumps, F.lit(0), jump)
 
 
 def number_rows(
@@ -135,10 +136,16 @@ def _ranged(df: DataFrame, columns: Sequence[str], by: Sequence[str], cuts: list
     """Adds the range number, and the group as one struct.
 
     A struct is never null, so groups with null keys join by plain equality and the window's
-    partitioning serves the join as well.
+    partitioning serves the join as well. The number comes out of a one-element explode, so
+    that the optimizer takes it as a value: it would otherwise repeat the search in filters
+    it infers from the join.
     """
     group = F.struct(*by) if by else F.struct(F.lit(0))
-    return df.withColumns({"_range": range_number(df, columns, cuts), "_group": group})
+    return df.select(
+        "*",
+        F.explode_outer(F.array(range_number(df, columns, cuts))).alias("_range"),
+        group.alias("_group"),
+    )
 
 
 def assign_fid(
