@@ -17,9 +17,9 @@ from geotracks.operators.placemarks import placemarks
 from geotracks.plans import derive
 from geotracks.plans.importer import ImportResult, import_tracks
 from geotracks.session import materialize, work_folder
-from geotracks.sources import geojson, tables
+from geotracks.sources import geojson, gpx, kml, tables
 from geotracks.sources.store import TrackStore
-from geotracks.streaming.gpx_import import stream_vertices
+from geotracks.streaming.gpx_import import import_batch, stream_vertices
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -236,6 +236,73 @@ def track_import_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register
+def stored_area_convex(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both batches committed to a store, its area derivations refreshed, one read back."""
+    store = TrackStore(spark, f"{work_folder(spark)}/store-{uuid.uuid4().hex}")
+    staged = materialize(fx.track_vertices(spark, sf_dir))
+    for version, src in enumerate(("1", "2")):
+        import_batch(store, staged.where(F.col("src") == src), version)
+    store.refresh("area")
+    return store.derived("area", "convex").select("fid", "area_id", "clazz", _rounded("hectares"))
+
+
+# --- short lines: blocks of consecutive events, at most BLOCK points each -------------------
+
+BLOCK = 20
+
+
+def _blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per block of event ids, with its points in order: never more than BLOCK."""
+    events = fx.table(spark, sf_dir, "events").selectExpr(*fx.EVENT_POINT_COLUMNS)
+    point = F.struct("event_id", F.col("lon").alias("x"), F.col("lat").alias("y"))
+    return (
+        events.groupBy(F.floor(F.col("event_id") / BLOCK).alias("block"))
+        .agg(F.array_sort(F.collect_list(point)).alias("pts"))
+        .select(
+            "block",
+            F.transform("pts", lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y"))).alias("pts"),
+        )
+    )
+
+
+@register
+def line_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The column builders on lines of two parts, which touch in every other block."""
+    half = F.floor(F.size("pts") / 2).cast("int")
+    second = F.when(F.col("block") % 2 == 0, half).otherwise(half + 1)
+    parts = F.array(
+        F.slice("pts", F.lit(1), half), F.slice("pts", second, F.size("pts"))
+    )
+    long_enough = _blocks(spark, sf_dir).where(F.size("pts") >= 6)
+    merged = long_enough.select("block", "pts", geo.line_merge(parts).alias("lines"))
+    closed = merged.withColumn("ring", geo.make_polygon(geo.close_ring(F.col("lines"))))
+    return closed.select(
+        "block",
+        F.size("lines").alias("lines"),
+        geo.is_closed(F.col("lines")).alias("closed"),
+        F.round(geo.start_point(F.col("lines"))["x"], 9).alias("start_x"),
+        F.when(F.col("ring").isNotNull(), F.size("ring")).alias("ring_points"),
+        F.round(geo.ring_hectares(F.col("ring")), 2).alias("hectares"),
+        F.round(geo.ring_hectares(geo.convex_hull(F.col("pts"))), 2).alias("hull_hectares"),
+    )
+
+
+@register
+def gpx_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blocks written as GPX tracks, and read back as vertices."""
+    path = f"{work_folder(spark)}/gpx-{uuid.uuid4().hex}"
+    point = lambda p: F.struct(p["y"].alias("_lat"), p["x"].alias("_lon"))
+    tracks = _blocks(spark, sf_dir).select(
+        F.concat(F.lit("BLK-0-0-"), F.col("block")).alias("name"),
+        F.array(F.struct(F.transform("pts", point).alias("trkpt"))).alias("trkseg"),
+    )
+    xml = tracks.write.format("xml").option("rootTag", "gpx").option("rowTag", "trk")
+    xml.save(path)
+    vertices, _ = gpx.read_gpx(spark, f"{path}/*.xml")
+    return vertices.select("name", "seg_no", "pt_no", "x", "y")
+
+
 # --- keys, order, layers ------------------------------------------------------------------
 
 
@@ -379,6 +446,14 @@ def sites_drop_header(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sites.drop_header_rows(fx.sites(spark, sf_dir))
 
 
+@register
+def sites_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Site rows written as headerless CSV, and read back; empty text comes back as null."""
+    path = f"{work_folder(spark)}/sites-{uuid.uuid4().hex}"
+    fx.sites(spark, sf_dir).write.csv(path, emptyValue="", nullValue="")
+    return sites.drop_header_rows(tables.read_sites(spark, path))
+
+
 @register
 def sites_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     points = sites.site_points(fx.sites(spark, sf_dir))
@@ -436,6 +511,20 @@ def placemark_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placemarks(_point_features(spark, sf_dir), ["fid"])
 
 
+@register
+def kml_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The folder elements of the report document."""
+    folders = kml.kml_folders(placemarks(_point_features(spark, sf_dir), ["fid"]))
+    mark = lambda i: F.element_at("Placemark", i)
+    return folders.select(
+        "folder",
+        F.size("Placemark").alias("placemarks"),
+        mark(1)["name"].alias("first_name"),
+        mark(-1)["Point"]["coordinates"].alias("last_coordinates"),
+        F.size("Style").alias("styles"),
+    )
+
+
 @register
 def geojson_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Supplier points written as newline-delimited GeoJSON, and read back."""

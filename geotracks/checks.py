@@ -16,6 +16,24 @@ _AREA = "regexp_matches(name, '^.{3}-[0-9]+-[0-9]+-[0-9]+$', 's')"
 _PLOT = "regexp_matches(name, '^.{3}-[0-9]+-[0-9]+-[0-9]+-[0-9]+$', 's')"
 _AREA_KEY = "nullif(regexp_extract(name, '^.{3}-[0-9]+-[0-9]+-[0-9]+', 0, 's'), '')"
 
+
+
+def _hulls(points: str, keys: str) -> str:
+    """Hull hectares of each group: a-b is an edge if no c lies right of it or beyond it."""
+    return f"""SELECT {keys}, abs(coalesce(sum(strip), 0)) / 10000 AS hectares FROM (
+      SELECT {keys}, ax, ay, qx, qy, strip FROM (
+        SELECT {keys}, a.lon AS ax, a.lat AS ay, b.lon AS qx, b.lat AS qy,
+          (b.mx - a.mx) * (b.my + a.my) / 2 AS strip,
+          (b.lon - a.lon) * (c.lat - a.lat) - (b.lat - a.lat) * (c.lon - a.lon) AS turn,
+          (c.lon - a.lon) * (b.lon - a.lon) + (c.lat - a.lat) * (b.lat - a.lat) AS along,
+          (b.lon - a.lon) ** 2 + (b.lat - a.lat) ** 2 AS length
+        FROM {points} a JOIN {points} b USING ({keys}) JOIN {points} c USING ({keys})
+        WHERE a.lon <> b.lon OR a.lat <> b.lat)
+      GROUP BY {keys}, ax, ay, qx, qy, strip
+      HAVING bool_and(turn > 1e-14 OR (turn >= -1e-14 AND along BETWEEN -1e-14 AND length + 1e-14)))
+    GROUP BY {keys}"""
+
+
 # Common table expressions by name, each with those it needs.
 _CTES: dict[str, tuple[tuple[str, ...], str]] = {
     **{name: ((), sql) for name, sql in CHECK_SQL.items()},
@@ -88,23 +106,29 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
              row_number() OVER (PARTITION BY kind ORDER BY min(batch_no), name) AS fid
            FROM heads WHERE kind IS NOT NULL GROUP BY kind, name, area_key""",
     ),
-    "hulls": (
-        ("points",),
-        """SELECT batch_no, ogc_fid, abs(coalesce(sum(strip), 0)) / 10000 AS hectares FROM (
-             SELECT a.batch_no, a.ogc_fid,
-               any_value((b.mx - a.mx) * (b.my + a.my) / 2) AS strip
-             FROM points a JOIN points b USING (batch_no, ogc_fid) JOIN points c USING (batch_no, ogc_fid)
-             WHERE a.lon <> b.lon OR a.lat <> b.lat
-             GROUP BY a.batch_no, a.ogc_fid, a.lon, a.lat, b.lon, b.lat
-             HAVING bool_and((b.lon - a.lon) * (c.lat - a.lat) - (b.lat - a.lat) * (c.lon - a.lon)
-                               > 1e-14
-               OR (abs((b.lon - a.lon) * (c.lat - a.lat) - (b.lat - a.lat) * (c.lon - a.lon))
-                     <= 1e-14
-                   AND (c.lon - a.lon) * (b.lon - a.lon) + (c.lat - a.lat) * (b.lat - a.lat)
-                     BETWEEN -1e-14 AND
-                       (b.lon - a.lon) ** 2 + (b.lat - a.lat) ** 2 + 1e-14)))
-           GROUP BY ALL""",
+    "hulls": (("points",), _hulls("points", "batch_no, ogc_fid")),
+    # Short lines of two parts; the second starts at the end of the first in even blocks.
+    "blocks": (
+        ("fx_event_points",),
+        f"""SELECT event_id // 20 AS block, lon, lat, {_MX.format("lon")} AS mx,
+              {_MY.format("lat")} AS my,
+              row_number() OVER (PARTITION BY event_id // 20 ORDER BY event_id) AS k,
+              count(*) OVER (PARTITION BY event_id // 20) AS n
+            FROM fx_event_points""",
+    ),
+    "block_edges": (
+        ("blocks",),
+        """SELECT *, (lead(mx) OVER w - mx) * (lead(my) OVER w + my) / 2 AS strip,
+             (first(mx) OVER w - last(mx) OVER whole) * (first(my) OVER w + last(my) OVER whole) / 2
+               AS closing
+           FROM blocks
+           WINDOW w AS (PARTITION BY block ORDER BY k), whole AS (PARTITION BY block)""",
+    ),
+    "block_points": (
+        ("blocks",),
+        "SELECT DISTINCT block, lon, lat, mx, my FROM blocks",
     ),
+    "block_hulls": (("block_points",), _hulls("block_points", "block")),
     "points": (("pts",), "SELECT DISTINCT batch_no, ogc_fid, lon, lat, mx, my FROM pts"),
     "convex": (
         ("state", "shapes", "hulls"),
@@ -305,6 +329,28 @@ CHECKS: dict[str, str] = {
     "track_import_stream": _with("heads")
     + """SELECT kind, row_number() OVER (PARTITION BY kind ORDER BY name) AS fid, name
          FROM (SELECT DISTINCT kind, name FROM heads WHERE kind IS NOT NULL)""",
+    "stored_area_convex": _convex("area", "fid, name AS area_id"),
+    "line_functions": _with("block_edges", "block_hulls")
+    + """SELECT block, CAST(CASE WHEN block % 2 = 0 THEN 1 ELSE 2 END AS INTEGER) AS lines,
+           false AS closed,
+           CASE WHEN block % 2 = 0 THEN round(arg_min(lon, k), 9) END AS start_x,
+           CAST(CASE WHEN block % 2 = 0 THEN count(*) + 1 END AS INTEGER) AS ring_points,
+           CASE WHEN block % 2 = 0 THEN round(abs(sum(strip) + any_value(closing)) / 10000, 2)
+             END AS hectares,
+           round(any_value(hectares), 2) AS hull_hectares
+         FROM block_edges JOIN block_hulls USING (block) WHERE n >= 6 GROUP BY block""",
+    "gpx_files": _with("blocks")
+    + """SELECT 'BLK-0-0-' || block AS name, CAST(0 AS INTEGER) AS seg_no, k AS pt_no, lon AS x,
+           lat AS y FROM blocks""",
+    "sites_csv": _with("fx_sites")
+    + f"""SELECT nullif(latitude, '') AS latitude, nullif(longitude, '') AS longitude,
+            {", ".join(f"nullif({c}, '') AS {c}" for c in _SITE_REST.split(", "))}
+          FROM fx_sites WHERE store_name IS NULL OR store_name <> 'store_name'""",
+    "kml_folders": _with("fx_target")
+    + """SELECT CAST((idx - 1) // 5000 AS BIGINT) AS folder, CAST(count(*) AS INTEGER) AS placemarks,
+           'Feature_' || min(idx) AS first_name, arg_max(y || ',' || x, idx) AS last_coordinates,
+           CAST(2 AS INTEGER) AS styles
+         FROM (SELECT *, row_number() OVER (ORDER BY fid) AS idx FROM fx_target) GROUP BY ALL""",
     "surrogate_keys": """SELECT 1000 + row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS fid,
            o_orderdate, o_orderkey FROM orders""",
     "feature_at": _with("fx_target") + "SELECT * FROM fx_target ORDER BY fid LIMIT 1 OFFSET 7",

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from geotracks.operators.ordering import number_rows
 
 # Column expressions shared by both engines.
-_TRACK_EVENT_COLUMNS = [
+EVENT_POINT_COLUMNS = [
     "user_id AS u",
     "CAST(floor(user_id / 5) AS INT) AS g",
     "user_id % 5 AS r",
@@ -35,7 +35,7 @@ _TRACK_NAME = (
 
 TRACK_POINTS_SQL = f"""
 WITH e AS (
-  SELECT {", ".join(_TRACK_EVENT_COLUMNS)},
+  SELECT {", ".join(EVENT_POINT_COLUMNS)},
          CASE WHEN ts < TIMESTAMP '2024-01-16 00:00:00' THEN 1 ELSE 2 END AS batch_no
   FROM events),
 a AS (
@@ -116,6 +116,7 @@ _TWICE = "(SELECT *, unnest([0, 1]) AS i FROM supplier)"
 
 #: Check-side text of each fixture, by name.
 CHECK_SQL = {
+    "fx_event_points": f"SELECT {', '.join(EVENT_POINT_COLUMNS)} FROM events",
     "fx_track_points": TRACK_POINTS_SQL,
     "fx_sites": SITES_SQL.format(customer="customer"),
     "fx_boundaries": BOUNDARIES_SQL.format(nation="nation"),
@@ -145,7 +146,7 @@ def track_vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
                 1,
             ).otherwise(2),
         )
-        .selectExpr(*_TRACK_EVENT_COLUMNS, "batch_no")
+        .selectExpr(*EVENT_POINT_COLUMNS, "batch_no")
         .where("NOT (batch_no = 1 AND u % 4 = 0) AND NOT (batch_no = 2 AND u % 11 = 0)")
     )
     walked = number_rows(events, ["event_id"], by=["u", "batch_no"], name="k", total="n")
