@@ -241,8 +241,8 @@ def stored_area_convex(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both batches committed to a store, its area derivations refreshed, one read back."""
     store = TrackStore(spark, f"{work_folder(spark)}/store-{uuid.uuid4().hex}")
     staged = materialize(fx.track_vertices(spark, sf_dir))
-    for version, src in enumerate(("1", "2")):
-        import_batch(store, staged.where(F.col("src") == src), version)
+    for src in ("1", "2"):
+        import_batch(store, staged.where(F.col("src") == src), label=src)
     store.refresh("area")
     return store.derived("area", "convex").select("fid", "area_id", "clazz", _rounded("hectares"))
 

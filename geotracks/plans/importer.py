@@ -78,9 +78,8 @@ def import_tracks(
         return ImportResult(not parts.isEmpty(), areas, plots, nothing, changed, fresh)
 
     keys = ["kind", "fid"]
-    placed = lines.place_parts(
-        parts.drop("name").join(changed.select(*keys, "src", "ogc_fid"), ["src", "ogc_fid"]), keys
-    )
+    chosen = parts.drop("name").join(changed.select(*keys, "src", "ogc_fid"), ["src", "ogc_fid"])
+    placed = lines.place_parts(materialize(chosen), keys)
     merged = lines.line_table(placed, keys)
     broken = lines.broken_tracks(merged, keys)
     whole = placed.join(broken, keys, "left_anti")

@@ -2,8 +2,8 @@
 
 The feature tables are small and written anew for each version. Vertices are only ever
 added: a version holds those of the features it wrote, and a feature row names the version
-its geometry is in. A version counts once its row in ``commits`` is there, so a lost or
-repeated batch leaves no trace.
+its geometry is in. A version counts once its row in ``commits`` is there, so a batch that
+failed half-way leaves no trace, and a batch with a label is stored once however often it runs.
 """
 
 from __future__ import annotations
@@ -26,7 +26,12 @@ class TrackStore:
 
     def version(self) -> int | None:
         """Latest whole version; None in a new store."""
-        return self._commits("commits")
+        return self._latest("commits")
+
+    def has_batch(self, label: str) -> bool:
+        """True if a batch with this label was stored."""
+        commits = self._marks("commits")
+        return commits is not None and not commits.where(F.col("label") == label).isEmpty()
 
     def features(self, level: str) -> Features | None:
         """Current areas or plots."""
@@ -42,11 +47,10 @@ class TrackStore:
             stored.drop("geom_version"), current.select("fid", "line_no", "pt_no", "x", "y")
         )
 
-    def commit(self, result: ImportResult, version: int) -> None:
-        """Store what a batch changed as ``version``; a version stored before is left alone."""
+    def commit(self, result: ImportResult, label: str | None = None) -> int:
+        """Store what a batch changed as the next version, and return its number."""
         last = self.version()
-        if last is not None and version <= last:
-            return
+        version = 0 if last is None else last + 1
         result.fresh_vertices.write.mode("overwrite").partitionBy("kind").parquet(
             f"{self.base}/vertices/version={version}"
         )
@@ -63,7 +67,8 @@ class TrackStore:
                 "overwrite"
             ).parquet(f"{self.base}/{level}/version={version}")
         result.rejects.write.mode("overwrite").parquet(f"{self.base}/rejects/version={version}")
-        self._commit("commits", version)
+        self._mark("commits", version, label)
+        return version
 
     def refresh(self, level: str = "all") -> bool:
         """Rebuild the stored derivations of a level, or of both.
@@ -76,6 +81,8 @@ class TrackStore:
         if version is None:
             return False
         for name in levels:
+            if self._latest(f"{name}_refreshed") == version:
+                continue
             features = self.features(name)
             polygon = derive.polygon if name == "area" else derive.plot_polygon
             tables = {
@@ -86,14 +93,14 @@ class TrackStore:
             for kind, table in tables.items():
                 path = f"{self.base}/{name}_{kind}/version={version}"
                 table.write.mode("overwrite").parquet(path)
-            self._commit(f"{name}_refreshed", version)
+            self._mark(f"{name}_refreshed", version)
         return True
 
     def derived(self, level: str, kind: str) -> DataFrame:
         """A stored derivation, as of the last refresh."""
         if kind not in DERIVATIONS:
             raise ValueError(f"kind must be one of {DERIVATIONS}")
-        version = self._commits(f"{level}_refreshed")
+        version = self._latest(f"{level}_refreshed")
         if version is None:
             raise ValueError(f"{level} derivations were never refreshed")
         return self.spark.read.parquet(f"{self.base}/{level}_{kind}/version={version}")
@@ -101,13 +108,18 @@ class TrackStore:
     def _stored(self, level: str, version: int) -> DataFrame:
         return self.spark.read.parquet(f"{self.base}/{level}/version={version}")
 
-    def _commits(self, name: str) -> int | None:
+    def _marks(self, name: str) -> DataFrame | None:
         try:
-            commits = self.spark.read.schema("version int").parquet(f"{self.base}/{name}")
+            return self.spark.read.schema("version int, label string").parquet(f"{self.base}/{name}")
         except AnalysisException:
             return None
-        return commits.agg(F.max("version")).first()[0]
 
-    def _commit(self, name: str, version: int) -> None:
-        row = self.spark.range(1).select(F.lit(version).cast("int").alias("version"))
-        row.coalesce(1).write.mode("append").parquet(f"{self.base}/{name}")
+    def _latest(self, name: str) -> int | None:
+        marks = self._marks(name)
+        return None if marks is None else marks.agg(F.max("version")).collect()[0][0]
+
+    def _mark(self, name: str, version: int, label: str | None = None) -> None:
+        row = self.spark.range(1, numPartitions=1).select(
+            F.lit(version).cast("int").alias("version"), F.lit(label).cast("string").alias("label")
+        )
+        row.write.mode("append").parquet(f"{self.base}/{name}")

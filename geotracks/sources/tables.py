@@ -47,9 +47,10 @@ def write_layer(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).parquet(path)
 
 
-def create_table(df: DataFrame, name: str) -> None:
-    """Make a new table from a query, with the query's schema."""
-    df.write.mode("errorifexists").saveAsTable(name)
+def create_table(df: DataFrame, name: str, path: str | None = None) -> None:
+    """Make a new table from a query, with the query's schema; fails if there is one."""
+    writer = df.write.mode("errorifexists").format("parquet")
+    (writer.option("path", path) if path else writer).saveAsTable(name)
 
 
 def create_view(df: DataFrame, name: str) -> None:

@@ -13,19 +13,19 @@ from geotracks.sources.gpx import split_gpx, store_rows, stream_gpx_rows
 from geotracks.sources.store import TrackStore
 
 
-def import_batch(store: TrackStore, vertices: DataFrame, version: int, keep_clazz: bool = False) -> bool:
-    """Upsert one batch of track vertices into the store as ``version``.
+def import_batch(
+    store: TrackStore, vertices: DataFrame, label: str | None = None, keep_clazz: bool = False
+) -> bool:
+    """Upsert one batch of track vertices into the store.
 
-    A version that is stored already is skipped, so a replayed batch changes nothing.
+    A batch whose label is in the store already is skipped, so a replay changes nothing.
     """
-    last = store.version()
-    if last is not None and version <= last:
+    if label is not None and store.has_batch(label):
         return False
     result = import_tracks(vertices, store.features("area"), store.features("plot"), keep_clazz)
-    if not result.status:
-        return False
-    store.commit(result, version)
-    return True
+    if result.status:
+        store.commit(result, label)
+    return result.status
 
 
 def stream_gpx(
@@ -39,12 +39,13 @@ def stream_gpx(
     """Import every GPX file now in ``folder`` not imported before, then stop.
 
     Run it again for files that came later. ``TrackStore.refresh`` rebuilds the derivations.
+    A batch is known to the store by the checkpoint folder and its number there.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         vertices, broken = split_gpx(store_rows(batch))
-        broken.write.mode("overwrite").parquet(f"{store.base}/broken_files/version={batch_id}")
-        import_batch(store, vertices, batch_id, keep_clazz)
+        broken.write.mode("overwrite").parquet(f"{store.base}/broken_files/batch={batch_id}")
+        import_batch(store, vertices, f"{checkpoint} {batch_id}", keep_clazz)
 
     return _start(stream_gpx_rows(spark, folder, files_per_batch), handle, checkpoint)
 
@@ -60,7 +61,7 @@ def stream_vertices(
     rows = spark.readStream.schema(TRACK_VERTICES).parquet(folder)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        import_batch(store, batch, batch_id, keep_clazz)
+        import_batch(store, batch, f"{checkpoint} {batch_id}", keep_clazz)
 
     return _start(rows, handle, checkpoint)
 

@@ -71,8 +71,10 @@ def test_stream_equals_batch(spark, tmp_path):
 
     # A replayed batch changes nothing.
     version = store.version()
-    assert not import_batch(store, batch.areas.vertices, version)
+    assert store.has_batch(f"{tmp_path}/offsets {version}")
+    assert not import_batch(store, batch.areas.vertices, f"{tmp_path}/offsets {version}")
     assert store.version() == version
+    assert [p.name for p in (tmp_path / "store" / "broken_files").iterdir()].count("batch=0") == 1
 
     assert store.refresh()
     assert store.derived("area", "convex").count() == 2
@@ -83,10 +85,15 @@ def test_stream_equals_batch(spark, tmp_path):
 
 def test_refresh_one_level(spark, tmp_path):
     store = TrackStore(spark, f"{tmp_path}/store")
-    import_batch(store, vertices(spark, [("AAA-1-1-1", [RING])]), 0)
-    assert store.refresh("area") and store.derived("area", "concave").count() == 1
+    assert import_batch(store, vertices(spark, [("AAA-1-1-1", [RING])]))
+    assert store.refresh("area") and store.refresh("area") and store.derived("area", "concave").count() == 1
     with pytest.raises(ValueError):
         store.derived("plot", "concave")
+    # Nothing to import: no new version.
+    assert not import_batch(store, vertices(spark, [("AAA-1-1-1", [RING])]).limit(0))
+    assert store.version() == 0
+    assert import_batch(store, vertices(spark, [("AAA-1-1-1", [RING[:3]]), ("AAA-2-1-1", [RING])]))
+    assert store.version() == 1 and store.features("area").table.count() == 2
 
 
 def test_sites_from_csv(spark, tmp_path):
@@ -191,6 +198,15 @@ def test_placemarks_and_kml(spark, tmp_path, monkeypatch):
     assert marks[1].find(f"{space}Point/{space}coordinates").text == "4.5,3.5"
 
 
+def test_create_table(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a")], "fid long, name string")
+    name = f"made_{uuid.uuid4().hex[:8]}"
+    tables.create_table(df, name, path=f"{tmp_path}/t")
+    assert spark.table(name).schema == df.schema and spark.table(name).count() == 1
+    with pytest.raises(Exception, match="ALREADY_EXISTS"):
+        tables.create_table(df, name, path=f"{tmp_path}/t")
+
+
 def test_layers_and_tables(spark, tmp_path):
     df = spark.createDataFrame([(1, 5), (2, None), (3, 6)], "fid long, adm0_code int")
     name = f"layer_{uuid.uuid4().hex[:8]}"
