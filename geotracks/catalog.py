@@ -270,12 +270,11 @@ def _blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def line_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The column builders on lines of two parts, which touch in every other block."""
     half = F.floor(F.size("pts") / 2).cast("int")
-    second = F.when(F.col("block") % 2 == 0, half).otherwise(half + 1)
+    second = F.when(F.col("block") % 2 == 0, F.greatest(half, F.lit(1))).otherwise(half + 1)
     parts = F.array(
         F.slice("pts", F.lit(1), half), F.slice("pts", second, F.size("pts"))
     )
-    long_enough = _blocks(spark, sf_dir).where(F.size("pts") >= 6)
-    merged = long_enough.select("block", "pts", geo.line_merge(parts).alias("lines"))
+    merged = _blocks(spark, sf_dir).select("block", "pts", geo.line_merge(parts).alias("lines"))
     closed = merged.withColumn("ring", geo.make_polygon(geo.close_ring(F.col("lines"))))
     return closed.select(
         "block",

@@ -331,14 +331,17 @@ CHECKS: dict[str, str] = {
          FROM (SELECT DISTINCT kind, name FROM heads WHERE kind IS NOT NULL)""",
     "stored_area_convex": _convex("area", "fid, name AS area_id"),
     "line_functions": _with("block_edges", "block_hulls")
-    + """SELECT block, CAST(CASE WHEN block % 2 = 0 THEN 1 ELSE 2 END AS INTEGER) AS lines,
-           false AS closed,
-           CASE WHEN block % 2 = 0 THEN round(arg_min(lon, k), 9) END AS start_x,
-           CAST(CASE WHEN block % 2 = 0 THEN count(*) + 1 END AS INTEGER) AS ring_points,
-           CASE WHEN block % 2 = 0 THEN round(abs(sum(strip) + any_value(closing)) / 10000, 2)
-             END AS hectares,
-           round(any_value(hectares), 2) AS hull_hectares
-         FROM block_edges JOIN block_hulls USING (block) WHERE n >= 6 GROUP BY block""",
+    + """SELECT block, CAST(CASE WHEN n = 1 OR joined THEN 1 ELSE 2 END AS INTEGER) AS lines,
+           n = 1 OR (n = 2 AND block % 2 = 1) AS closed,
+           CASE WHEN n = 1 OR joined THEN round(start_x, 9) END AS start_x,
+           CAST(CASE WHEN joined THEN n + 1 END AS INTEGER) AS ring_points,
+           CASE WHEN joined THEN round(area, 2) END AS hectares,
+           round(coalesce(hectares, 0), 2) AS hull_hectares
+         FROM (SELECT block, any_value(n) AS n, block % 2 = 0 AND any_value(n) >= 4 AS joined,
+                 arg_min(lon, k) AS start_x,
+                 abs(sum(strip) + any_value(closing)) / 10000 AS area
+               FROM block_edges GROUP BY block)
+         LEFT JOIN block_hulls USING (block)""",
     "gpx_files": _with("blocks")
     + """SELECT 'BLK-0-0-' || block AS name, CAST(0 AS INTEGER) AS seg_no, k AS pt_no, lon AS x,
            lat AS y FROM blocks""",

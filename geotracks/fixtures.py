@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from geotracks.operators.ordering import number_rows
 
 # Column expressions shared by both engines.
-EVENT_POINT_COLUMNS = [
+_TRACK_EVENT_COLUMNS = [
     "user_id AS u",
     "CAST(floor(user_id / 5) AS INT) AS g",
     "user_id % 5 AS r",
@@ -21,6 +21,12 @@ EVENT_POINT_COLUMNS = [
     "9 + CAST((user_id * 37) % 89 AS DOUBLE) / 50"
     " + CAST((event_id * 104729) % 997 AS DOUBLE) / 100000 AS lat",
 ]
+#: Event points of a small region, whatever the user.
+EVENT_POINT_COLUMNS = [
+    "event_id",
+    "2 + CAST((event_id * 7919) % 1009 AS DOUBLE) / 100000 AS lon",
+    "9 + CAST((event_id * 104729) % 997 AS DOUBLE) / 100000 AS lat",
+]
 _AREA_NAME = (
     "concat(CASE g % 4 WHEN 0 THEN 'AAA' WHEN 1 THEN 'BBB' WHEN 2 THEN 'CCC' ELSE 'DDD' END,"
     " '-', CAST(1 + g % 4 AS STRING), '-', CAST(1 + g % 9 AS STRING), '-', CAST(g AS STRING))"
@@ -35,7 +41,7 @@ _TRACK_NAME = (
 
 TRACK_POINTS_SQL = f"""
 WITH e AS (
-  SELECT {", ".join(EVENT_POINT_COLUMNS)},
+  SELECT {", ".join(_TRACK_EVENT_COLUMNS)},
          CASE WHEN ts < TIMESTAMP '2024-01-16 00:00:00' THEN 1 ELSE 2 END AS batch_no
   FROM events),
 a AS (
@@ -146,7 +152,7 @@ def track_vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
                 1,
             ).otherwise(2),
         )
-        .selectExpr(*EVENT_POINT_COLUMNS, "batch_no")
+        .selectExpr(*_TRACK_EVENT_COLUMNS, "batch_no")
         .where("NOT (batch_no = 1 AND u % 4 = 0) AND NOT (batch_no = 2 AND u % 11 = 0)")
     )
     walked = number_rows(events, ["event_id"], by=["u", "batch_no"], name="k", total="n")

@@ -7,6 +7,8 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from geotracks.functions.numbers import is_number_text
 from geotracks.schemas import BOUNDARY_FIELDS, BOUNDARY_LEVELS, WGS84
 
+# Fixed value: how the boundary tables are called.
+_TABLE = "g2013_2012_{level}"
 _SHAPE = ["geom_type", "srid", "wkb_geometry"]
 
 
@@ -14,7 +16,7 @@ def table_name(level: int) -> str:
     """Name of the boundary table of a level."""
     if level not in BOUNDARY_LEVELS:
         raise ValueError(f"level must be one of {BOUNDARY_LEVELS}")
-    return f"g2013_2012_{level}"
+    return _TABLE.format(level=level)
 
 
 def load_boundaries(

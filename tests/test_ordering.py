@@ -55,3 +55,14 @@ def test_assign_fid_and_ordinal_access(spark):
     assert [r.name for r in ordering.feature_at(df, ["name"], 1).collect()] == ["b"]
     assert ordering.feature_at(df, ["name"], 3).count() == 0
     assert [r.name for r in ordering.first_features(df, ["name"], 2).collect()] == ["a", "b"]
+
+
+def test_materialize_writes_to_the_configured_folder(spark):
+    from geotracks.session import materialize, work_folder
+
+    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    assert configured in work_folder(spark)
+    df = spark.createDataFrame([(1, [(2.0, 3.0)])], "a int, g array<struct<x:double,y:double>>")
+    stored = materialize(df)
+    assert stored.schema == df.schema and stored.collect() == df.collect()
+    assert all(f.startswith(f"file://{configured}") for f in stored.inputFiles())
