@@ -172,10 +172,10 @@ def _ring_batches(keys: list[str], name: str) -> Callable:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
-        rows = 0
+        rows, limit = 0, BUFFER_ROWS
 
         def finish(last: bool) -> Iterator[pa.RecordBatch]:
-            nonlocal held, rows
+            nonlocal held, rows, limit
             table = pa.Table.from_batches(held)
             code = _group_codes(table, keys)
             lower, upper = chains(code, table["x"].to_numpy(), table["y"].to_numpy())
@@ -186,6 +186,8 @@ def _ring_batches(keys: list[str], name: str) -> Callable:
                 rest = np.union1d(lower, upper)
                 held = table.take(pa.array(rest[code[rest] == open_code])).to_batches()
                 rows = sum(b.num_rows for b in held)
+                # A hull of very many vertices is not gone through for every few new points.
+                limit = max(BUFFER_ROWS, 2 * rows)
                 lower, upper = lower[code[lower] != open_code], upper[code[upper] != open_code]
             if len(lower):
                 yield rings(table, code, lower, upper)
@@ -194,7 +196,7 @@ def _ring_batches(keys: list[str], name: str) -> Callable:
             if batch.num_rows:
                 held.append(batch)
                 rows += batch.num_rows
-            if rows >= BUFFER_ROWS:
+            if rows >= limit:
                 yield from finish(last=False)
         if held:
             yield from finish(last=True)
