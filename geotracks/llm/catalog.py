@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from geotracks.llm import licenses, mixing, sharding, urls
+from geotracks.llm import bpe, licenses, mixing, sharding, urls
 from geotracks.llm.common import load
 
 
@@ -19,6 +19,10 @@ def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(load(spark, sf_dir, "documents"))
 
 
+def op3_word_table_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(bpe.encode(load(spark, sf_dir, "documents"), bpe.default_tokenizer()))
+
+
 def op9_jump_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(load(spark, sf_dir, "documents"))
 
@@ -29,7 +33,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_url_filters, op2_source_mixing, op9_jump_sharding, op10_license_scan)
+    for f in (op1_url_filters, op2_source_mixing, op3_word_table_bpe, op9_jump_sharding, op10_license_scan)
 }
 
 _OP1 = """
