@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 #: Characters of text after which a block ends.
-BLOCK_CHARS = 16 << 20
+BLOCK_CHARS = 32 << 20
 
 
 def word_pattern(special: list[str]) -> str:
@@ -76,8 +76,8 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list, pa.Arra
         coded = words.flatten().dictionary_encode()
         places = coded.indices.to_numpy()
         order = np.argsort(-np.bincount(places, minlength=len(coded.dictionary)), kind="stable")
-        rank = np.empty_like(order)
-        rank[order] = np.arange(len(order))
+        rank = np.empty(len(order), np.uint32)
+        rank[order] = np.arange(len(order), dtype=np.uint32)
         counts = pc.list_value_length(words).to_numpy(zero_copy_only=False)
         return (held[0]["part"][0].as_py() << 24) + seq, table["_id"].to_pylist(), coded.dictionary.take(pa.array(order)), counts, rank[places]
 
@@ -92,6 +92,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list, pa.Arra
             held.append(batch.slice(begin, end - begin))
             if upto[end - 1] >= BLOCK_CHARS:
                 yield block()
+                pa.default_memory_pool().release_unused()
                 held, seq, upto = [], seq + 1, upto - upto[end - 1]
             begin = end
         size = int(upto[-1])
@@ -107,26 +108,65 @@ def _block_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([part, pa.array(np.full(len(part), block)), pa.array(place)], ["word", "block", "place"])
 
 
-def _pack(counts: np.ndarray, places: np.ndarray) -> bytes:
-    planes = places.astype("<u4").view(np.uint8).reshape(-1, 4).T
-    return b"".join(np.ascontiguousarray(x).tobytes() for x in (counts.astype("<u4"), planes))
+def _planes(values: np.ndarray) -> bytes:
+    """Values below 2^32 with their lowest bytes first, then the next ones, and so on."""
+    return np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
 
 
-def _unpack(raw: bytes, texts: int) -> tuple[np.ndarray, np.ndarray]:
-    counts = np.frombuffer(raw, "<u4", texts)
-    planes = np.frombuffer(raw, np.uint8, offset=4 * texts).reshape(4, -1)
-    return counts.astype(np.int64), np.ascontiguousarray(planes.T).view("<u4").ravel()
+def _read_planes(raw: bytes, at: int, n: int) -> tuple[np.ndarray, int]:
+    """``n`` values written at ``at`` by _planes, and where they end."""
+    planes = np.frombuffer(raw, np.uint8, 4 * n, at).reshape(4, n)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel(), at + 4 * n
+
+
+_ROWS = "block long, kind int, size int, packed binary, raw long"
+
+
+def _packed(block: int, kind: int, size: int, raw: bytes) -> list:
+    """One row's columns, in the order of _ROWS."""
+    packed = pa.compress(raw, codec="zstd", asbytes=True)
+    types = (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int64())
+    return [pa.array([x], t) for x, t in zip((block, kind, size, packed, len(raw)), types)]
+
+
+_NAMES = ["block", "kind", "size", "packed", "raw"]
+#: Words that a task holds before it packs them by block.
+HELD_WORDS = 200_000
+
+
+def _pack_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (block, place, ids, decoded) as one row for each block and some words."""
+    held: list[pa.RecordBatch] = []
+
+    def rows():
+        table = pa.Table.from_batches(held).sort_by("block").combine_chunks()
+        blocks = table["block"].to_numpy()
+        cuts = np.concatenate(([0], np.flatnonzero(np.diff(blocks)) + 1, [len(blocks)]))
+        for a, b in zip(cuts, cuts[1:]):
+            part = table.slice(a, b - a).sort_by("place").combine_chunks()
+            ids, text = part["ids"].chunk(0), part["decoded"].chunk(0)
+            places = part["place"].to_numpy()
+            raw = b"".join(
+                (_planes(np.diff(places, prepend=0)), _planes(_lengths(ids, pa.int32())), _planes(_lengths(text, None)),
+                 _planes(ids.flatten().to_numpy()), b"".join(text.to_pylist()))
+            )
+            yield pa.RecordBatch.from_arrays(_packed(int(blocks[a]), 0, len(part), raw), _NAMES)
+
+    for batch in batches:
+        if len(batch):
+            held.append(batch.select(["block", "place", "ids", "decoded"]))
+        if sum(map(len, held)) >= HELD_WORDS:
+            yield from rows()
+            held = []
+    if held:
+        yield from rows()
 
 
 def _block_places(kind: pa.DataType):
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, ids, words, counts, at in _cut(batches):
-            raw = _pack(counts, at)
-            packed = pa.compress(raw, codec="zstd", asbytes=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([block]), pa.array([len(words)], pa.int32()), pa.array([packed], pa.binary()), pa.array([len(raw)], pa.int64()), pa.array([ids], pa.list_(kind))],
-                ["block", "place", "packed", "raw", "texts"],
-            )
+            columns = _packed(block, 1, len(words), _planes(counts) + _planes(at))
+            yield pa.RecordBatch.from_arrays([*columns, pa.array([ids], pa.list_(kind))], [*_NAMES, "texts"])
 
     return places
 
@@ -141,23 +181,26 @@ def encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
     )
     id_type = named.schema["_id"].dataType.simpleString()
 
-    rows = named.mapInArrow(_block_words, "word string, block long, place int").repartition("word")
-    coded = word_table(rows.select("word").distinct(), tokenizer)
-    listed = rows.join(coded, "word").select(
-        "block", "place", "ids", "decoded", F.lit(None).cast("binary").alias("packed"), F.lit(None).cast("long").alias("raw"), F.lit(None).cast(f"array<{id_type}>").alias("texts")
+    # Both sides of the join read all columns of this shuffle, so it is written only once.
+    rows = named.mapInArrow(_block_words, "word string not null, block long not null, place int not null").repartition("word")
+    distinct = rows.groupBy("word").agg(F.min("block").alias("least_block"), F.min("place").alias("least_place"))
+    coded = word_table(distinct, tokenizer)
+    listed = (
+        rows.join(coded, "word").where("least_block <= block and least_place <= place")
+        .select("block", "place", "ids", "decoded").mapInArrow(_pack_words, _ROWS)
+        .withColumn("texts", F.lit(None).cast(f"array<{id_type}>"))
     )
-    placed = named.mapInArrow(_block_places(to_arrow_type(named.schema["_id"].dataType)), f"block long, place int, packed binary, raw long, texts array<{id_type}>")
-    placed = placed.select("block", "place", F.lit(None).cast("array<int>").alias("ids"), F.lit(None).cast("binary").alias("decoded"), "packed", "raw", "texts")
-    # a block's list comes in order, and its places after it
+    placed = named.mapInArrow(_block_places(to_arrow_type(named.schema["_id"].dataType)), f"{_ROWS}, texts array<{id_type}>")
+    # a block's words come before its texts
     return (
-        listed.unionByName(placed).repartition("block").sortWithinPartitions("block", "place")
+        listed.unionByName(placed).repartition("block").sortWithinPartitions("block", "kind")
         .mapInArrow(_assemble, f"_id {id_type}, ids array<int>, decoded string")
         .select(F.col("_id").alias(id_col), "ids", "decoded")
     )
 
 
 def word_table(words: DataFrame, tokenizer: str) -> DataFrame:
-    """(word, ids, decoded) of distinct words: encoded once, decoded by a join of ids to pieces."""
+    """``words`` with (ids, decoded): each word is encoded once, and decoded by its ids' pieces."""
 
     @F.pandas_udf("array<int>")
     def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -167,58 +210,84 @@ def word_table(words: DataFrame, tokenizer: str) -> DataFrame:
         for batch in batches:
             yield pd.Series([x.ids for x in library.encode_batch(batch.tolist(), add_special_tokens=False)])
 
-    coded = words.select("word", ids("word").alias("ids"))
-    return decode(coded, tokenizer, ["word", "ids"])
+    return decode(words.withColumn("ids", ids("word")), tokenizer, "word")
 
 
-def decode(coded: DataFrame, tokenizer: str, keys: list[str]) -> DataFrame:
-    """``coded`` with ``decoded``, the bytes of its ``ids``; ``keys`` tell its rows apart.
+def decode(coded: DataFrame, tokenizer: str, key: str) -> DataFrame:
+    """``coded`` with ``decoded``, the bytes of its ``ids``; ``key`` tells its rows apart.
 
     The pieces are the vocabulary, which is of fixed size, so they are broadcast.
     """
     table = coded.sparkSession.createDataFrame(pd.DataFrame(pieces(tokenizer), columns=["piece_id", "piece"]), "piece_id int, piece binary")
-    each = coded.select(*keys, F.posexplode("ids").alias("at", "piece_id")).join(F.broadcast(table), "piece_id")
-    found = F.array_sort(F.collect_list(F.struct("at", "piece")))
-    return each.groupBy(*keys).agg(found.alias("found")).select(
-        *keys, F.aggregate("found.piece", F.lit(b""), lambda done, piece: F.concat(done, piece)).alias("decoded")
+    rest = [c for c in coded.columns if c not in (key, "ids")]
+    # the outer form, as the other one filters by ids first, below what made the words distinct
+    each = coded.select(key, *rest, F.posexplode_outer("ids").alias("at", "piece_id")).join(F.broadcast(table), "piece_id")
+    found = F.array_sort(F.collect_list(F.struct("at", "piece_id", "piece")))
+    return each.groupBy(key).agg(found.alias("found"), *(F.min(c).alias(c) for c in rest)).select(
+        key, *rest, F.col("found.piece_id").alias("ids"),
+        F.aggregate("found.piece", F.lit(b""), lambda done, piece: F.concat(done, piece)).alias("decoded"),
     )
 
 
 def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts' ids and decoded texts from a block's list and places."""
-    lists: list[pa.RecordBatch] = []
+    """Texts' ids and decoded texts from the words and the texts of each block."""
+    parts: list[bytes] = []
+    sizes: list[int] = []
     for batch in batches:
-        begin = 0
-        for end in np.flatnonzero(batch["packed"].is_valid().to_numpy(zero_copy_only=False)):
-            lists.append(batch.slice(begin, end - begin).select(["ids", "decoded"]))
-            size, texts = batch["place"][int(end)].as_py(), batch["texts"][int(end)].values
-            if sum(map(len, lists)) != size:
+        for row in range(len(batch)):
+            kind, size, raw = (batch[x][row].as_py() for x in ("kind", "size", "raw"))
+            body = pa.decompress(batch["packed"][row].as_buffer(), raw, codec="zstd", asbytes=True)
+            if kind == 0:
+                parts.append(body)
+                sizes.append(size)
+                continue
+            if sum(sizes) != size:
                 raise ValueError("the two passes over the texts cut different blocks; store the input table first")
-            known = pa.Table.from_batches(lists).combine_chunks()
-            raw = pa.decompress(batch["packed"][int(end)].as_buffer(), batch["raw"][int(end)].as_py(), codec="zstd", asbytes=True)
-            counts, places = _unpack(raw, len(texts))
-            first = np.concatenate(([0], np.cumsum(counts)))
+            texts = batch["texts"][row].values
+            ids, decoded = _word_lists(parts, sizes)
+            counts, end = _read_planes(body, 0, len(texts))
+            places, _ = _read_planes(body, end, (len(body) - end) // 4)
+            first = np.concatenate(([0], np.cumsum(counts.astype(np.int64))))
             for a in range(0, len(counts), 1000):
                 b = min(len(counts), a + 1000)
-                at = pa.array(places[first[a] : first[b]])
-                cuts = pa.array((first[a : b + 1] - first[a]))
-                ids = _joined(known["ids"], at, cuts, pa.int32())
-                text = _joined(known["decoded"], at, cuts, None)
-                yield pa.RecordBatch.from_arrays([texts.slice(a, b - a), ids, text], ["_id", "ids", "decoded"])
-            lists, begin = [], int(end) + 1
-        if begin < len(batch):
-            lists.append(batch.slice(begin).select(["ids", "decoded"]))
-
-
-def _joined(column: pa.ChunkedArray, at: pa.Array, cuts: pa.Array, kind: pa.DataType | None) -> pa.Array:
+                at, cuts = pa.array(places[first[a] : first[b]]), first[a : b + 1] - first[a]
+                yield pa.RecordBatch.from_arrays(
+                    [texts.slice(a, b - a), _joined(ids, at, cuts, pa.int32()), _joined(decoded, at, cuts, None)], ["_id", "ids", "decoded"]
+                )
+            parts, sizes = [], []
+            del ids, decoded
+            pa.default_memory_pool().release_unused()
+
+
+def _word_lists(parts: list[bytes], sizes: list[int]) -> tuple[pa.Array, pa.Array]:
+    """The ids and the decoded bytes of a block's words, by their places."""
+    all_places, all_ids, all_text = [], [], []
+    for raw, n in zip(parts, sizes):
+        places, at = _read_planes(raw, 0, n)
+        n_ids, at = _read_planes(raw, at, n)
+        n_bytes, at = _read_planes(raw, at, n)
+        ids, at = _read_planes(raw, at, int(n_ids.sum()))
+        all_places.append(np.cumsum(places))
+        all_ids.append(pa.ListArray.from_arrays(_ends(n_ids), pa.array(ids.astype(np.int32))))
+        all_text.append(pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(_ends(n_bytes)), pa.py_buffer(raw[at:])]))
+    if not parts:
+        return pa.array([], pa.list_(pa.int32())), pa.array([], pa.binary())
+    order = pa.array(np.argsort(np.concatenate(all_places)))
+    return pa.concat_arrays(all_ids).take(order), pa.concat_arrays(all_text).take(order)
+
+
+def _ends(lengths: np.ndarray) -> np.ndarray:
+    return np.concatenate(([0], np.cumsum(lengths.astype(np.int64)))).astype(np.int32)
+
+
+def _joined(column: pa.Array, at: pa.Array, cuts: np.ndarray, kind: pa.DataType | None) -> pa.Array:
     """The values of ``column`` at ``at``, joined between ``cuts``: lists, or bytes as texts."""
-    taken = pa.concat_arrays(column.chunks).take(at) if column.num_chunks else pa.array([], column.type)
-    ends = np.concatenate(([0], np.cumsum(_lengths(taken, kind))))[cuts.to_numpy()].astype(np.int32)
+    taken = column.take(at)
+    ends = np.concatenate(([0], np.cumsum(_lengths(taken, kind))))[cuts].astype(np.int32)
     if kind is not None:
         return pa.ListArray.from_arrays(pa.array(ends), taken.flatten())
-    offsets = np.frombuffer(taken.buffers()[1], np.int32, len(taken) + 1, taken.offset * 4) if len(taken) else np.zeros(1, np.int32)
-    body = taken.buffers()[2] if len(taken) else pa.py_buffer(b"")
-    return pa.StringArray.from_buffers(len(ends) - 1, pa.py_buffer((ends + offsets[0]).astype(np.int32)), body)
+    body = taken.buffers()[2] if len(taken) else None
+    return pa.StringArray.from_buffers(len(ends) - 1, pa.py_buffer(ends), body or pa.py_buffer(b""))
 
 
 def _lengths(taken: pa.Array, kind: pa.DataType | None) -> np.ndarray:
