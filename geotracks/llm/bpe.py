@@ -4,7 +4,7 @@ Spark splits every text into the words (pre-tokens) of the byte-level pattern. T
 blocks of some megabytes; a block is the list of its distinct words and, for each text, the places
 of its words in that list. The words of all blocks are shuffled by word, each distinct word is
 encoded once and its ids are joined to their pieces, which decodes it, and ids and pieces are
-joined back to the places of each block.
+joined back to the places of each block. ``decode`` is the same join for whole lists of ids.
 
 A word has one row in a block however often it occurs, so the commonest word has as many rows as
 there are blocks. A block's list is bounded by the block's size. Places are packed by byte planes
@@ -70,16 +70,16 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list, pa.Arra
     size = seq = 0
 
     def block():
-        table = pa.Table.from_batches(held)
-        words = table["words"].combine_chunks()
-        words = pa.concat_arrays(words.chunks) if isinstance(words, pa.ChunkedArray) else words
-        coded = words.flatten().dictionary_encode()
+        number = (held[0]["part"][0].as_py() << 24) + seq
+        ids = [x for b in held for x in b["_id"].to_pylist()]
+        counts = np.concatenate([pc.list_value_length(b["words"]).to_numpy(zero_copy_only=False) for b in held])
+        coded = pa.chunked_array([b["words"].flatten() for b in held], pa.string()).dictionary_encode().combine_chunks()
+        held.clear()
         places = coded.indices.to_numpy()
         order = np.argsort(-np.bincount(places, minlength=len(coded.dictionary)), kind="stable")
         rank = np.empty(len(order), np.uint32)
         rank[order] = np.arange(len(order), dtype=np.uint32)
-        counts = pc.list_value_length(words).to_numpy(zero_copy_only=False)
-        return (held[0]["part"][0].as_py() << 24) + seq, table["_id"].to_pylist(), coded.dictionary.take(pa.array(order)), counts, rank[places]
+        return number, ids, coded.dictionary.take(pa.array(order)), counts, rank[places]
 
     for batch in batches:
         if not len(batch):
@@ -93,7 +93,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list, pa.Arra
             if upto[end - 1] >= BLOCK_CHARS:
                 yield block()
                 pa.default_memory_pool().release_unused()
-                held, seq, upto = [], seq + 1, upto - upto[end - 1]
+                seq, upto = seq + 1, upto - upto[end - 1]
             begin = end
         size = int(upto[-1])
     if held:
@@ -134,32 +134,53 @@ _NAMES = ["block", "kind", "size", "packed", "raw"]
 HELD_WORDS = 200_000
 
 
-def _pack_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (block, place, ids, decoded) as one row for each block and some words."""
-    held: list[pa.RecordBatch] = []
+def _encode_words(tokenizer: str):
+    """Rows (word, block, place), sorted by word, as packed rows (block, places, ids, decoded)."""
 
-    def rows():
-        table = pa.Table.from_batches(held).sort_by("block").combine_chunks()
-        blocks = table["block"].to_numpy()
-        cuts = np.concatenate(([0], np.flatnonzero(np.diff(blocks)) + 1, [len(blocks)]))
-        for a, b in zip(cuts, cuts[1:]):
-            part = table.slice(a, b - a).sort_by("place").combine_chunks()
-            ids, text = part["ids"].chunk(0), part["decoded"].chunk(0)
-            places = part["place"].to_numpy()
-            raw = b"".join(
-                (_planes(np.diff(places, prepend=0)), _planes(_lengths(ids, pa.int32())), _planes(_lengths(text, None)),
-                 _planes(ids.flatten().to_numpy()), b"".join(text.to_pylist()))
-            )
-            yield pa.RecordBatch.from_arrays(_packed(int(blocks[a]), 0, len(part), raw), _NAMES)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from tokenizers import Tokenizer
 
-    for batch in batches:
-        if len(batch):
-            held.append(batch.select(["block", "place", "ids", "decoded"]))
-        if sum(map(len, held)) >= HELD_WORDS:
-            yield from rows()
-            held = []
-    if held:
-        yield from rows()
+        library = Tokenizer.from_file(tokenizer)
+        piece = pa.array([p for _, p in pieces(tokenizer)], pa.binary())
+        held: list[pa.RecordBatch] = []
+        last: tuple[str, list[int]] | None = None
+        for batch in batches:
+            if not len(batch):
+                continue
+            coded = batch["word"].dictionary_encode()
+            words = coded.dictionary.to_pylist()
+            # a word's rows may go on in the next batch
+            known = [last[1]] if last and last[0] == words[0] else []
+            ids = known + [x.ids for x in library.encode_batch(words[len(known) :], add_special_tokens=False)]
+            last = (words[-1], ids[-1])
+            ids = pa.array(ids, pa.list_(pa.int32()))
+            # decoded through the join of ids to pieces, whose table is the vocabulary
+            text = _joined(piece, ids.flatten(), ids.offsets.to_numpy(), None)
+            held.append(
+                pa.RecordBatch.from_arrays([batch["block"], batch["place"], ids.take(coded.indices), text.take(coded.indices)], ["block", "place", "ids", "decoded"])
+            )
+            if sum(map(len, held)) >= HELD_WORDS:
+                yield from _packed_words(held)
+                held = []
+        if held:
+            yield from _packed_words(held)
+
+    return run
+
+
+def _packed_words(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    table = pa.Table.from_batches(held).sort_by([("block", "ascending"), ("place", "ascending")]).combine_chunks()
+    blocks = table["block"].to_numpy()
+    cuts = np.concatenate(([0], np.flatnonzero(np.diff(blocks)) + 1, [len(blocks)]))
+    for a, b in zip(cuts, cuts[1:]):
+        part = table.slice(a, b - a).combine_chunks()
+        ids, text = part["ids"].chunk(0), part["decoded"].chunk(0)
+        places = part["place"].to_numpy()
+        raw = b"".join(
+            (_planes(np.diff(places, prepend=0)), _planes(_lengths(ids, pa.int32())), _planes(_lengths(text, None)),
+             _planes(ids.flatten().to_numpy()), b"".join(text.to_pylist()))
+        )
+        yield pa.RecordBatch.from_arrays(_packed(int(blocks[a]), 0, len(part), raw), _NAMES)
 
 
 def _block_places(kind: pa.DataType):
@@ -181,13 +202,9 @@ def encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
     )
     id_type = named.schema["_id"].dataType.simpleString()
 
-    # Both sides of the join read all columns of this shuffle, so it is written only once.
-    rows = named.mapInArrow(_block_words, "word string not null, block long not null, place int not null").repartition("word")
-    distinct = rows.groupBy("word").agg(F.min("block").alias("least_block"), F.min("place").alias("least_place"))
-    coded = word_table(distinct, tokenizer)
+    rows = named.mapInArrow(_block_words, "word string, block long, place int")
     listed = (
-        rows.join(coded, "word").where("least_block <= block and least_place <= place")
-        .select("block", "place", "ids", "decoded").mapInArrow(_pack_words, _ROWS)
+        rows.repartition("word").sortWithinPartitions("word").mapInArrow(_encode_words(tokenizer), _ROWS)
         .withColumn("texts", F.lit(None).cast(f"array<{id_type}>"))
     )
     placed = named.mapInArrow(_block_places(to_arrow_type(named.schema["_id"].dataType)), f"{_ROWS}, texts array<{id_type}>")
@@ -199,34 +216,19 @@ def encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
     )
 
 
-def word_table(words: DataFrame, tokenizer: str) -> DataFrame:
-    """``words`` with (ids, decoded): each word is encoded once, and decoded by its ids' pieces."""
-
-    @F.pandas_udf("array<int>")
-    def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        from tokenizers import Tokenizer
-
-        library = Tokenizer.from_file(tokenizer)
-        for batch in batches:
-            yield pd.Series([x.ids for x in library.encode_batch(batch.tolist(), add_special_tokens=False)])
-
-    return decode(words.withColumn("ids", ids("word")), tokenizer, "word")
-
-
-def decode(coded: DataFrame, tokenizer: str, key: str) -> DataFrame:
-    """``coded`` with ``decoded``, the bytes of its ``ids``; ``key`` tells its rows apart.
+def decode(coded: DataFrame, tokenizer: str, key: str = "doc_id") -> DataFrame:
+    """(key, decoded) of rows (key, ids): ids joined to their pieces, and pieces joined in order.
 
-    The pieces are the vocabulary, which is of fixed size, so they are broadcast.
+    ``key`` tells the rows apart. The pieces are the vocabulary, which is of fixed size, so they
+    are broadcast. Bytes that are no UTF-8 come out as replacement characters. Null ids give null.
     """
     table = coded.sparkSession.createDataFrame(pd.DataFrame(pieces(tokenizer), columns=["piece_id", "piece"]), "piece_id int, piece binary")
-    rest = [c for c in coded.columns if c not in (key, "ids")]
-    # the outer form, as the other one filters by ids first, below what made the words distinct
-    each = coded.select(key, *rest, F.posexplode_outer("ids").alias("at", "piece_id")).join(F.broadcast(table), "piece_id")
-    found = F.array_sort(F.collect_list(F.struct("at", "piece_id", "piece")))
-    return each.groupBy(key).agg(found.alias("found"), *(F.min(c).alias(c) for c in rest)).select(
-        key, *rest, F.col("found.piece_id").alias("ids"),
-        F.aggregate("found.piece", F.lit(b""), lambda done, piece: F.concat(done, piece)).alias("decoded"),
+    each = coded.select(key, F.posexplode("ids").alias("at", "piece_id")).join(F.broadcast(table), "piece_id")
+    found = F.array_sort(F.collect_list(F.struct("at", "piece")))
+    decoded = each.groupBy(key).agg(found.alias("found")).select(
+        key, F.decode(F.aggregate("found.piece", F.lit(b""), lambda done, piece: F.concat(done, piece)), "UTF-8").alias("decoded")
     )
+    return coded.join(decoded, key, "left").select(key, F.when(F.size("ids") == 0, "").otherwise(F.col("decoded")).alias("decoded"))
 
 
 def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -252,7 +254,7 @@ def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 b = min(len(counts), a + 1000)
                 at, cuts = pa.array(places[first[a] : first[b]]), first[a : b + 1] - first[a]
                 yield pa.RecordBatch.from_arrays(
-                    [texts.slice(a, b - a), _joined(ids, at, cuts, pa.int32()), _joined(decoded, at, cuts, None)], ["_id", "ids", "decoded"]
+                    [texts.slice(a, b - a), _joined(ids, at, cuts, pa.int32()), _joined(decoded, at, cuts, None, pa.string())], ["_id", "ids", "decoded"]
                 )
             parts, sizes = [], []
             del ids, decoded
@@ -280,14 +282,14 @@ def _ends(lengths: np.ndarray) -> np.ndarray:
     return np.concatenate(([0], np.cumsum(lengths.astype(np.int64)))).astype(np.int32)
 
 
-def _joined(column: pa.Array, at: pa.Array, cuts: np.ndarray, kind: pa.DataType | None) -> pa.Array:
+def _joined(column: pa.Array, at: pa.Array, cuts: np.ndarray, kind: pa.DataType | None, out: pa.DataType = pa.binary()) -> pa.Array:
     """The values of ``column`` at ``at``, joined between ``cuts``: lists, or bytes as texts."""
     taken = column.take(at)
     ends = np.concatenate(([0], np.cumsum(_lengths(taken, kind))))[cuts].astype(np.int32)
     if kind is not None:
         return pa.ListArray.from_arrays(pa.array(ends), taken.flatten())
     body = taken.buffers()[2] if len(taken) else None
-    return pa.StringArray.from_buffers(len(ends) - 1, pa.py_buffer(ends), body or pa.py_buffer(b""))
+    return pa.Array.from_buffers(out, len(ends) - 1, [None, pa.py_buffer(ends), body or pa.py_buffer(b"")])
 
 
 def _lengths(taken: pa.Array, kind: pa.DataType | None) -> np.ndarray:
