@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from geotracks.llm import bpe, licenses, mixing, sharding, urls
+from geotracks.llm import bpe, licenses, minhash, mixing, sharding, urls
 from geotracks.llm.common import load
 
 
@@ -23,6 +23,10 @@ def op3_word_table_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.encode(load(spark, sf_dir, "documents"), bpe.default_tokenizer()))
 
 
+def op7_bottom_k_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.group(load(spark, sf_dir, "documents")).drop("print")
+
+
 def op9_jump_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(load(spark, sf_dir, "documents"))
 
@@ -33,7 +37,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_url_filters, op2_source_mixing, op3_word_table_bpe, op9_jump_sharding, op10_license_scan)
+    for f in (op1_url_filters, op2_source_mixing, op3_word_table_bpe, op7_bottom_k_near_dedup, op9_jump_sharding, op10_license_scan)
 }
 
 _OP1 = """
