@@ -6,16 +6,18 @@ set, which is linked with nothing. Shingles are compared by 64-bit hashes.
 1. Texts of equal sets are one class. All that follows works on classes.
 2. A sketch is the ``K`` smallest hashes of a set. Of two sets at ``THRESHOLD`` or more, each
    element of the union's K smallest hashes lies in both sketches with that probability, so they
-   share fewer than ``SHARED`` of 48 values once in some million pairs at the threshold itself,
-   and far less often above it. Sets of at most THRESHOLD * K hashes are exact.
+   share fewer than ``SHARED`` values about once in 100,000 pairs at the threshold itself, and
+   far less often above it. Sets of at most THRESHOLD * K hashes are exact.
 3. Inverted lists: a sketch's values are ordered by how many classes hold them. Two sketches with
    c values in common also share one of their K - c + 1 rarest, so only those are listed. Values
    that only one class holds, and common passages beyond those, are in no list.
 4. Each list's members are paired with its smallest member. Pairs whose union sketch estimates
    too low a similarity go, and full sets decide. Links give components.
-5. Lists that still hold several components are compared in blocks; only pairs of different
-   components that share enough sketch values come out, and full sets decide again. So a large
-   group of near copies is never expanded into its pairs.
+5. In lists that still hold several components, members are compared in blocks by sketches.
+   What comes out is members, not pairs: those with a likely partner in another component, in
+   the first list that both are in. These are compared in blocks by their full sets, and of the
+   links between two components one comes out. So a large group of near copies is never
+   expanded into its pairs.
 
 Null texts have no words. Repeated rows are of one class. Null ids are no component's smallest
 unless all are null. An empty table gives no rows.
@@ -36,8 +38,8 @@ from geotracks.session import materialize
 
 WIDTH = 5
 THRESHOLD = 0.75
-K = 48
-SHARED = 18
+K = 32
+SHARED = 12
 #: Members of a list that are compared with one another at a time.
 BLOCK = 256
 
@@ -121,20 +123,32 @@ def _links(named: DataFrame, classes: DataFrame) -> DataFrame:
     links = materialize(_verified(_likely(stars, classes), sets))
     roots = components(links)
 
-    held = lists.join(roots.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
-    mixed = held.groupBy("value").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("members")).where("low < high")
-    held = held.join(mixed.select("value", "members"), "value").join(classes.select("cls", "n", "values"), "cls")
-    chunk = F.pmod(F.hash("cls"), F.ceil(F.col("members") / BLOCK)).cast("int")
-    blocks = held.groupBy("value", chunk.alias("chunk")).agg(F.collect_list(F.struct("cls", "root", "n", "values")).alias("members"))
+    held = lists.join(roots.withColumnRenamed("node", "cls"), "cls", "left").select("value", "cls", "at", F.coalesce("root", "cls").alias("root"))
+    mixed = held.groupBy("value").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("value")
+    listed = lists.groupBy("cls").agg(F.sum(F.expr("shiftleft(1L, at)")).alias("listed"))
+    held = materialize(held.join(mixed, "value").select("value", "cls", "root"))
+    near = materialize(_pairs_of_blocks(held, classes.select("cls", "n", "values").join(listed, "cls"), _partners, "value long, cls long").distinct())
+    again = near.join(held, ["value", "cls"])
+    return links.unionByName(_pairs_of_blocks(again, sets, _linked, "a long, b long"))
+
+
+def _pairs_of_blocks(held: DataFrame, classes: DataFrame, test, schema: str) -> DataFrame:
+    """``test`` on every two blocks, and each with itself, of each list's members.
+
+    ``held``: (value, cls, root). A list is cut in blocks of about BLOCK members.
+    """
+    sizes = held.groupBy("value").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    rows = held.join(sizes, "value").join(classes, "cls")
+    chunk = F.pmod(F.hash("cls"), "blocks").cast("int")
+    rest = [c for c in classes.columns if c != "cls"]
+    blocks = rows.groupBy("value", chunk.alias("chunk")).agg(F.collect_list(F.struct("cls", "root", *rest)).alias("members"))
     other = blocks.select("value", F.col("chunk").alias("chunk_b"), F.col("members").alias("members_b"))
-    pairs = blocks.join(other, "value").where("chunk <= chunk_b").select("members", "members_b").mapInArrow(_across, "a long, b long").distinct()
-    tested = pairs.join(stars, ["a", "b"], "left_anti")
-    return links.unionByName(_verified(_likely(tested, classes), sets))
+    return blocks.join(other, "value").where("chunk <= chunk_b").select("value", "members", "members_b").mapInArrow(test, schema)
 
 
 def _lists(classes: DataFrame) -> DataFrame:
-    """(value, cls): the rarest values of each sketch that others hold too."""
-    postings = classes.select("cls", F.size("values").alias("s"), "n", F.explode("values").alias("value"))
+    """(value, cls, at): the rarest values of each sketch that others hold too, and their places."""
+    postings = classes.select("cls", F.size("values").alias("s"), "n", F.posexplode("values").alias("at", "value"))
     counts = postings.groupBy("value").agg(F.count("*").alias("df")).where("df > 1")
     small = F.col("n") <= THRESHOLD * K
     need = F.when(small, F.ceil(THRESHOLD * F.col("n"))).otherwise(F.lit(SHARED))
@@ -142,7 +156,7 @@ def _lists(classes: DataFrame) -> DataFrame:
     common = F.count("*").over(Window.partitionBy("cls"))
     # the values that no other class holds come first in the order
     ranked = ranked.withColumn("own", F.col("s") - common)
-    return ranked.where(F.col("own") + F.col("place") <= F.col("s") - need + 1).select("value", "cls")
+    return ranked.where(F.col("own") + F.col("place") <= F.col("s") - need + 1).select("value", "cls", "at")
 
 
 def _likely(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -183,26 +197,71 @@ def _exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of two blocks, in different components, that share enough sketch values."""
+class _Incidence:
+    """Which members of two blocks hold which values; only values that several hold count."""
+
+    def __init__(self, left: list[np.ndarray], right: list[np.ndarray]):
+        rows = [*left, *right]
+        row = np.repeat(np.arange(len(rows)), [len(x) for x in rows])
+        pool, inverse, counts = np.unique(np.concatenate(rows), return_inverse=True, return_counts=True)
+        several = counts > 1
+        keep = several[inverse]
+        self.pool = pool[several]
+        self.row, self.column = row[keep], (np.cumsum(several) - 1)[inverse[keep]]
+
+    def shared(self, a: int, b: int) -> np.ndarray:
+        """How many values each of the left members shares with each of the right ones."""
+        out = np.zeros((a, b), np.float32)
+        step = 4096  # columns at a time, so the table stays small
+        for begin in range(0, len(self.pool), step):
+            at = (self.column >= begin) & (self.column < begin + step)
+            part = np.zeros((a + b, step), np.float32)
+            part[self.row[at], self.column[at] - begin] = 1
+            out += part[:a] @ part[a:].T
+        return out
+
+
+def _block(members: pa.ListScalar) -> dict[str, np.ndarray]:
+    held = members.values
+    return {c: held.field(c) if c in ("values", "set") else held.field(c).to_numpy() for c in (f.name for f in held.type)}
+
+
+def _partners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The members with a likely partner in another component, in the first list of both."""
+    for batch in batches:
+        for value, left, right in zip(batch["value"].to_pylist(), batch["members"], batch["members_b"]):
+            x, y = _block(left), _block(right)
+            va, vb = ([v.values.to_numpy() for v in z["values"]] for z in (x, y))
+            shared = _Incidence(va, vb).shared(len(va), len(vb))
+            low, high = np.minimum(x["n"][:, None], y["n"][None]), np.maximum(x["n"][:, None], y["n"][None])
+            need = np.minimum(SHARED, np.ceil(THRESHOLD * high))
+            i, j = np.nonzero((shared >= need) & (x["root"][:, None] != y["root"][None]) & (low >= THRESHOLD * high))
+            first = _first_common(va, x["listed"], vb, y["listed"], i, j) == value
+            found = np.unique(np.concatenate([x["cls"][i[first]], y["cls"][j[first]]]))
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), value)), pa.array(found)], ["value", "cls"])
+
+
+def _first_common(va: list, la: np.ndarray, vb: list, lb: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """The smallest value that is listed for both members of each pair (i, j)."""
+    lists = [v[(mask >> np.arange(len(v))) & 1 == 1] for v, mask in zip([*va, *vb], [*la, *lb])]
+    pool, inverse = np.unique(np.concatenate(lists), return_inverse=True)
+    table = np.zeros((len(lists), len(pool)), bool)
+    table[np.repeat(np.arange(len(lists)), [len(x) for x in lists]), inverse] = True
+    out = np.empty(len(i), np.int64)
+    for begin in range(0, len(i), 1024):
+        part = slice(begin, begin + 1024)
+        out[part] = pool[(table[i[part]] & table[j[part] + len(va)]).argmax(axis=1)]
+    return out
+
+
+def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of the links between two components that two blocks hold, one each."""
     for batch in batches:
         for left, right in zip(batch["members"], batch["members_b"]):
             x, y = _block(left), _block(right)
-            pool, inverse = np.unique(np.concatenate([x[3], y[3]]), return_inverse=True)
-            holds = np.zeros((len(x[0]) + len(y[0]), len(pool)), np.float32)
-            rows = np.concatenate([x[4], y[4] + len(x[0])])
-            holds[rows, inverse] = 1
-            both = holds[: len(x[0])] @ holds[len(x[0]) :].T
-            sizes = np.minimum(x[2][:, None], y[2][None]), np.maximum(x[2][:, None], y[2][None])
-            need = np.minimum(SHARED, np.ceil(THRESHOLD * sizes[1]))
-            i, j = np.nonzero((both >= need) & (x[1][:, None] != y[1][None]) & (sizes[0] >= THRESHOLD * sizes[1]))
-            a, b = x[0][i], y[0][j]
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
-
-
-def _block(members: pa.ListScalar) -> tuple[np.ndarray, ...]:
-    """Classes, roots, sizes, all sketch values, and the member that each value is of."""
-    held = members.values
-    cls, root, n = (held.field(c).to_numpy() for c in ("cls", "root", "n"))
-    values = held.field("values")
-    return cls, root, n, values.flatten().to_numpy(), np.repeat(np.arange(len(values)), np.diff(values.offsets.to_numpy()))
+            sa, sb = ([np.frombuffer(s.as_buffer(), np.int64) for s in z["set"]] for z in (x, y))
+            shared = _Incidence(sa, sb).shared(len(sa), len(sb))
+            total = np.array([len(s) for s in sa])[:, None] + np.array([len(s) for s in sb])[None]
+            i, j = np.nonzero((shared >= THRESHOLD * (total - shared)) & (x["root"][:, None] != y["root"][None]))
+            _, one = np.unique(np.stack([x["root"][i], y["root"][j]]), axis=1, return_index=True)
+            yield pa.RecordBatch.from_arrays([pa.array(x["cls"][i[one]]), pa.array(y["cls"][j[one]])], ["a", "b"])
