@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 #: Characters of text after which a block ends.
-BLOCK_CHARS = 32 << 20
+BLOCK_CHARS = 16 << 20
 
 
 def word_pattern(special: list[str]) -> str:
@@ -131,7 +131,7 @@ def _packed(block: int, kind: int, size: int, raw: bytes) -> list:
 
 _NAMES = ["block", "kind", "size", "packed", "raw"]
 #: Words that a task holds before it packs them by block.
-HELD_WORDS = 200_000
+HELD_WORDS = 100_000
 
 
 def _encode_words(tokenizer: str):
