@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from geotracks.llm import bpe, licenses, minhash, mixing, sharding, urls
+from geotracks.llm import bpe, licenses, minhash, mixing, sharding, toxicity, urls
 from geotracks.llm.common import load
 
 
@@ -27,6 +28,15 @@ def op7_bottom_k_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.group(load(spark, sf_dir, "documents")).drop("print")
 
 
+def op8_convolutional_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, load(spark, sf_dir, "labels"))
+    return toxicity.score(docs.select("doc_id", "text"), model).select(
+        "doc_id", F.coalesce(toxicity.held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), F.col("_score").alias("score"),
+        (F.col("_score") >= toxicity.DEFAULT_THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op9_jump_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(load(spark, sf_dir, "documents"))
 
@@ -37,7 +47,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_url_filters, op2_source_mixing, op3_word_table_bpe, op7_bottom_k_near_dedup, op9_jump_sharding, op10_license_scan)
+    for f in (op1_url_filters, op2_source_mixing, op3_word_table_bpe, op7_bottom_k_near_dedup, op8_convolutional_toxicity, op9_jump_sharding, op10_license_scan)
 }
 
 _OP1 = """
