@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geotracks.llm import bpe, licenses, minhash, mixing, sharding, toxicity, urls
+from geotracks.llm import bpe, language, licenses, minhash, mixing, sharding, toxicity, urls
 from geotracks.llm.common import load
 
 
@@ -24,6 +24,20 @@ def op3_word_table_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.encode(load(spark, sf_dir, "documents"), bpe.default_tokenizer()))
 
 
+def op6_language_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages by their text, markup and address; profiles come from the labelled documents."""
+    pages = load(spark, sf_dir, "pages")
+    rows = pages.select(
+        "page_id", urls.parse(F.col("url"))[0].alias("host"), language.declared_language(F.col("html")).alias("declared"),
+        language.page_text(F.col("html")).alias("text"),
+    )
+    found = language.identify(rows, language.fit(load(spark, sf_dir, "documents")), "text", "declared", "host")
+    return found.select(
+        "page_id", "host", "declared", F.col("_language").alias("language"), F.col("_text_language").alias("text_language"),
+        F.round("_probability", 6).alias("probability"),
+    )
+
+
 def op7_bottom_k_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.group(load(spark, sf_dir, "documents")).drop("print")
 
@@ -47,7 +61,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_url_filters, op2_source_mixing, op3_word_table_bpe, op7_bottom_k_near_dedup, op8_convolutional_toxicity, op9_jump_sharding, op10_license_scan)
+    for f in (op1_url_filters, op2_source_mixing, op3_word_table_bpe, op6_language_evidence, op7_bottom_k_near_dedup, op8_convolutional_toxicity, op9_jump_sharding, op10_license_scan)
 }
 
 _OP1 = """

@@ -1,8 +1,53 @@
-"""The stages of the corpus pipeline."""
+"""The stages of the corpus pipeline: (spark, docs, sf_dir) to a DataFrame.
 
+All but the last return the columns that they get. Extra columns pass through; columns that begin
+with an underscore are the operators' own.
+"""
 
-def drop_toxic(spark, docs, sf_dir): ...
-def keep_identified(spark, docs, sf_dir): ...
-def keep_one_of_each_group(spark, docs, sf_dir): ...
-def mix_sources(spark, docs, sf_dir): ...
-def encode(spark, docs, sf_dir): ...
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from geotracks.llm import bpe, language, minhash, mixing, toxicity
+from geotracks.llm.common import load
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents below their language's toxicity threshold."""
+    model = toxicity.fit(docs, load(spark, sf_dir, "labels"))
+    return toxicity.toxic(docs, model).where("not _toxic").select(*docs.columns)
+
+
+def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is identified; the source stands for the host."""
+    return language.identify(docs, language.fit(docs), "text", "lang", "source").where("_language is not null").select(*docs.columns)
+
+
+def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates the document with the smallest id.
+
+    Rows that repeat an id and a text stay once; documents without words are no duplicates.
+    """
+    found = minhash.group(docs.select("doc_id", "text"))
+    kept = found.where("kept and print is not null").select(F.col("doc_id").alias("_id"), F.col("print").alias("_print"))
+    # rows of one id and different sets: the smallest fingerprint stays
+    kept = kept.groupBy("_id").agg(F.min("_print").alias("_print")).select("_id")
+    words = docs.where(F.coalesce(F.regexp_count(F.col("text"), F.lit(mixing.WORD)), F.lit(0)) > 0)
+    empty = docs.where(F.coalesce(F.regexp_count(F.col("text"), F.lit(mixing.WORD)), F.lit(0)) == 0)
+    stay = words.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    # the rest are rows that repeat an id and a text
+    once = stay.withColumn("_h", F.xxhash64("text")).dropDuplicates(["doc_id", "_h"]).drop("_h")
+    return once.unionByName(empty)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it."""
+    taken = mixing.mix(docs).where("taken > 0").select(F.col("doc_id").alias("_id"), F.expr("cast(taken / size as int)").alias("_times")).distinct()
+    rows = docs.join(taken, F.col("doc_id").eqNullSafe(F.col("_id")))
+    return rows.withColumn("_time", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The encoding's digests of each document."""
+    return bpe.digests(bpe.encode(docs, bpe.default_tokenizer()))
