@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geotracks.llm import bpe, embeddings, language, licenses, minhash, mixing, sharding, toxicity, urls
+from geotracks.llm import ann, bpe, embeddings, language, licenses, minhash, mixing, sharding, toxicity, urls
 from geotracks.llm.common import load
 
 
@@ -24,6 +24,10 @@ def op3_word_table_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.encode(load(spark, sf_dir, "documents"), bpe.default_tokenizer()))
 
 
+def op4_learned_partitions_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(load(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 20 == 0)
+
+
 def op5_sorted_projection_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.link(load(spark, sf_dir, "embeddings"))
 
@@ -65,7 +69,18 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_url_filters, op2_source_mixing, op3_word_table_bpe, op5_sorted_projection_dedup, op6_language_evidence, op7_bottom_k_near_dedup, op8_convolutional_toxicity, op9_jump_sharding, op10_license_scan)
+    for f in (
+        op1_url_filters,
+        op2_source_mixing,
+        op3_word_table_bpe,
+        op4_learned_partitions_ann,
+        op5_sorted_projection_dedup,
+        op6_language_evidence,
+        op7_bottom_k_near_dedup,
+        op8_convolutional_toxicity,
+        op9_jump_sharding,
+        op10_license_scan,
+    )
 }
 
 _OP1 = """
