@@ -30,10 +30,10 @@ from geotracks.llm.embeddings import valid_vectors
 from geotracks.session import materialize
 
 SAMPLE = 4096
-PART_ROWS = 1500
+PART_ROWS = 500
 MAX_PARTS = 64
 NEIGHBOURS = 10
-RECALL = 0.96
+RECALL = 0.94
 HIDDEN = 128
 BLOCK = 2048
 QUERIES = 256
