@@ -255,7 +255,7 @@ def _first_common(va: list, la: np.ndarray, vb: list, lb: np.ndarray, i: np.ndar
 
 
 def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of the links between two components that two blocks hold, one each."""
+    """Links of two blocks that join their components as all links between the blocks do."""
     for batch in batches:
         for left, right in zip(batch["members"], batch["members_b"]):
             x, y = _block(left), _block(right)
@@ -263,5 +263,23 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             shared = _Incidence(sa, sb).shared(len(sa), len(sb))
             total = np.array([len(s) for s in sa])[:, None] + np.array([len(s) for s in sb])[None]
             i, j = np.nonzero((shared >= THRESHOLD * (total - shared)) & (x["root"][:, None] != y["root"][None]))
-            _, one = np.unique(np.stack([x["root"][i], y["root"][j]]), axis=1, return_index=True)
+            roots, one = np.unique(np.stack([x["root"][i], y["root"][j]]), axis=1, return_index=True)
+            one = one[_forest(roots)]
             yield pa.RecordBatch.from_arrays([pa.array(x["cls"][i[one]]), pa.array(y["cls"][j[one]])], ["a", "b"])
+
+
+def _forest(pairs: np.ndarray) -> np.ndarray:
+    """Which of the pairs (2 x n) join components that earlier ones did not."""
+    parent: dict[int, int] = {}
+    keep = np.zeros(pairs.shape[1], bool)
+    for at, (a, b) in enumerate(pairs.T.tolist()):
+        ends = []
+        for x in (a, b):
+            while (up := parent.get(x, x)) != x:
+                parent[x] = parent.get(up, up)
+                x = up
+            ends.append(x)
+        if ends[0] != ends[1]:
+            parent[max(ends)] = min(ends)
+            keep[at] = True
+    return keep
