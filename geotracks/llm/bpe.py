@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 #: Characters of text after which a block ends.
-BLOCK_CHARS = 16 << 20
+BLOCK_CHARS = 24 << 20
 
 
 def word_pattern(special: list[str]) -> str:
@@ -131,7 +131,7 @@ def _packed(block: int, kind: int, size: int, raw: bytes) -> list:
 
 _NAMES = ["block", "kind", "size", "packed", "raw"]
 #: Words that a task holds before it packs them by block.
-HELD_WORDS = 100_000
+HELD_WORDS = 150_000
 
 
 def _encode_words(tokenizer: str):
@@ -220,15 +220,15 @@ def decode(coded: DataFrame, tokenizer: str, key: str = "doc_id") -> DataFrame:
     """(key, decoded) of rows (key, ids): ids joined to their pieces, and pieces joined in order.
 
     ``key`` tells the rows apart. The pieces are the vocabulary, which is of fixed size, so they
-    are broadcast. Bytes that are no UTF-8 come out as replacement characters. Null ids give null.
+    are broadcast. Bytes that are no UTF-8 stay as they are. Null ids give null.
     """
     table = coded.sparkSession.createDataFrame(pd.DataFrame(pieces(tokenizer), columns=["piece_id", "piece"]), "piece_id int, piece binary")
     each = coded.select(key, F.posexplode("ids").alias("at", "piece_id")).join(F.broadcast(table), "piece_id")
     found = F.array_sort(F.collect_list(F.struct("at", "piece")))
     decoded = each.groupBy(key).agg(found.alias("found")).select(
-        key, F.decode(F.aggregate("found.piece", F.lit(b""), lambda done, piece: F.concat(done, piece)), "UTF-8").alias("decoded")
+        key, F.aggregate("found.piece", F.lit(b""), lambda done, piece: F.concat(done, piece)).cast("string").alias("decoded")
     )
-    return coded.join(decoded, key, "left").select(key, F.when(F.size("ids") == 0, "").otherwise(F.col("decoded")).alias("decoded"))
+    return coded.select(key, "ids").join(decoded, key, "left").select(key, F.when(F.size("ids") == 0, "").otherwise(F.col("decoded")).alias("decoded"))
 
 
 def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
