@@ -31,8 +31,8 @@ def load_boundaries(
     table_name(level)
     shape = [c for c in _SHAPE if c in raw.columns]
     extra = [c for c in raw.columns if c not in BOUNDARY_FIELDS and c not in ("ogc_fid", *shape)]
-    reason = F.when(F.col("geom_type") != "MultiPolygon", "geometry type").when(
-        F.col("srid") != WGS84, "reference system"
+    reason = F.when(~F.col("geom_type").eqNullSafe("MultiPolygon"), "geometry type").when(
+        ~F.col("srid").eqNullSafe(WGS84), "reference system"
     )
     for name, data_type in BOUNDARY_FIELDS.items():
         reason = reason.when(~_fits(F.col(name), data_type), name)

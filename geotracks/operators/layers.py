@@ -61,7 +61,7 @@ def _cells(ids: DataFrame, nx: int, minx: float, miny: float, side: float) -> Da
     placed = ids.select(
         (F.col("id") + 1).alias("cell_id"),
         (F.col("id") % nx).alias("col"),
-        F.floor(F.col("id") / nx).alias("row"),
+        F.expr(f"id DIV {nx}").alias("row"),
     )
     extent = placed.select(
         "*",

@@ -108,6 +108,11 @@ def import_tracks(
                 F.lit(1).cast("long").alias("tracks"),
             )
         )
+        .unionByName(
+            changed.join(merged.select(*keys).distinct(), keys, "left_anti").select(
+                "kind", "name", F.lit("no line").alias("reason"), F.lit(1).cast("long").alias("tracks")
+            )
+        )
     )
     return ImportResult(
         True,

@@ -111,7 +111,10 @@ class TrackStore:
     def _marks(self, name: str) -> DataFrame | None:
         try:
             return self.spark.read.schema("version int, label string").parquet(f"{self.base}/{name}")
-        except AnalysisException:
+        except AnalysisException as error:
+            # any other failure must not pass for an empty store, which the next commit overwrites
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
             return None
 
     def _latest(self, name: str) -> int | None:

@@ -118,3 +118,9 @@ def test_reconcile(spark):
     areas = spark.createDataFrame([("A", 10.0), ("B", 5.0)], "area_id string, hectares double")
     plots = spark.createDataFrame([("A", 2.0), ("A", 3.0), ("C", 1.0)], "area_id string, hectares double")
     assert [tuple(r) for r in derive.reconcile(areas, plots).collect()] == [("A", 10.0, 5.0, 5.0)] * 2
+
+
+def test_a_track_of_one_point_is_rejected(spark):
+    known = import_tracks(vertices(spark, [("ABC-1-2-3", [[(0, 0), (1, 0), (1, 1), (0, 0)]])]))
+    again = import_tracks(vertices(spark, [("ABC-1-2-3", [[(5, 5)]])], src="b.gpx"), known.areas, known.plots)
+    assert [(r.name, r.reason) for r in again.rejects.collect()] == [("ABC-1-2-3", "no line")]
