@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -114,7 +115,11 @@ def _import_both(spark: SparkSession, sf_dir: str, flag_between: bool = False) -
         plots = type(plots)(
             flags.flag(plots.table, fx.exclude_plots(staged), "plot_id"), plots.vertices
         )
-    return import_tracks(staged.where("src = '2'"), areas, plots)
+    second = import_tracks(staged.where("src = '2'"), areas, plots)
+    rejects = first.rejects.withColumn("batch_no", F.lit(1)).unionByName(
+        second.rejects.withColumn("batch_no", F.lit(2))
+    )
+    return replace(second, rejects=rejects)
 
 
 def _stored(spark: SparkSession, sf_dir: str) -> ImportResult:

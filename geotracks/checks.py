@@ -307,9 +307,9 @@ CHECKS: dict[str, str] = {
     "area_upsert": _upsert("area", "fid, name AS area_id", "fx_exclude_areas"),
     "plot_upsert": _upsert("plot", "fid, area_id, name AS plot_id", "fx_exclude_plots"),
     "import_rejects": _with("heads", "shapes")
-    + """SELECT kind, name, 'parts do not join' AS reason, CAST(1 AS BIGINT) AS tracks
+    + """SELECT batch_no, kind, name, 'parts do not join' AS reason, CAST(1 AS BIGINT) AS tracks
          FROM heads JOIN shapes USING (batch_no, ogc_fid)
-         WHERE kind IS NOT NULL AND batch_no = 2 AND ring_points IS NULL""",
+         WHERE kind IS NOT NULL AND ring_points IS NULL""",
     "new_names_not_in": _with("heads")
     + """SELECT DISTINCT kind, name FROM heads WHERE batch_no = 2 AND kind IS NOT NULL
          AND name NOT IN (SELECT name FROM heads WHERE batch_no = 1 AND kind IS NOT NULL)""",

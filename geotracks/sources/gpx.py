@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from geotracks.session import materialize
@@ -35,7 +38,19 @@ def read_gpx(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     Files are parsed where they are read, one task per file at most.
     """
     raw = spark.read.format("xml").schema(_TRACK).options(**_OPTIONS).load(path)
-    return split_gpx(store_rows(_with_file(raw)))
+    return split_gpx(store_rows(_with_file(raw)), file_ends(spark, path))
+
+
+def file_ends(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """(src, ended) of files: whether the root element is closed. Rows are read tag by tag."""
+    tags = spark.read.option("lineSep", ">").text(paths)
+    last = F.col("value").rlike(r"</gpx\s*$|<gpx\b[^<]*/$")
+    return _with_file(tags).groupBy("src").agg(F.max(last).alias("ended"))
+
+
+def literal_path(src: str) -> str:
+    """A file's address as a path to read, without pattern characters."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", unquote(src))
 
 
 def stream_gpx_rows(
@@ -61,10 +76,16 @@ def store_rows(raw: DataFrame) -> DataFrame:
     return materialize(raw.withColumn("ogc_fid", F.monotonically_increasing_id() + 1))
 
 
-def split_gpx(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Vertices of whole files, and the names of broken ones, from stored rows."""
-    broken = raw.where(F.col(_CORRUPT).isNotNull()).groupBy("src").agg(
-        F.lit("file cannot be read").alias("reason")
+def split_gpx(raw: DataFrame, ends: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Vertices of whole files, and the names of broken ones, from stored rows.
+
+    ``ends`` tells which files are closed: a file cut between two tracks has no corrupt row.
+    """
+    unread = raw.where(F.col(_CORRUPT).isNotNull()).select("src")
+    broken = materialize(
+        unread.unionByName(ends.where("NOT ended").select("src")).groupBy("src").agg(
+            F.lit("file cannot be read").alias("reason")
+        )
     )
     tracks = (
         raw.where(F.col(_CORRUPT).isNull())

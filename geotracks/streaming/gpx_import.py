@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from geotracks.plans.importer import import_tracks
 from geotracks.schemas import TRACK_VERTICES
-from geotracks.sources.gpx import split_gpx, store_rows, stream_gpx_rows
+from geotracks.session import materialize
+from geotracks.sources.gpx import file_ends, literal_path, split_gpx, store_rows, stream_gpx_rows
 from geotracks.sources.store import TrackStore
 
 
@@ -39,13 +40,20 @@ def stream_gpx(
     """Import every GPX file now in ``folder`` not imported before, then stop.
 
     Run it again for files that came later. ``TrackStore.refresh`` rebuilds the derivations.
-    A batch is known to the store by the checkpoint folder and its number there.
+    A batch is known to the store by the query's id and its number. Broken files are listed
+    in ``broken_files`` of the store by both.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        vertices, broken = split_gpx(store_rows(batch))
-        broken.write.mode("overwrite").parquet(f"{store.base}/broken_files/batch={batch_id}")
-        import_batch(store, vertices, f"{checkpoint} {batch_id}", keep_clazz)
+        rows = store_rows(batch)
+        # names of one batch's files, which the driver listed before
+        paths = [literal_path(r.src) for r in rows.select("src").distinct().collect()]
+        if not paths:
+            return
+        stream = query_id(spark, checkpoint)
+        vertices, broken = split_gpx(rows, file_ends(spark, paths))
+        broken.write.mode("overwrite").parquet(f"{store.base}/broken_files/query={stream}/batch={batch_id}")
+        import_batch(store, vertices, f"{stream} {batch_id}", keep_clazz)
 
     return _start(stream_gpx_rows(spark, folder, files_per_batch), handle, checkpoint)
 
@@ -57,15 +65,47 @@ def stream_vertices(
     checkpoint: str,
     keep_clazz: bool = False,
 ) -> StreamingQuery:
-    """The same for parquet files of track vertices, where a track may span many rows."""
+    """The same for parquet files of track vertices, where a track may span many rows.
+
+    A batch must hold its tracks whole: the points of each part number 1 to n. Other tracks
+    are not imported but listed in ``broken_tracks`` of the store. Files that arrive together
+    are one batch, so a track may span those.
+    """
     rows = spark.readStream.schema(TRACK_VERTICES).parquet(folder)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        import_batch(store, batch, f"{checkpoint} {batch_id}", keep_clazz)
+        stream = query_id(spark, checkpoint)
+        cut = materialize(cut_tracks(batch))
+        cut.write.mode("overwrite").parquet(f"{store.base}/broken_tracks/query={stream}/batch={batch_id}")
+        whole = batch.join(
+            cut.select(F.col("src").alias("_src"), F.col("ogc_fid").alias("_fid")),
+            F.col("src").eqNullSafe(F.col("_src")) & F.col("ogc_fid").eqNullSafe(F.col("_fid")),
+            "left_anti",
+        )
+        import_batch(store, whole, f"{stream} {batch_id}", keep_clazz)
 
     return _start(rows, handle, checkpoint)
 
 
+def cut_tracks(vertices: DataFrame) -> DataFrame:
+    """(src, ogc_fid, reason) of the tracks with a part whose points do not number 1 to n."""
+    parts = vertices.groupBy("src", "ogc_fid", "seg_no").agg(
+        F.count("*").alias("n"),
+        F.count_distinct("pt_no").alias("numbers"),
+        F.min("pt_no").alias("first"),
+        F.max("pt_no").alias("last"),
+    )
+    whole = (F.col("first") == 1) & (F.col("last") == F.col("n")) & (F.col("numbers") == F.col("n"))
+    return parts.where(~F.coalesce(whole, F.lit(False))).groupBy("src", "ogc_fid").agg(
+        F.lit("track is not whole").alias("reason")
+    )
+
+
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a stream keeps in its checkpoint folder; a new folder has a new one."""
+    return spark.read.json(f"{checkpoint}/metadata").first()["id"]
+
+
 def _start(
     rows: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str
 ) -> StreamingQuery:

@@ -13,9 +13,10 @@ from geotracks.functions import geometry as geo
 from geotracks.operators import boundaries, layers, sites
 from geotracks.operators.placemarks import placemarks
 from geotracks.plans.importer import import_tracks
+from geotracks.schemas import TRACK_VERTICES
 from geotracks.sources import geojson, gpx, kml, tables
 from geotracks.sources.store import TrackStore
-from geotracks.streaming.gpx_import import import_batch, stream_gpx
+from geotracks.streaming.gpx_import import import_batch, query_id, stream_gpx, stream_vertices
 
 RING = [(2.0, 9.0), (2.1, 9.0), (2.1, 9.1), (2.0, 9.0)]
 
@@ -38,6 +39,9 @@ def test_read_gpx(spark, tmp_path):
     (tmp_path / "a.gpx").write_text(gpx_text([("AAA-1-1-1", [RING[:2], [], RING[1:]]), ("AAA-1-1-2", [RING])]))
     (tmp_path / "b.gpx").write_text(gpx_text([("AAA-1-1-1-1", [RING])]))
     (tmp_path / "broken.gpx").write_text(gpx_text([("AAA-3-3-3", [RING]), ("AAA-3-3-4", [RING])])[:-60])
+    cut = gpx_text([("AAA-4-4-4", [RING]), ("AAA-4-4-5", [RING])])
+    (tmp_path / "cut [1] between.gpx").write_text(cut[: cut.index("</trk>") + len("</trk>")])
+    (tmp_path / "garbage.gpx").write_text("no markup at all")
     got, rejects = gpx.read_gpx(spark, f"{tmp_path}/*.gpx")
     rows = got.orderBy("src", "ogc_fid", "seg_no", "pt_no").collect()
     assert {r.name for r in rows} == {"AAA-1-1-1", "AAA-1-1-2", "AAA-1-1-1-1"}
@@ -45,7 +49,24 @@ def test_read_gpx(spark, tmp_path):
     assert first == [(0, 1, 2.0, 9.0), (0, 2, 2.1, 9.0), (1, 1, 2.1, 9.0), (1, 2, 2.1, 9.1), (1, 3, 2.0, 9.0)]
     fids = [r.ogc_fid for r in rows if r.src.endswith("a.gpx")]
     assert fids == sorted(fids) and len(set(fids)) == 2
-    assert [r.src.rsplit("/", 1)[1] for r in rejects.collect()] == ["broken.gpx"]
+    assert sorted(r.src.rsplit("/", 1)[1] for r in rejects.collect()) == ["broken.gpx", "cut%20%5B1%5D%20between.gpx", "garbage.gpx"]
+
+
+def test_stream_of_cut_tracks(spark, tmp_path):
+    """A track whose other vertices come in a later batch does not replace what is stored."""
+    landing, store = str(tmp_path / "landing"), TrackStore(spark, f"{tmp_path}/store")
+    rows = [("s", 1, "AAA-1-1-1", 0, i + 1, x, y) for i, (x, y) in enumerate(RING + [(1.9, 8.9), (2.0, 9.0)])]
+    other = [("s", 2, "AAA-1-1-2", 0, i + 1, x, y) for i, (x, y) in enumerate(RING)]
+    for part in (rows[:3], rows[3:] + other):
+        spark.createDataFrame(part, TRACK_VERTICES).write.mode("append").parquet(landing)
+        stream_vertices(spark, landing, store, f"{tmp_path}/offsets").awaitTermination()
+    areas = store.features("area")
+    assert {r.area_id for r in areas.table.collect()} == {"AAA-1-1-1", "AAA-1-1-2"}
+    fid = next(r.fid for r in areas.table.collect() if r.area_id == "AAA-1-1-1")
+    got = areas.vertices.where(F.col("fid") == fid).orderBy("pt_no").select("x", "y").collect()
+    assert [tuple(r) for r in got][:3] == RING[:3]
+    broken = spark.read.parquet(f"{tmp_path}/store/broken_tracks").select("src", "ogc_fid").collect()
+    assert [tuple(r) for r in broken] == [("s", 1)]
 
 
 def test_stream_equals_batch(spark, tmp_path):
@@ -71,10 +92,15 @@ def test_stream_equals_batch(spark, tmp_path):
 
     # A replayed batch changes nothing.
     version = store.version()
-    assert store.has_batch(f"{tmp_path}/offsets {version}")
-    assert not import_batch(store, batch.areas.vertices, f"{tmp_path}/offsets {version}")
+    stream = query_id(spark, f"{tmp_path}/offsets")
+    assert store.has_batch(f"{stream} {version}")
+    assert not import_batch(store, batch.areas.vertices, f"{stream} {version}")
     assert store.version() == version
-    assert [p.name for p in (tmp_path / "store" / "broken_files").iterdir()].count("batch=0") == 1
+
+    # A new checkpoint folder is another stream: its batch 0 is imported, and lists its files.
+    stream_gpx(spark, str(landing), store, f"{tmp_path}/new_offsets").awaitTermination()
+    assert store.version() == version + 1 and query_id(spark, f"{tmp_path}/new_offsets") != stream
+    assert len(list((tmp_path / "store" / "broken_files").glob("query=*/batch=0"))) == 2
 
     assert store.refresh()
     assert store.derived("area", "convex").count() == 2
