@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from geotracks.llm import bpe, language, minhash, mixing, toxicity
 from geotracks.llm.common import load
+from geotracks.session import materialize
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,15 +31,16 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     Rows that repeat an id and a text stay once; documents without words are no duplicates.
     """
     found = minhash.group(docs.select("doc_id", "text"))
-    kept = found.where("kept and print is not null").select(F.col("doc_id").alias("_id"), F.col("print").alias("_print"))
-    # rows of one id and different sets: the smallest fingerprint stays
-    kept = kept.groupBy("_id").agg(F.min("_print").alias("_print")).select("_id")
-    words = docs.where(F.coalesce(F.regexp_count(F.col("text"), F.lit(mixing.WORD)), F.lit(0)) > 0)
-    empty = docs.where(F.coalesce(F.regexp_count(F.col("text"), F.lit(mixing.WORD)), F.lit(0)) == 0)
-    stay = words.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    # the rest are rows that repeat an id and a text
-    once = stay.withColumn("_h", F.xxhash64("text")).dropDuplicates(["doc_id", "_h"]).drop("_h")
-    return once.unionByName(empty)
+    # an id stays if one of its rows does; rows without words are all kept
+    ids = found.groupBy(F.col("doc_id").alias("_id")).agg(F.max(F.col("kept") & F.col("print").isNotNull()).alias("_stays"), F.max(F.col("print").isNull()).alias("_empty"), F.count("*").alias("_rows"))
+    ids = materialize(ids.where("_stays or _empty"))
+    same = F.col("doc_id").eqNullSafe(F.col("_id"))
+    # a row whose id is no other row's needs no comparison
+    single = docs.join(ids.where("_rows = 1"), same, "left_semi")
+    several = docs.join(ids.where("_rows > 1"), same).withColumn("_words", F.coalesce(F.regexp_count(F.col("text"), F.lit(mixing.WORD)), F.lit(0)))
+    once = several.where("_words > 0 and _stays").withColumn("_h", F.xxhash64("text")).dropDuplicates(["doc_id", "_h"])
+    empty = several.where("_words = 0")
+    return single.unionByName(once.select(*docs.columns)).unionByName(empty.select(*docs.columns))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
