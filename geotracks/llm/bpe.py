@@ -20,7 +20,9 @@ token, as in the library. Repeated rows are each encoded. An empty table gives n
 from __future__ import annotations
 
 import json
+import os
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -59,6 +61,18 @@ def pieces(path: str) -> list[tuple[int, bytes]]:
     return sorted((found | {t["id"]: t["content"].encode() for t in spec["added_tokens"]}).items())
 
 
+@lru_cache(maxsize=1)
+def _loaded(path: str) -> tuple:
+    """The library's tokenizer and the bytes of each id, loaded once by a worker process.
+
+    A task has one core, so the library starts no threads of its own.
+    """
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path), pa.array([p for _, p in pieces(path)], pa.binary())
+
+
 def _special(path: str) -> list[str]:
     with open(path, encoding="utf-8") as file:
         return [t["content"] for t in json.load(file)["added_tokens"]]
@@ -92,7 +106,6 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list, pa.Arra
             held.append(batch.slice(begin, end - begin))
             if upto[end - 1] >= BLOCK_CHARS:
                 yield block()
-                pa.default_memory_pool().release_unused()
                 seq, upto = seq + 1, upto - upto[end - 1]
             begin = end
         size = int(upto[-1])
@@ -138,10 +151,7 @@ def _encode_words(tokenizer: str):
     """Rows (word, block, place), sorted by word, as packed rows (block, places, ids, decoded)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from tokenizers import Tokenizer
-
-        library = Tokenizer.from_file(tokenizer)
-        piece = pa.array([p for _, p in pieces(tokenizer)], pa.binary())
+        library, piece = _loaded(tokenizer)
         held: list[pa.RecordBatch] = []
         last: tuple[str, list[int]] | None = None
         for batch in batches:
@@ -151,7 +161,7 @@ def _encode_words(tokenizer: str):
             words = coded.dictionary.to_pylist()
             # a word's rows may go on in the next batch
             known = [last[1]] if last and last[0] == words[0] else []
-            ids = known + [x.ids for x in library.encode_batch(words[len(known) :], add_special_tokens=False)]
+            ids = known + [x.ids for x in library.encode_batch_fast(words[len(known) :], add_special_tokens=False)]
             last = (words[-1], ids[-1])
             ids = pa.array(ids, pa.list_(pa.int32()))
             # decoded through the join of ids to pieces, whose table is the vocabulary
