@@ -198,28 +198,49 @@ def search(vectors: DataFrame, queries, k: int = 20, id_col: str = "vec_id", vec
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", F.col("vec_id").alias(id_col), "score")
 
 
+#: Answers that a task holds before it reduces them to the best of each query.
+HELD_ANSWERS = 1 << 19
+
+
 def _nearest(k: int):
+    """The k best of each query among all blocks that a task meets, so few rows are shuffled."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         for batch in batches:
             for asked, held in zip(batch["asked"], batch["held"]):
                 (q, x), (ids, y) = _block(asked), _block(held)
-                order = np.argsort(ids)
-                ids, y = ids[order], y[order]
                 scores = x @ y.T
                 scores[q[:, None] == ids[None]] = -np.inf
                 n = min(k, len(ids))
                 # all that reach the k-th score, so ties go to the smaller id
                 limit = -np.partition(-scores, n - 1, axis=1)[:, n - 1]
                 i, j = np.nonzero((scores >= limit[:, None]) & np.isfinite(scores))
-                order = np.lexsort((ids[j], -scores[i, j], i))
-                i, j = i[order], j[order]
-                place = np.arange(len(i)) - np.searchsorted(i, i)
-                i, j = i[place < k], j[place < k]
-                yield pa.RecordBatch.from_arrays([pa.array(q[i]), pa.array(ids[j]), pa.array(scores[i, j])], ["query_id", "vec_id", "score"])
+                kept.append(_best([(q[i], ids[j], scores[i, j])], k))
+                if sum(len(x[0]) for x in kept) >= HELD_ANSWERS:
+                    kept = [_best(kept, k)]
+                    # as many queries as fill half of it go out; the window takes the rest
+                    if len(kept[0][0]) >= HELD_ANSWERS // 2:
+                        yield _answers(kept.pop())
+        if kept:
+            yield _answers(_best(kept, k))
 
     return run
 
 
+def _best(found: list[tuple[np.ndarray, np.ndarray, np.ndarray]], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of (queries, ids, scores) the k best of each query."""
+    q, ids, scores = (np.concatenate(x) for x in zip(*found))
+    order = np.lexsort((ids, -scores, q))
+    q, ids, scores = q[order], ids[order], scores[order]
+    top = np.arange(len(q)) - np.searchsorted(q, q) < k
+    return q[top], ids[top], scores[top]
+
+
+def _answers(found: tuple[np.ndarray, np.ndarray, np.ndarray]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in found], ["query_id", "vec_id", "score"])
+
+
 def _block(rows: pa.ListScalar) -> tuple[np.ndarray, np.ndarray]:
     held = rows.values
     return held.field("_id").to_numpy(), np.stack([np.frombuffer(v.as_buffer()) for v in held.field("vec")])
