@@ -8,11 +8,16 @@ The posterior of a row's language is the product of three parts:
 * the prior of the row's host, smoothed by its domain's, that by its address suffix's, and that
   by the whole table's. The counts are the sums of the texts' posteriors by host, over all rows.
 
-Trigram profiles are fitted on about ``max_rows`` labelled texts, chosen by a hash of the id; the
-languages are the at most ``MAX_LANGUAGES`` most frequent labels of that sample.
+Trigram profiles are fitted on about ``max_rows`` labelled texts of each language, chosen by a
+hash of id and text; the languages are the at most ``MAX_LANGUAGES`` most frequent labels.
+
+"None of these" is one more hypothesis next to the languages, with counts by host and declaration
+like theirs. Its likelihood is that of a limit for each trigram, set for each language on a fifth
+of the sample that a trial profile leaves out: half-way between the language's own texts (their
+lowest hundredth) and the nearest foreign ones, and never less likely than evenly drawn trigrams.
 
 A row is rejected (language null) if its text has no trigram, or no language reaches
-``least`` posterior. Null texts and hosts, and undeclared languages, are missing evidence.
+``least`` posterior. ``_probability`` is that of the best language. Null texts and hosts, and undeclared languages, are missing evidence.
 Repeated rows get one answer. An empty table gives no rows; without labelled texts all rows are
 rejected.
 """
@@ -55,36 +60,73 @@ def trigrams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return ((code >> np.uint32(18)) % np.uint32(BUCKETS))[use].astype(np.int64), row[:-2][use]
 
 
-def fit(docs: DataFrame, max_rows: int = 8000, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> tuple[list[str], np.ndarray]:
-    """Languages and the log probabilities of their trigrams (languages x BUCKETS)."""
+def fit(docs: DataFrame, max_rows: int = 8000, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Languages, the log probabilities of their trigrams (languages x BUCKETS), and their limits."""
     labelled = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), F.col(lang_col).alias("_lang")).where("_lang is not null")
-    rate = min(1.0, max_rows / max(1, labelled.count()))
-    chosen = labelled.where(F.pmod(F.xxhash64("_id", F.lit(3)), F.lit(1 << 30)) < rate * (1 << 30))
+    sizes = labelled.groupBy("_lang").count().orderBy(F.desc("count"), "_lang").limit(MAX_LANGUAGES).collect()
+    if not sizes:
+        return [], np.zeros((0, BUCKETS)), np.zeros(0)
+    rate = F.create_map(*(F.lit(x) for r in sizes for x in (r["_lang"], min(1.0, max_rows / r["count"]))))[F.col("_lang")]
+    chosen = labelled.where(F.pmod(F.xxhash64("_id", "_text", F.lit(3)), F.lit(1 << 30)) < rate * (1 << 30))
+    chosen = chosen.withColumn("_held", F.pmod(F.xxhash64("_id", "_text", F.lit(5)), F.lit(5)) == 0)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals: dict[str, np.ndarray] = {}
+        totals: dict[tuple[str, bool], np.ndarray] = {}
         for batch in batches:
             for piece in slices(batch, "_text"):
                 bucket, row = trigrams(piece["_text"])
                 langs = np.array(piece["_lang"].to_pylist(), object)
+                held = np.array(piece["_held"].to_pylist(), bool)
                 for lang in set(langs):
-                    of = bucket[(langs == lang)[row]]
-                    totals[lang] = totals.get(lang, 0) + np.bincount(of, minlength=BUCKETS)
-        for lang, counts in totals.items():
+                    for h in (False, True):
+                        of = bucket[((langs == lang) & (held == h))[row]]
+                        totals[lang, h] = totals.get((lang, h), 0) + np.bincount(of, minlength=BUCKETS)
+        for (lang, h), counts in totals.items():
             at = np.flatnonzero(counts)
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at), pa.array(counts[at])], ["lang", "bucket", "n"])
-
-    sums = chosen.mapInArrow(count, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
-    sums = materialize(sums)
-    top = sums.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES)
-    languages = sorted(r.lang for r in top.collect())
-    # at most MAX_LANGUAGES times BUCKETS counts
-    table = sums.where(F.col("lang").isin(languages)).toArrow()
-    counts = np.full((len(languages), BUCKETS), 0.5)
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array([h] * len(at), pa.bool_()), pa.array(at), pa.array(counts[at])], ["lang", "held", "bucket", "n"])
+
+    sums = chosen.mapInArrow(count, "lang string, held boolean, bucket long, n long").groupBy("lang", "held", "bucket").agg(F.sum("n").alias("n"))
+    # at most MAX_LANGUAGES times BUCKETS counts, twice
+    table = materialize(sums).toArrow()
+    languages = sorted(set(table["lang"].to_pylist()))
     place = {lang: i for i, lang in enumerate(languages)}
+    counts = np.zeros((2, len(languages), BUCKETS))
     if table.num_rows:
-        counts[[place[x] for x in table["lang"].to_pylist()], table["bucket"].to_numpy()] += table["n"].to_numpy()
-    return languages, np.log(counts / counts.sum(axis=1, keepdims=True))
+        counts[table["held"].to_numpy().astype(int), [place[x] for x in table["lang"].to_pylist()], table["bucket"].to_numpy()] = table["n"].to_numpy()
+    return languages, _profiles(counts.sum(axis=0)), _limits(chosen.where("_held"), languages, _profiles(counts[0]))
+
+
+def _profiles(counts: np.ndarray) -> np.ndarray:
+    counts = counts + 0.5
+    return np.log(counts / counts.sum(axis=1, keepdims=True))
+
+
+def _limits(held: DataFrame, languages: list[str], profiles: np.ndarray) -> np.ndarray:
+    """The log likelihood for each trigram below which a text is not of the language."""
+    flat = -np.log(BUCKETS)
+    if not languages:
+        return np.zeros(0)
+    shared = held.sparkSession.sparkContext.broadcast(profiles)
+
+    def means(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in slices(batch, "_text"):
+                ll, n = log_likelihoods(piece["_text"], shared.value)
+                full = np.flatnonzero(n > 0)
+                k = ll.shape[1]
+                each = ll[full] / np.minimum(n[full], WEIGHT)[:, None]
+                yield pa.RecordBatch.from_arrays([piece["_lang"].take(pa.array(np.repeat(full, k))), pa.array(np.tile(np.arange(k), len(full))), pa.array(each.ravel())], ["lang", "k", "mean"])
+
+    found = held.mapInArrow(means, "lang string, k long, mean double").groupBy("lang", "k").agg(F.percentile_approx("mean", [0.01, 0.5], 1000).alias("q")).collect()
+    q = {(r.lang, r.k): r.q for r in found}
+    limits = np.full(len(languages), flat)
+    for k, lang in enumerate(languages):
+        if (lang, k) in q:
+            low, middle = q[lang, k]
+            foreign = max([float(profiles[k].mean()), *(q[x, k][1] for x in languages if x != lang and (x, k) in q)])
+            # of a language like another one, texts well below its own low ones still stay
+            limits[k] = max(flat, min((low + foreign) / 2, 2 * low - middle))
+    return limits
 
 
 def log_likelihoods(texts: pa.Array, profiles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -95,15 +137,15 @@ def log_likelihoods(texts: pa.Array, profiles: np.ndarray) -> tuple[np.ndarray,
     return sums / np.maximum(n, 1)[:, None] * np.minimum(n, WEIGHT)[:, None], n
 
 
-def identify(rows: DataFrame, model: tuple[list[str], np.ndarray], text_col: str, declared_col: str | None, host_col: str | None, least: float = 0.5) -> DataFrame:
+def identify(rows: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray], text_col: str, declared_col: str | None, host_col: str | None, least: float = 0.5) -> DataFrame:
     """``rows`` with ``_language`` (null: rejected), ``_probability`` and ``_text_language``.
 
     Columns of ``rows`` may have any names that do not begin with an underscore.
     """
-    languages, profiles = model
+    languages, profiles, limits = model
     if not languages:
         return rows.withColumns({"_language": F.lit(None).cast("string"), "_probability": F.lit(None).cast("double"), "_text_language": F.lit(None).cast("string")})
-    shared = rows.sparkSession.sparkContext.broadcast(profiles)
+    shared = rows.sparkSession.sparkContext.broadcast((profiles, limits))
     names = rows.columns
     given = rows.withColumn("_declared", F.col(declared_col) if declared_col else F.lit(None).cast("string"))
     given = given.withColumn("_host", F.col(host_col) if host_col else F.lit(None).cast("string"))
@@ -112,7 +154,11 @@ def identify(rows: DataFrame, model: tuple[list[str], np.ndarray], text_col: str
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for piece in slices(batch, text_col):
-                    ll, n = log_likelihoods(piece[text_col], shared.value)
+                    profiles, limits = shared.value
+                    ll, n = log_likelihoods(piece[text_col], profiles)
+                    # the last entry: none of the languages
+                    none = limits[ll.argmax(axis=1)] * np.minimum(n, WEIGHT)
+                    ll = np.concatenate([ll, none[:, None]], axis=1)
                     values = pa.ListArray.from_arrays(pa.array(np.arange(len(ll) + 1, dtype=np.int32) * ll.shape[1]), pa.array(ll.ravel()))
                     yield pa.RecordBatch.from_arrays([*(piece[c] for c in keep), values, pa.array(n)], [*keep, "_ll", "_n"])
 
@@ -123,7 +169,7 @@ def identify(rows: DataFrame, model: tuple[list[str], np.ndarray], text_col: str
         schema = T.StructType([*fields, T.StructField("_ll", T.ArrayType(T.DoubleType())), T.StructField("_n", T.LongType())])
         return given.select(*dict.fromkeys([*keep, text_col])).mapInArrow(likelihoods(keep), schema)
 
-    k = len(languages)
+    k = len(languages) + 1
     keys = with_likelihoods(["_declared", "_host"]).where("_n > 0").select("_declared", "_host", _softmax("_ll").alias("_p"))
     each = [F.sum(F.col("_p")[i]).alias(f"c{i}") for i in range(k)]
     sums = materialize(keys.groupBy("_declared", "_host").agg(*each))
@@ -137,8 +183,8 @@ def identify(rows: DataFrame, model: tuple[list[str], np.ndarray], text_col: str
     total = F.zip_with("_ll", F.coalesce("_said", F.array_repeat(F.lit(0.0), k)), lambda a, b: a + b)
     total = F.zip_with(total, F.coalesce("_prior", F.array_repeat(F.lit(0.0), k)), lambda a, b: a + b)
     out = out.withColumn("_post", _softmax(total))
-    best = F.array_max("_post")
-    name = F.array(*map(F.lit, languages))
+    best = F.array_max(F.slice("_post", 1, k - 1))
+    name = F.array(*map(F.lit, [*languages, None]))
 
     def which(values):
         return F.element_at(name, F.array_position(values, F.array_max(values)).cast("int"))

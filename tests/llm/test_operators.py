@@ -179,6 +179,24 @@ def test_language(spark, docs):
     assert language.identify(docs.limit(0), model, "text", "lang", "source").count() == 0
 
 
+def test_language_rejects_what_no_profile_fits(spark):
+    draw = np.random.default_rng(5)
+    words_of = {"en": "the cat and dog were in house with them this that which would other from".split(), "de": "der hund und die katze sind nicht mehr auf dem dach eine schule zwischen".split()}
+    # one language is rare and comes after the other
+    langs = ["en"] * 400 + ["de"] * 30
+    rows = [(i, " ".join(draw.choice(words_of[lang], 40)), lang, "h") for i, lang in enumerate(langs)]
+    strange = [
+        "sdkfj wqpoeiru zxcmnv lkjh qwpoe fjdkls zmxncb vbqwe rtuip", "Все счастливые семьи похожи друг на друга",
+        "吾輩は猫である。名前はまだ無い。どこで生れたか", "Wszystkie szczęśliwe rodziny są do siebie podobne",
+    ]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    model = language.fit(table, max_rows=100)
+    odd = spark.createDataFrame([(1000 + i, t, "en", "h") for i, t in enumerate(strange)], table.schema)
+    got = {r.doc_id: r for r in language.identify(table.unionByName(odd), model, "text", "lang", "source").collect()}
+    assert all(got[i]._language == lang for i, lang in enumerate(langs))
+    assert all(got[1000 + i]._language is None and got[1000 + i]._text_language is None for i in range(len(strange)))
+
+
 def test_sharding(docs, spark):
     got = sharding.shard_rows(docs).collect()
     assert len(got) == len(TEXTS) + 2
