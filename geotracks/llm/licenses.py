@@ -3,11 +3,12 @@
 All rolling word pairs of a text are hashed and joined to the word pairs of the templates. A hit
 at word p of a text and word t of a template votes for the diagonal p - t, which is where the
 template would begin. Votes are summed by diagonal. A diagonal on which all pairs of a template
-vote is an exact place of it. Neighbouring diagonals (words put in or left out) are merged into
-spans, and a span is verified by the share of the template's pairs that it holds, in order and
-close together.
+vote is an exact place of it. Neighbouring diagonals (words put in or left out) are merged by
+place: hits are chained in the order of the text, each later in the template than the one before
+it and on a diagonal at most ``DRIFT`` away, to either side. A template is verified by the share of
+its pairs that its longest chain holds.
 
-Base templates give base labels at exact places. A span that covers at least ``share`` of any
+Base templates give base labels at exact places. A chain that covers at least ``share`` of any
 template gives its label too, and so do the templates of ``OWN``.
 
 Null texts have no words. Very long texts give more rows, not longer ones. Repeated rows are each
@@ -16,11 +17,12 @@ scanned. An empty table gives no rows.
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from geotracks.llm.common import Words, folded_ascii, mix, slices
@@ -41,7 +43,7 @@ OWN = [
     ("redistribution and use in source and binary forms", "bsd"),
 ]
 SHARE = 0.65
-#: Words by which the diagonals of one span may differ.
+#: Words by which the diagonals of neighbours in a chain may differ.
 DRIFT = 3
 
 _INSIDE = np.zeros(256, bool)
@@ -85,6 +87,30 @@ def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def _chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The share of each template's pairs that its longest chain in a text holds.
+
+    Hits come by text, template and place. Only those that a chain can still reach are held.
+    """
+    names = ["_uid", "_template", "covered"]
+    key, held, best, size = None, deque(), 0, 1
+    for batch in batches:
+        done = []
+        for uid, template, p, t, pairs in zip(*(batch[c].to_pylist() for c in ("uid", "template", "p", "t", "pairs"))):
+            if (uid, template) != key:
+                if key is not None:
+                    done.append((*key, best / size))
+                key, held, best, size = (uid, template), deque(), 0, pairs
+            while held and held[0][0] < p - pairs - DRIFT:
+                held.popleft()
+            length = 1 + max((n for q, u, n in held if q < p and u < t and abs((p - t) - (q - u)) <= DRIFT), default=0)
+            held.append((p, t, length))
+            best = max(best, length)
+        yield pa.RecordBatch.from_arrays([pa.array([d[i] for d in done], kind) for i, kind in enumerate((pa.int64(), pa.int32(), pa.float64()))], names)
+    if key is not None:
+        yield pa.RecordBatch.from_arrays([pa.array([key[0]], pa.int64()), pa.array([key[1]], pa.int32()), pa.array([best / size])], names)
+
+
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", base=BASE, own=OWN, share: float = SHARE) -> DataFrame:
     """(id, n_words, n_base, first_word, last_word, base_labels, labels, score) of every row."""
     spark = docs.sparkSession
@@ -96,19 +122,18 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", base=B
     hits = grams.join(F.broadcast(templates), "pair")
 
     votes = hits.groupBy("uid", "template", (F.col("p") - F.coalesce("t", F.lit(0))).alias("diagonal")).agg(
-        F.count("*").alias("votes"), F.min("t").alias("low"), F.max("t").alias("high"), F.first("pairs").alias("pairs"),
+        F.count("*").alias("votes"), F.first("pairs").alias("pairs"),
         F.first("label").alias("label"), F.first("is_base").alias("is_base"), F.max("_id").alias("_id"),
     )
-    order = Window.partitionBy("uid", "template").orderBy("diagonal")
-    # a diagonal carries on a span if it begins near the last one's end and later in the template
-    follows = (F.col("diagonal") - F.lag("diagonal").over(order) <= DRIFT) & (F.col("low") > F.lag("high").over(order))
-    spans = votes.withColumn("opens", F.when(follows, 0).otherwise(1)).withColumn("span", F.sum("opens").over(order))
     exact = F.col("is_base") & (F.col("votes") == F.col("pairs"))
-    spans = spans.groupBy("uid", "template", "span").agg(
-        F.max("_id").alias("_id"), F.max(F.when(F.col("template").isNull(), F.col("diagonal"))).alias("n_words"),
-        F.first("label").alias("label"), (F.sum("votes") / F.max("pairs")).alias("covered"),
+    places = votes.groupBy("uid", "template").agg(
+        F.max("_id").alias("_id"), F.max(F.when(F.col("template").isNull(), F.col("diagonal"))).alias("n_words"), F.first("label").alias("label"),
         F.count_if(exact).alias("n_base"), F.min(F.when(exact, F.col("diagonal"))).alias("first_word"), F.max(F.when(exact, F.col("diagonal"))).alias("last_word"),
     )
+    order = ["uid", "template", "p", "t"]
+    ranked = hits.where("template is not null").select(*order, "pairs").repartition("uid", "template").sortWithinPartitions(*order)
+    chains = ranked.mapInArrow(_chains, "_uid long, _template int, covered double")
+    spans = places.join(chains, (F.col("uid") == F.col("_uid")) & (F.col("template") == F.col("_template")), "left")
     found = F.col("n_base") > 0
     return spans.groupBy("uid").agg(
         F.max("_id").alias(id_col), F.max("n_words").alias("n_words"), F.sum("n_base").alias("n_base"),

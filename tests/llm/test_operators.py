@@ -222,3 +222,17 @@ def test_licenses(docs):
         assert (r.n_words, r.n_base, r.first_word, r.last_word) == (len(w), len(at), min(at, default=None), max(at, default=None))
         assert r.base_labels == ",".join(sorted({x for _, x in places})) and set(r.base_labels.split(",")) - {""} <= set(r.labels.split(","))
     assert licenses.scan(docs.limit(0)).count() == 0
+
+
+def test_licenses_with_words_put_in_and_left_out(spark):
+    texts = [
+        ("redistribution and use in source binary forms", "bsd", 5 / 7), ("permission is hereby granted of charge", "mit", 4 / 6),
+        ("redistribution and use in any source and binary forms", "bsd", 6 / 7), ("permission is hereby now granted free of charge", "mit", 5 / 6),
+        # one word put in and one left out after it; a stray pair in front of the last part
+        ("redistribution and also use in source and forms", "bsd", 4 / 7), ("redistribution and use in and use source binary forms", "bsd", 4 / 7),
+        ("x permission is hereby granted is hereby of charge", "mit", 4 / 6),
+    ]
+    table = spark.createDataFrame([(i, t) for i, (t, _, _) in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: (r.labels, r.score) for r in licenses.scan(table).collect()}
+    for i, (_, label, score) in enumerate(texts):
+        assert got[i][0] == (label if score >= licenses.SHARE else "") and abs(got[i][1] - score) < 1e-9
