@@ -26,21 +26,19 @@ def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the smallest id.
+    """Of each group of near-duplicates one row: that of the smallest id, null last.
 
-    Rows that repeat an id and a text stay once; documents without words are no duplicates.
+    Of rows with that id the one with the smallest digest of its text stays, and of rows that
+    repeat both one. Documents without words are no duplicates.
     """
-    found = minhash.group(docs.select("doc_id", "text"))
-    # an id stays if one of its rows does; rows without words are all kept
-    ids = found.groupBy(F.col("doc_id").alias("_id")).agg(F.max(F.col("kept") & F.col("print").isNotNull()).alias("_stays"), F.max(F.col("print").isNull()).alias("_empty"), F.count("*").alias("_rows"))
-    ids = materialize(ids.where("_stays or _empty"))
-    same = F.col("doc_id").eqNullSafe(F.col("_id"))
-    # a row whose id is no other row's needs no comparison
-    single = docs.join(ids.where("_rows = 1"), same, "left_semi")
-    several = docs.join(ids.where("_rows > 1"), same).withColumn("_words", F.coalesce(F.regexp_count(F.col("text"), F.lit(mixing.WORD)), F.lit(0)))
-    once = several.where("_words > 0 and _stays").withColumn("_h", F.xxhash64("text")).dropDuplicates(["doc_id", "_h"])
-    empty = several.where("_words = 0")
-    return single.unionByName(once.select(*docs.columns)).unionByName(empty.select(*docs.columns))
+    keyed = docs.withColumn("_key", F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.unhex(F.md5(F.col("text").cast("binary"))).alias("digest")))
+    found = minhash.group(keyed.select("_key", "text"), "_key").where("kept")
+    keys = materialize(found.groupBy(F.col("_key").alias("_least")).agg((F.max(F.col("print").isNull()) | (F.count("*") == 1)).alias("_all")))
+    same = F.col("_key") == F.col("_least")
+    # rows that no other row repeats need no comparison, and rows without words are all kept
+    single = keyed.join(keys.where("_all"), same, "left_semi")
+    once = keyed.join(keys.where("not _all"), same, "left_semi").dropDuplicates(["_key"])
+    return single.unionByName(once).select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -16,3 +16,16 @@ def test_one_of_each_group_stays(spark):
     want = [rows[0], rows[3], rows[5], rows[6], rows[7], rows[8], rows[10]]
     assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
     assert stages.keep_one_of_each_group(spark, docs.limit(0), "").count() == 0
+
+
+def test_a_group_keeps_one_row_whatever_its_ids(spark):
+    other = " ".join(f"v{i}" for i in range(60))
+    third = " ".join(f"u{i}" for i in range(60))
+    rows = [
+        (None, LONG, "a"), (None, LONG + " tail", "a"), (1, LONG + " end", "b"),  # near copies, two of them without an id
+        (2, other, "a"), (3, third, "a"), (3, other + " more", "b"),  # an id with two texts, one a near copy of another document
+        (None, "null ids only " + " ".join(f"t{i}" for i in range(60)), "a"), (None, "null ids only " + " ".join(f"t{i}" for i in range(61)), "a"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = sorted(map(str, map(tuple, stages.keep_one_of_each_group(spark, docs, "").collect())))
+    assert len(got) == 4 and {str(rows[i]) for i in (2, 3, 4)} <= set(got) and set(got) & {str(rows[6]), str(rows[7])}
