@@ -1,6 +1,6 @@
 """Mixing sources to target weights by hash-threshold histograms.
 
-A row's hash follows from its id alone. Words are summed by source and leading hash bits; the
+A row's hash follows from its id, its text, and its number among the rows that repeat both. Words are summed by source and leading hash bits; the
 running sum tells the bucket in which a source's budget ends. Only that bucket is split by the
 next bits, down to one hash value. So a source's rows below one threshold are taken once more
 than its rows above it, and no row is sorted. Thresholds are nested: a larger budget only adds
@@ -13,7 +13,7 @@ Targets: sources in code-point order, null last, weigh 5, 2, 1, repeating. A tar
 ``cap`` times its source's words, and what is above is shared again by weight.
 
 Null texts have no words and take part with size 0. Rows of equal id, and null ids, are taken
-alike. An empty table gives no rows; a table without words gives targets of 0.
+each on its own. An empty table gives no rows; a table without words gives targets of 0.
 """
 
 from __future__ import annotations
@@ -31,14 +31,27 @@ BITS, LEVELS = 16, 4
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: float = 3.0, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """(id, size, source_size, target, taken) of every row of ``docs``."""
-    rows = materialize(
+    found = take(docs, [id_col], weights, cap, id_col, text_col, source_col)
+    return found.select(
+        id_col, F.col("_size").alias("size"), F.col("_source_size").alias("source_size"), F.col("_target").alias("target"),
+        (F.col("_size") * F.col("_times")).alias("taken"),
+    )
+
+
+def take(docs: DataFrame, keep: list[str], weights: tuple[float, ...] = WEIGHTS, cap: float = 3.0, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """Columns ``keep`` of every row of ``docs`` with _size, _source_size, _target and _times."""
+    held = materialize(
         docs.select(
-            F.col(id_col).alias("_id"),
-            F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
+            *keep,
+            F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long").alias("_size"),
             F.col(source_col).alias("_source"),
-            F.xxhash64(F.col(id_col), F.lit(7)).alias("hash"),
+            F.xxhash64(F.col(id_col), F.col(text_col), F.lit(7)).alias("_hash"),
+            F.monotonically_increasing_id().alias("_row"),
         )
     )
+    again = _repeats(held)
+    held = held.join(again, "_row", "left").withColumn("_hash", F.coalesce("_numbered", "_hash")).drop("_numbered")
+    rows = materialize(held.select("_source", F.col("_size").alias("size"), F.col("_hash").alias("hash")))
     sources = materialize(rows.groupBy("_source").agg(F.sum("size").alias("source_size")))
     sources = _targets(sources, weights, cap)
     budgets = sources.select(
@@ -46,10 +59,20 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: float = 3.0,
         F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long").alias("times"),
     ).withColumn("rest", F.col("target") - F.col("times") * F.col("source_size"))
     cuts = _thresholds(rows, budgets)
-    return _with(rows, cuts).select(
-        F.col("_id").alias(id_col), "size", "source_size", "target",
-        (F.col("size") * (F.col("times") + F.when(F.col("hash") < F.col("cut"), 1).otherwise(0))).cast("long").alias("taken"),
-    )
+    cuts = cuts.select("_source", F.col("source_size").alias("_source_size"), F.col("target").alias("_target"), F.col("times").alias("_whole"), F.col("cut").alias("_cut"))
+    times = (F.col("_whole") + F.when(F.col("_hash") < F.col("_cut"), 1).otherwise(0)).cast("long")
+    return _with(held, cuts).select(*keep, "_size", "_source_size", "_target", times.alias("_times"))
+
+
+def _repeats(held: DataFrame) -> DataFrame:
+    """(_row, _numbered): the hashes of rows that repeat an id and a text, by their number."""
+    several = held.groupBy("_hash").agg(F.count("*").alias("_n")).where("_n > 1").select("_hash")
+    numbered = number(held.select("_hash", "_row").join(materialize(several), "_hash"), [F.col("_hash"), F.col("_row")])
+    numbered = materialize(numbered)
+    first = numbered.groupBy("_hash").agg(F.min("place").alias("_first"))
+    # the first of them keeps its hash
+    nth = F.col("place") - F.col("_first")
+    return materialize(numbered.join(first, "_hash").select("_row", F.when(nth > 0, F.xxhash64("_hash", nth)).otherwise(F.col("_hash")).alias("_numbered")))
 
 
 def _with(rows: DataFrame, sources: DataFrame) -> DataFrame:

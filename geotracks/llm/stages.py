@@ -43,9 +43,8 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it."""
-    taken = mixing.mix(docs).where("taken > 0").select(F.col("doc_id").alias("_id"), F.expr("cast(taken / size as int)").alias("_times")).distinct()
-    rows = docs.join(taken, F.col("doc_id").eqNullSafe(F.col("_id")))
-    return rows.withColumn("_time", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns)
+    rows = mixing.take(docs, docs.columns).where("_times > 0 and _size > 0")
+    return rows.withColumn("_time", F.explode(F.sequence(F.lit(1), F.col("_times").cast("int")))).select(*docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
