@@ -1,57 +1,50 @@
-"""Ordered work (numbering, previous row) that no single key or task has to hold.
+"""Ordered work (numbering, previous row, row by position) that no key or task has to hold.
 
-``row_number`` or ``lag`` over a hot key sorts that key in one task. Here the rows are
-first cut into contiguous ranges of the sort order, each of bounded size; a window runs
-inside a range, and a small table with one row per (key, range) carries the state across.
+Spark's own range exchange puts the rows in order, and they are stored so. A partition holds
+one range of the order, whatever its size, and one small table, with a row for each partition,
+says what lies before it. A hot key spans as many partitions as its rows fill.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import Column, DataFrame, Row, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-#: Rows one task may sort; an input up to this size is not cut at all.
-ROWS_PER_RANGE = 1_000_000
-_SAMPLES_PER_RANGE = 20
-_MAX_RANGES = 4096
+from geotracks.session import materialize
 
+#: ``_at`` is a partition's number above these bits, and a row's number in it below.
+_BITS = 33
 
-def cut_points(
-    df: DataFrame, columns: Sequence[str], rows_per_range: int = ROWS_PER_RANGE
-) -> list[Row]:
-    """Sampled keys that cut ``df`` into ranges of about ``rows_per_range`` rows.
 
-    The sample kept on the driver has a fixed upper size, whatever the input.
+def _in_order(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``df`` stored in the order of ``columns``, with ``_at``, ``_part`` and ``_inside``.
+
+    Spark samples the rows before it exchanges them, so ``df`` is evaluated twice: store it
+    first where it is costly.
     """
-    keys = df.select(*columns)
-    rows = keys.count()
-    ranges = min(math.ceil(rows / rows_per_range), _MAX_RANGES)
-    if ranges <= 1:
-        return []
-    fraction = min(1.0, _SAMPLES_PER_RANGE * ranges / rows)
-    sample = keys.sample(fraction=fraction, seed=17).distinct().sort(*columns).collect()
-    step = max(1, len(sample) // ranges)
-    return sample[step::step]
-
-
-def range_number(df: DataFrame, columns: Sequence[str], cuts: list[Row]) -> Column:
-    """Number of cut points at or below the row, by binary search in the sorted cuts."""
-    types = [df.schema[c].dataType for c in columns]
-    points = F.array(
-        *[
-            F.struct(*[F.lit(v).cast(t).alias(c) for v, t, c in zip(cut, types, columns)])
-            for cut in cuts
-        ]
+    ranged = df.repartitionByRange(*columns).sortWithinPartitions(*columns)
+    stored = materialize(ranged.withColumn("_at", F.monotonically_increasing_id()))
+    part = F.shiftright("_at", _BITS)
+    return stored.withColumns({"_part": part, "_inside": F.col("_at") - F.shiftleft(part, _BITS)})
+
+
+def _before(parts: DataFrame) -> DataFrame:
+    """For each partition how many rows lie before it, and how many there are in all."""
+    counts = parts.groupBy("_part").agg(F.count("*").alias("_rows"))
+    # One row per partition.
+    so_far = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    every = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return materialize(
+        counts.select(
+            "_part",
+            "_rows",
+            F.coalesce(F.sum("_rows").over(so_far), F.lit(0)).alias("_before"),
+            F.sum("_rows").over(every).alias("_all"),
+        )
     )
-    key = F.struct(*columns)
-    jumps = F.array(*[F.lit(1 << k) for k in reversed(range(len(cuts).bit_length()))])
-
-    def jump(at: Column, by: Column) -> Column:
-        return F.when(F.get(points, at + by - 1) <= key, at + by).otherwise(at)
-
-    return F.aggregate(jumps, F.lit(0), jump)
 
 
 def number_rows(
@@ -60,39 +53,29 @@ def number_rows(
     by: Sequence[str] = (),
     name: str = "ordinal",
     total: str | None = None,
-    rows_per_range: int = ROWS_PER_RANGE,
 ) -> DataFrame:
     """Dense 1-based position in ``order_by`` within each ``by`` group, and group size.
 
     ``order_by`` must be unique within a group.
     """
-    columns = [*by, *order_by]
-    cuts = cut_points(df, columns, rows_per_range)
-    if not cuts:
-        # At most rows_per_range rows in all.
-        group = Window.partitionBy(*by)
-        out = df.withColumn(name, F.row_number().over(group.orderBy(*order_by)).cast("long"))
-        return out.withColumn(total, F.count("*").over(group)) if total else out
-
-    ranged = _ranged(df, columns, by, cuts)
-    inside = Window.partitionBy("_group", "_range").orderBy(*order_by)
-    local = ranged.withColumn("_local", F.row_number().over(inside))
-    # One row per (group, range): few per group, and per range when there is no group.
-    group = Window.partitionBy("_group")
-    so_far = group.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    before = (
-        ranged.groupBy("_group", "_range")
-        .agg(F.count("*").alias("_rows"))
-        .select(
-            "_group",
-            "_range",
-            F.coalesce(F.sum("_rows").over(so_far), F.lit(0)).alias("_before"),
-            F.sum("_rows").over(group).alias("_total"),
+    ordered = _in_order(df, [*by, *order_by])
+    placed = ordered.join(_before(ordered), "_part").withColumn(
+        "_place", F.col("_before") + F.col("_inside")
+    )
+    if not by:
+        return placed.select(
+            *df.columns,
+            (F.col("_place") + 1).alias(name),
+            *([F.col("_all").alias(total)] if total else []),
         )
+    # A struct is never null, so groups with null keys join by plain equality.
+    placed = placed.withColumn("_group", F.struct(*by))
+    starts = placed.groupBy("_group").agg(
+        F.min("_place").alias("_start"), F.count("*").alias("_total")
     )
-    return local.join(before, ["_group", "_range"]).select(
+    return placed.join(materialize(starts), "_group").select(
         *df.columns,
-        (F.col("_local") + F.col("_before")).cast("long").alias(name),
+        (F.col("_place") - F.col("_start") + 1).alias(name),
         *([F.col("_total").alias(total)] if total else []),
     )
 
@@ -103,48 +86,19 @@ def with_previous(
     order_by: Sequence[str],
     by: Sequence[str],
     name: str = "previous",
-    rows_per_range: int = ROWS_PER_RANGE,
 ) -> DataFrame:
     """``value`` of the row before, in ``order_by`` within ``by``; null on the first row."""
-    columns = [*by, *order_by]
-    cuts = cut_points(df, columns, rows_per_range)
-    if not cuts:
-        return df.withColumn(
-            name, F.lag(value).over(Window.partitionBy(*by).orderBy(*order_by))
-        )
-    ranged = _ranged(df.withColumn("_value", value), columns, by, cuts)
-    inside = Window.partitionBy("_group", "_range").orderBy(*order_by)
-    local = ranged.withColumns(
-        {"_first": F.row_number().over(inside) == 1, "_inside": F.lag("_value").over(inside)}
-    )
-    carried = (
-        ranged.groupBy("_group", "_range")
-        .agg(F.max_by("_value", F.struct(*order_by)).alias("_last"))
-        .select(
-            "_group",
-            "_range",
-            F.lag("_last").over(Window.partitionBy("_group").orderBy("_range")).alias("_carried"),
-        )
-    )
-    return local.join(carried, ["_group", "_range"]).select(
+    keyed = df.withColumn("_held", F.struct(F.struct(*by).alias("group"), value.alias("value")))
+    ordered = _in_order(keyed, [*by, *order_by])
+    inside = Window.partitionBy("_part").orderBy("_at")
+    last = ordered.groupBy("_part").agg(F.max_by("_held", "_at").alias("_last"))
+    # One row per partition.
+    carried = last.select("_part", F.lag("_last").over(Window.orderBy("_part")).alias("_carried"))
+    walked = ordered.withColumn("_above", F.lag("_held").over(inside)).join(materialize(carried), "_part")
+    above = F.when(F.col("_inside") == 0, F.col("_carried")).otherwise(F.col("_above"))
+    return walked.withColumn("_above", above).select(
         *df.columns,
-        F.when(F.col("_first"), F.col("_carried")).otherwise(F.col("_inside")).alias(name),
-    )
-
-
-def _ranged(df: DataFrame, columns: Sequence[str], by: Sequence[str], cuts: list[Row]) -> DataFrame:
-    """Adds the range number, and the group as one struct.
-
-    A struct is never null, so groups with null keys join by plain equality and the window's
-    partitioning serves the join as well. The number comes out of a one-element explode, so
-    that the optimizer takes it as a value: it would otherwise repeat the search in filters
-    it infers from the join.
-    """
-    group = F.struct(*by) if by else F.struct(F.lit(0))
-    return df.select(
-        "*",
-        F.explode_outer(F.array(range_number(df, columns, cuts))).alias("_range"),
-        group.alias("_group"),
+        F.when(F.col("_above.group") == F.col("_held.group"), F.col("_above.value")).alias(name),
     )
 
 
@@ -161,14 +115,25 @@ def assign_fid(
 
 
 def feature_at(df: DataFrame, order_by: Sequence[str], index: int) -> DataFrame:
-    """The row at a 0-based position, or no row when the layer is shorter."""
+    """The row at a 0-based position, or no row when the layer is shorter.
+
+    Only the keys are exchanged, by ranges, and counted. The range that holds the position is
+    the only one to be sorted, and the row is then read by its key. ``order_by`` must be unique.
+    """
     if index < 0:
         raise ValueError("index must not be negative")
-    return (
-        number_rows(df, order_by, name="_ordinal")
-        .where(F.col("_ordinal") == index + 1)
-        .drop("_ordinal")
-    )
+    keys = df.select(*order_by).repartitionByRange(*order_by)
+    ranged = materialize(keys.withColumn("_part", F.spark_partition_id()))
+    # One row comes to the driver, and then one key.
+    held = _before(ranged).where((F.col("_before") <= index) & (F.col("_before") + F.col("_rows") > index)).first()
+    if held is None:
+        return df.limit(0)
+    inside = ranged.where(F.col("_part") == held["_part"]).select(*order_by)
+    key = inside.orderBy(*order_by).offset(index - held["_before"]).first()
+    same = [F.col(c).eqNullSafe(F.lit(key[c]).cast(df.schema[c].dataType)) for c in order_by]
+    return df.where(reduce(and_, same))
+
+
 
 
 def first_features(df: DataFrame, order_by: Sequence[str], n: int) -> DataFrame:

@@ -5,7 +5,6 @@ import random
 
 import pytest
 
-from geotracks.operators import ordering
 from geotracks.operators.merge import MODES, comparable, field_list, merge_features
 
 LAYOUT = "fid long, code string, val double, cat int, x double"
@@ -81,15 +80,15 @@ def test_all_modes_equal_the_loop(spark, layers, on, mode):
         assert sorted(map(tuple, got.features.collect()), key=repr) == want
 
 
-def test_hot_key_in_many_ranges(spark, layers, monkeypatch):
+def test_hot_key_in_many_ranges(spark, layers):
     source, target = layers
     src, dst = frames(spark, source, target)
-    original = ordering.cut_points
-    monkeypatch.setattr(ordering, "cut_points", lambda df, columns, rows_per_range=0: original(df, columns, 7))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     got = merge_features(src, dst, "seq", on="code", compare=True)
     rows, counts = loop(source, target, "code", "default", True, False, False)
     assert got.counts.first().asDict() == counts
     assert sorted(map(tuple, got.features.collect()), key=repr) == rows
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
 @pytest.mark.parametrize("mode", ["default", "append_only"])

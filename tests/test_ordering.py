@@ -17,9 +17,19 @@ def rows(spark):
     )
 
 
-@pytest.mark.parametrize("rows_per_range", [101, 1500, 10**6])
-def test_number_rows_equals_a_window(rows, rows_per_range):
-    got = ordering.number_rows(rows, ["v"], ["k"], "n", "total", rows_per_range)
+@pytest.fixture(params=[1, 13])
+def ranges(spark, request):
+    """Partitions of a range exchange; with 13 the hot key lies in several."""
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", request.param)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield request.param
+    for k, v in kept.items():
+        spark.conf.set(k, v)
+
+
+def test_number_rows_equals_a_window(rows, ranges):
+    got = ordering.number_rows(rows, ["v"], ["k"], "n", "total")
     w = Window.partitionBy("k")
     want = rows.withColumn("n", F.row_number().over(w.orderBy("v")).cast("long")).withColumn(
         "total", F.count("*").over(w)
@@ -28,23 +38,28 @@ def test_number_rows_equals_a_window(rows, rows_per_range):
     assert got.exceptAll(want).count() == 0 and got.count() == want.count()
 
 
-def test_number_rows_without_group(rows):
-    got = ordering.number_rows(rows, ["v"], name="n", rows_per_range=500).orderBy("v").collect()
-    assert [r.n for r in got] == list(range(1, 6001))
+def test_number_rows_without_group(rows, ranges):
+    got = ordering.number_rows(rows, ["v"], name="n", total="all").orderBy("v").collect()
+    assert [(r.n, r["all"]) for r in got] == [(i, 6000) for i in range(1, 6001)]
+    assert ordering.number_rows(rows.limit(0), ["v"], name="n").count() == 0
 
 
-@pytest.mark.parametrize("rows_per_range", [101, 10**6])
-def test_previous_equals_lag(rows, rows_per_range):
-    got = ordering.with_previous(rows, F.struct("v"), ["v"], ["k"], "p", rows_per_range)
+def test_previous_equals_lag(rows, ranges):
+    got = ordering.with_previous(rows, F.struct("v"), ["v"], ["k"], "p")
     want = rows.withColumn("p", F.lag(F.struct("v")).over(Window.partitionBy("k").orderBy("v")))
     assert got.exceptAll(want).count() == 0 and got.count() == want.count()
 
 
-def test_ranges_are_balanced(rows):
-    cuts = ordering.cut_points(rows, ["k", "v"], 100)
-    numbered = rows.withColumn("r", ordering.range_number(rows, ["k", "v"], cuts))
-    sizes = [r["count"] for r in numbered.groupBy("r").count().collect()]
-    assert len(sizes) > 30 and max(sizes) < 600
+def test_rows_spread_over_the_ranges(rows, ranges):
+    parts = [r["count"] for r in ordering._in_order(rows, ["k", "v"]).groupBy("_part").count().collect()]
+    assert len(parts) == ranges and max(parts) < 2 * 6000 / ranges + 1
+
+
+@pytest.mark.parametrize("index", [0, 1, 2999, 5999])
+def test_feature_at_equals_the_sorted_rows(rows, ranges, index):
+    want = rows.orderBy("k", "v").collect()[index]
+    assert ordering.feature_at(rows, ["k", "v"], index).collect() == [want]
+    assert ordering.feature_at(rows, ["k", "v"], 6000).count() == 0
 
 
 def test_assign_fid_and_ordinal_access(spark):
