@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geotracks.llm import ann, bpe, embeddings, language, licenses, minhash, mixing, sharding, toxicity, urls
+from geotracks.llm import ann, bpe, conversations, embeddings, language, licenses, minhash, mixing, sharding, toxicity, urls
 from geotracks.llm.common import load
 
 
@@ -67,6 +67,11 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(load(spark, sf_dir, "documents"))
 
 
+def op11_block_table_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = load(spark, sf_dir, "conversations")
+    return conversations.report(conversations.damage(rows), rows)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -80,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_convolutional_toxicity,
         op9_jump_sharding,
         op10_license_scan,
+        op11_block_table_repair,
     )
 }
 
