@@ -25,13 +25,17 @@ def _in_order(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     Spark samples the rows before it exchanges them, so ``df`` is evaluated twice: store it
     first where it is costly.
     """
-    ranged = df.repartitionByRange(*columns).sortWithinPartitions(*columns)
-    stored = materialize(ranged.withColumn("_at", F.monotonically_increasing_id()))
+    return stored_in_place(df.repartitionByRange(*columns).sortWithinPartitions(*columns))
+
+
+def stored_in_place(df: DataFrame) -> DataFrame:
+    """``df`` stored as it lies in its partitions, with ``_at``, and ``_part`` and ``_inside`` from 0."""
+    stored = materialize(df.withColumn("_at", F.monotonically_increasing_id()))
     part = F.shiftright("_at", _BITS)
     return stored.withColumns({"_part": part, "_inside": F.col("_at") - F.shiftleft(part, _BITS)})
 
 
-def _before(parts: DataFrame) -> DataFrame:
+def rows_before(parts: DataFrame) -> DataFrame:
     """For each partition how many rows lie before it, and how many there are in all."""
     counts = parts.groupBy("_part").agg(F.count("*").alias("_rows"))
     # One row per partition.
@@ -59,7 +63,7 @@ def number_rows(
     ``order_by`` must be unique within a group.
     """
     ordered = _in_order(df, [*by, *order_by])
-    placed = ordered.join(_before(ordered), "_part").withColumn(
+    placed = ordered.join(rows_before(ordered), "_part").withColumn(
         "_place", F.col("_before") + F.col("_inside")
     )
     if not by:
@@ -125,7 +129,7 @@ def feature_at(df: DataFrame, order_by: Sequence[str], index: int) -> DataFrame:
     keys = df.select(*order_by).repartitionByRange(*order_by)
     ranged = materialize(keys.withColumn("_part", F.spark_partition_id()))
     # One row comes to the driver, and then one key.
-    held = _before(ranged).where((F.col("_before") <= index) & (F.col("_before") + F.col("_rows") > index)).first()
+    held = rows_before(ranged).where((F.col("_before") <= index) & (F.col("_before") + F.col("_rows") > index)).first()
     if held is None:
         return df.limit(0)
     inside = ranged.where(F.col("_part") == held["_part"]).select(*order_by)
