@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geotracks.llm import ann, bpe, conversations, embeddings, language, licenses, minhash, mixing, sharding, toxicity, urls
+from geotracks.llm import ann, bpe, conversations, embeddings, language, licenses, minhash, mixing, resampling, sharding, toxicity, urls
 from geotracks.llm.common import load
 
 
@@ -72,6 +72,10 @@ def op11_block_table_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.report(conversations.damage(rows), rows)
 
 
+def op12_regular_sampling_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -86,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_jump_sharding,
         op10_license_scan,
         op11_block_table_repair,
+        op12_regular_sampling_resampling,
     )
 }
 
@@ -110,5 +115,46 @@ WITH cut AS (
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM fits WHERE n = 1
 """
 
+#: A word's CRC-32 modulo 10000: bytes are folded in bit by bit, once for each distinct word.
+_CRC = """
+  xor(list_reduce(
+    list_concat([4294967295::UBIGINT], list_transform(range(length(hex(w)) // 2), lambda i: ('0x' || substr(hex(w), 2 * i + 1, 2))::UBIGINT)),
+    lambda c, b: list_reduce(
+      list_concat([xor(c, b)], list_transform(range(8), lambda z: 0::UBIGINT)),
+      lambda x, z: xor(x // 2, (x % 2) * 3988292384::UBIGINT)
+    )
+  ), 4294967295::UBIGINT)
+"""
+
+_OP12 = f"""
+WITH texts AS (
+  SELECT 'd' AS side, row_number() OVER () AS r, doc_id, text FROM documents
+  UNION ALL SELECT 'b', row_number() OVER (), NULL, text FROM benchmark
+), words AS MATERIALIZED (
+  SELECT side, r, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'
+  )) AS w FROM texts
+), buckets AS MATERIALIZED (
+  SELECT w, ({_CRC}) % 10000 AS bucket FROM (SELECT DISTINCT w FROM words)
+), sums AS (
+  SELECT bucket, count(*) FILTER (side = 'd') AS s, count(*) FILTER (side = 'b') AS t FROM words JOIN buckets USING (w) GROUP BY bucket
+), gains AS (
+  SELECT bucket, floor(1000 * ln((t + 1)::DOUBLE * ((SELECT sum(s) FROM sums) + 10000)::DOUBLE
+    / ((s + 1)::DOUBLE * ((SELECT sum(t) FROM sums) + 10000)::DOUBLE)))::BIGINT AS gain FROM sums
+), weights AS (
+  SELECT r, count(*) AS n, floor(sum(gain) / count(*))::BIGINT AS weight
+  FROM words JOIN buckets USING (w) JOIN gains USING (bucket) WHERE side = 'd' GROUP BY r
+), scored AS (
+  SELECT doc_id, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+  FROM (SELECT * FROM texts WHERE side = 'd') LEFT JOIN weights USING (r)
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id NULLS LAST, n_features) AS place,
+         count(*) FILTER (n_features >= 20) OVER () AS eligible
+  FROM scored
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND place <= eligible * 10 // 100 THEN place END AS rank FROM placed
+"""
+
 #: DuckDB SQL over the same tables. Queries without an entry are held to brute force in tests/llm.
-CHECKS: dict[str, str] = {"op1_url_filters": _OP1}
+CHECKS: dict[str, str] = {"op1_url_filters": _OP1, "op12_regular_sampling_resampling": _OP12}
