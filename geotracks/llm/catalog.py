@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geotracks.llm import ann, bpe, conversations, embeddings, language, licenses, minhash, mixing, resampling, sharding, toxicity, urls
+from geotracks.llm import ann, bpe, conversations, credentials, embeddings, language, licenses, minhash, mixing, resampling, sharding, toxicity, urls
 from geotracks.llm.common import load
 
 
@@ -76,6 +76,10 @@ def op12_regular_sampling_resampling(spark: SparkSession, sf_dir: str) -> DataFr
     return resampling.resample(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
 
 
+def op13_ownership_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return credentials.scan(load(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -91,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_license_scan,
         op11_block_table_repair,
         op12_regular_sampling_resampling,
+        op13_ownership_secret_scan,
     )
 }
 
@@ -156,5 +161,54 @@ WITH texts AS (
 SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND place <= eligible * 10 // 100 THEN place END AS rank FROM placed
 """
 
+
+
+def _sql_text(pattern: str) -> str:
+    return "'" + pattern.replace("'", "''") + "'"
+
+
+def _matches(kind: str, pattern: str, group: int) -> str:
+    text = _sql_text(pattern)
+    return f"""SELECT r, '{kind}' AS kind, string_split_regex(t, {text}) AS parts, regexp_extract_all(t, {text}) AS whole,
+      regexp_extract_all(t, {text}, {group}) AS vals FROM docs WHERE regexp_matches(t, {text})"""
+
+
+_LOOKBEHIND = "(?<![0-9a-f])"  # a run is taken whole without it too
+_CANDIDATES = " UNION ALL ".join(
+    [_matches(k, p.replace(_LOOKBEHIND, ""), g) for k, (p, g, _) in credentials.PATTERNS.items()] + [_matches("form", credentials.FORMS, 0)]
+)
+_OP13 = f"""
+WITH docs AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t FROM documents
+), found AS ({_CANDIDATES}
+), numbered AS (
+  SELECT r, kind, parts, whole, vals, unnest(range(1, len(whole) + 1)) AS i FROM found
+), walked AS (
+  SELECT r, kind, whole[i] AS m, vals[i] AS v, sum(length(parts[i]) + length(whole[i])) OVER (PARTITION BY r, kind ORDER BY i) AS stop FROM numbered
+), valid AS MATERIALIZED (
+  SELECT r, doc_id, source, kind, v, stop - length(m) AS start, stop FROM walked JOIN docs USING (r)
+  WHERE kind = 'form' OR length(v) >= CASE kind WHEN 'assign' THEN 8 WHEN 'access' THEN 16 ELSE 32 END
+), owned AS (
+  SELECT v, count(DISTINCT {{'o': source}}) AS owners, count(DISTINCT {{'o': source, 'd': doc_id}}) AS repositories FROM valid GROUP BY v
+), judged AS (
+  SELECT r, v, stop, CASE WHEN owners >= 5 AND repositories >= 5 THEN 'copied'
+    WHEN owners = 1 AND length(v) >= 12 AND regexp_matches(v, '[A-Za-z]') AND regexp_matches(v, '[0-9]')
+      AND len(list_distinct(string_split(v, ''))) >= 6 AND NOT regexp_matches(v, {_sql_text(credentials.PLACEHOLDER)}) THEN 'live' END AS kind
+  FROM valid JOIN owned USING (v)
+), spans AS (
+  SELECT r, kind, start, stop, true AS base FROM valid WHERE kind <> 'form'
+  UNION ALL SELECT DISTINCT r, kind, stop - length(v), stop, false FROM judged WHERE kind IS NOT NULL
+), ordered AS (
+  SELECT *, list_position(['assign', 'access', 'hex', 'live', 'copied'], kind) AS k, kind || ':' || start || ':' || stop AS s FROM spans
+), texts AS (
+  SELECT r, count(*) FILTER (base AND kind = 'assign') AS n_assign, count(*) FILTER (base AND kind = 'access') AS n_access,
+         count(*) FILTER (base AND kind = 'hex') AS n_hex, string_agg(s, ',' ORDER BY start, k) FILTER (base) AS base_spans,
+         string_agg(s, ',' ORDER BY start, k, stop) AS spans FROM ordered GROUP BY r
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base_spans, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM docs LEFT JOIN texts USING (r)
+"""
+
 #: DuckDB SQL over the same tables. Queries without an entry are held to brute force in tests/llm.
-CHECKS: dict[str, str] = {"op1_url_filters": _OP1, "op12_regular_sampling_resampling": _OP12}
+CHECKS: dict[str, str] = {"op1_url_filters": _OP1, "op12_regular_sampling_resampling": _OP12, "op13_ownership_secret_scan": _OP13}
