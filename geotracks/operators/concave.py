@@ -1,14 +1,18 @@
 """Concave hulls of point groups of any size.
 
-The points of a group are first put into the cells of a grid laid over its bounds, and each
-cell is reduced to its convex hull by ``hulls``. A group is then at most ``GRID`` squared
-small rings, whatever its number of points, and one task digs its outline:
+The points of a group are put into square cells, and each cell is reduced to its convex hull by
+``hulls``. Cells are quarters of quarters of the group's bounds: as small as they can be with no
+more than ``resolution`` of them holding points. So their size follows the room that the points
+take, and a far-off point costs a cell and coarsens nothing. A group is then at most
+``resolution`` small rings, whatever its number of points, and one task digs its outline:
 
 * start from the convex hull of everything;
-* take the longest edge a-b, and the free point c nearest to it (least |ac| + |cb|);
-* replace a-b by a-c-b if both new edges are shorter and cross no outline or cell edge, else
-  leave the edge as it is (so a cave wider than its mouth is not entered, and no triangle is
-  cut out of a single cell, whose inner points are not at hand);
+* take the longest edge a-b, and the free point c inside of it that is nearest to it;
+* replace a-b by a-c-b if c is nearer to one end than the ends are to each other, no point lies
+  in between, and the new edges cross no outline or cell edge (so no triangle is cut out of a
+  single cell, whose inner points are not at hand). If something stands in the way, its points
+  are tried next, up to ``TRIES`` of them, else the edge stays. A cave is entered along its
+  walls, so it may be deeper than its mouth is wide;
 * stop a given hull when its area is at or below the wanted share of the convex area, or no
   edge is longer than a cell.
 
@@ -25,16 +29,24 @@ from collections.abc import Callable, Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from geotracks.functions import geometry as geo
 from geotracks.operators.hulls import chains, convex_hulls
+from geotracks.operators.ordering import with_previous
 from geotracks.schemas import LINE
+from geotracks.session import materialize
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-#: Cells along each side of a group's bounds.
-GRID = 64
+#: Cells of a group that hold points, at most.
+RESOLUTION = 4096
+#: Points that are tried for an edge before it stays.
+TRIES = 16
+#: A point so near to an edge, as a share of its length, lies on it: the edge is parted there.
+ON_EDGE = 1e-12
+#: Quarterings of a group's bounds, at most.
+DEPTH = 26
 
 
 def concave_hulls(
@@ -43,10 +55,11 @@ def concave_hulls(
     shares: dict[str, float],
     x: str = "x",
     y: str = "y",
+    resolution: int = RESOLUTION,
 ) -> DataFrame:
     """One row per key group, with one open ring per entry of ``shares`` (name to share)."""
     keys = list(keys)
-    cells = convex_hulls(_in_cells(points, keys, x, y), [*keys, "cell"], name="ring")
+    cells = convex_hulls(_in_cells(points, keys, x, y, resolution), [*keys, "finest", "cell"], name="ring")
     fields = [T.StructField(k, cells.schema[k].dataType) for k in keys]
     schema = T.StructType([*fields, *[T.StructField(n, LINE) for n in shares]])
     # A fixed number of partitions: the work is in the digging, not in the bytes.
@@ -62,19 +75,71 @@ def hectares(ring: Column) -> Column:
     return geo.ring_hectares(ring)
 
 
-def _in_cells(points: DataFrame, keys: list[str], x: str, y: str) -> DataFrame:
-    narrow = points.select(*keys, F.col(x).alias("x"), F.col(y).alias("y"))
-    bounds = narrow.groupBy(*keys).agg(
-        F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1")
+def _in_cells(points: DataFrame, keys: list[str], x: str, y: str, resolution: int) -> DataFrame:
+    """Points with the number of their cell, and the diagonal of their group's cells."""
+    narrow = points.select(
+        *keys, F.struct(*keys).alias("_group"), F.col(x).alias("x"), F.col(y).alias("y")
+    ).where("x IS NOT NULL AND y IS NOT NULL")
+    bounds = materialize(
+        narrow.groupBy("_group").agg(
+            F.min("x").alias("x0"),
+            F.min("y").alias("y0"),
+            F.greatest(F.max("x") - F.min("x"), F.max("y") - F.min("y")).alias("side"),
+        )
     )
-    side = lambda v, low, high: F.least(
-        F.lit(GRID - 1),
-        F.coalesce(
-            F.floor(F.try_divide((F.col(v) - F.col(low)) * GRID, F.col(high) - F.col(low))), F.lit(0)
-        ),
+    coded = narrow.join(bounds, "_group").withColumn("code", _interleaved(_place("x"), _place("y")))
+    depths = _depths(coded.select("_group", "code").distinct(), resolution)
+    sized = materialize(bounds.join(depths, "_group").select("_group", "x0", "y0", "side", "depth"))
+    found = narrow.join(sized, "_group").withColumn("code", _interleaved(_place("x"), _place("y")))
+    return found.select(
+        *keys,
+        (F.col("side") / F.pow(2.0, "depth") * 2**0.5).alias("finest"),
+        F.expr(f"shiftright(code, 2 * ({DEPTH} - depth))").alias("cell"),
+        "x",
+        "y",
     )
-    cell = (side("x", "x0", "x1") * GRID + side("y", "y0", "y1")).cast("int")
-    return narrow.join(bounds, keys).select(*keys, cell.alias("cell"), "x", "y")
+
+
+def _place(name: str) -> Column:
+    """Number of the smallest column or row of cells that a coordinate lies in."""
+    share = F.coalesce(F.try_divide(F.col(name) - F.col(f"{name}0"), F.col("side")), F.lit(0.0))
+    return F.least(F.floor(share * (1 << DEPTH)), F.lit((1 << DEPTH) - 1)).cast("long")
+
+
+def _interleaved(column: Column, row: Column) -> Column:
+    """Bits of both, in turn: what is left of the number without its last pairs is a larger cell's."""
+
+    def spread(v: Column) -> Column:
+        # Each step halves the runs of bits that still lie together.
+        for shift, mask in (
+            (16, 0x0000FFFF0000FFFF),
+            (8, 0x00FF00FF00FF00FF),
+            (4, 0x0F0F0F0F0F0F0F0F),
+            (2, 0x3333333333333333),
+            (1, 0x5555555555555555),
+        ):
+            v = v.bitwiseOR(F.shiftleft(v, shift)).bitwiseAND(F.lit(mask))
+        return v
+
+    return spread(column).bitwiseOR(F.shiftleft(spread(row), 1))
+
+
+def _depths(codes: DataFrame, resolution: int) -> DataFrame:
+    """For each group the number of quarterings that leaves at most ``resolution`` cells with points.
+
+    In order of their codes, the points of a cell lie together. So a level has one cell more for
+    each neighbour in that order that parts from the one before it at that level or above.
+    """
+    walked = with_previous(codes, F.col("code"), ["code"], ["_group"], "above")
+    differing = F.length(F.bin(F.col("code").bitwiseXOR(F.col("above"))))
+    level = F.when(F.col("above").isNull(), 0).otherwise(DEPTH + 1 - F.ceil(differing / 2))
+    # At most one row per group and level.
+    new_cells = walked.groupBy("_group", level.alias("level")).agg(F.count("*").alias("cells"))
+    so_far = Window.partitionBy("_group").orderBy("level")
+    cells = new_cells.withColumn("cells", F.sum("cells").over(so_far))
+    first_above = F.min(F.when(F.col("cells") > resolution, F.col("level")))
+    depth = F.coalesce(first_above - 1, F.lit(DEPTH)).cast("int")
+    return cells.groupBy("_group").agg(depth.alias("depth"))
 
 
 def _dig_group(keys: list[str], shares: dict[str, float]) -> Callable:
@@ -84,7 +149,11 @@ def _dig_group(keys: list[str], shares: dict[str, float]) -> Callable:
         flat = rings.flatten()
         sizes = np.diff(rings.offsets.to_numpy())
         found = dig(
-            flat.field("x").to_numpy(), flat.field("y").to_numpy(), sizes, list(shares.values())
+            flat.field("x").to_numpy(),
+            flat.field("y").to_numpy(),
+            sizes,
+            list(shares.values()),
+            table["finest"][0].as_py(),
         )
         columns = [pa.array([k.as_py()], k.type) for k in key]
         for xs, ys in found:
@@ -96,9 +165,16 @@ def _dig_group(keys: list[str], shares: dict[str, float]) -> Callable:
 
 
 def dig(
-    x: np.ndarray, y: np.ndarray, cell_sizes: np.ndarray, shares: list[float]
+    x: np.ndarray,
+    y: np.ndarray,
+    cell_sizes: np.ndarray,
+    shares: list[float],
+    finest: float = 0.0,
 ) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Outlines of the points for each share. Points come as rings, ``cell_sizes`` long each."""
+    """Outlines of the points for each share. Points come as rings, ``cell_sizes`` long each.
+
+    Edges up to ``finest``, the size of a cell, stay: below it the shape is not known.
+    """
     last = np.cumsum(cell_sizes) - 1
     follow = np.arange(1, len(x) + 1)
     follow[last] = last - cell_sizes + 1
@@ -131,8 +207,6 @@ def dig(
                 result[i] = outline()
         return len(result) == len(shares)
 
-    # Below the size of a cell the shape is not known.
-    finest = np.hypot(np.ptp(x), np.ptp(y)) / GRID
     while edges and not settle():
         length, _, _, a = heapq.heappop(edges)
         if -length <= finest:
@@ -144,19 +218,38 @@ def dig(
         to_a = np.hypot(x[free] - x[a], y[free] - y[a])
         to_b = np.hypot(x[free] - x[b], y[free] - y[b])
         turns = _turn(x, y, a, b, free)
-        near = (np.maximum(to_a, to_b) < -length) & (np.minimum(to_a, to_b) > 0) & (turns >= 0)
-        if not near.any():
-            continue
-        options = np.flatnonzero(near)
-        pick = options[np.lexsort((y[free[near]], x[free[near]], (to_a + to_b)[near]))[0]]
-        c, turn = int(free[pick]), turns[pick]
-        if cell[a] == cell[b] == cell[c]:
+        inside = np.flatnonzero((np.minimum(to_a, to_b) > 0) & (turns >= 0))
+        if not len(inside):
             continue
+        far = _from_edge(x, y, a, b, free[inside])
+        fits = np.minimum(to_a, to_b)[inside] < -length
         rim = np.flatnonzero(after >= 0)
         froms = np.concatenate([rim, wall_from])
         tos = np.concatenate([after[rim], wall_to])
-        if _crosses(x, y, a, c, froms, tos) or _crosses(x, y, c, b, froms, tos):
+        found = -1
+        nearest_first = np.lexsort((y[free[inside]], x[free[inside]], far))
+        pool, tried = [nearest_first[0]], set()
+        while pool and len(tried) < TRIES:
+            at = min(pool, key=lambda i: (far[i], x[free[inside[i]]], y[free[inside[i]]]))
+            pool.remove(at)
+            tried.add(at)
+            c = int(free[inside[at]])
+            if far[at] <= ON_EDGE * -length:
+                found = at
+                break
+            if not fits[at] or cell[a] == cell[b] == cell[c]:
+                continue
+            hit = _crossed(x, y, a, c, froms, tos) | _crossed(x, y, c, b, froms, tos)
+            between = _within(x, y, a, c, b, free[inside])
+            if not hit.any() and not between.any():
+                found = at
+                break
+            # What stands in the way is closer to the cave's wall.
+            blockers = np.isin(free[inside], np.concatenate([froms[hit], tos[hit]])) | between
+            pool += [i for i in np.flatnonzero(blockers) if i not in tried and i not in pool]
+        if found < 0:
             continue
+        c, turn = int(free[inside[found]]), turns[inside[found]]
         after[a], after[c] = c, b
         area -= turn / 2
         for p, q in ((a, c), (c, b)):
@@ -170,13 +263,25 @@ def _turn(x, y, a, b, c):
     return (x[b] - x[a]) * (y[c] - y[a]) - (y[b] - y[a]) * (x[c] - x[a])
 
 
-def _crosses(x, y, p, q, froms, tos) -> bool:
-    """True if segment p-q meets any listed segment other than at a shared end point."""
+def _from_edge(x, y, a, b, c):
+    """Distance of c from the segment a-b."""
+    dx, dy = x[b] - x[a], y[b] - y[a]
+    along = np.clip(((x[c] - x[a]) * dx + (y[c] - y[a]) * dy) / (dx * dx + dy * dy), 0, 1)
+    return np.hypot(x[c] - x[a] - along * dx, y[c] - y[a] - along * dy)
+
+
+def _crossed(x, y, p, q, froms, tos) -> np.ndarray:
+    """The listed segments that p-q meets other than at a shared end point."""
     other = (froms != p) & (froms != q) & (tos != p) & (tos != q)
-    f, t = froms[other], tos[other]
-    side_f, side_t = _turn(x, y, p, q, f), _turn(x, y, p, q, t)
-    side_p, side_q = _turn(x, y, f, t, p), _turn(x, y, f, t, q)
-    return bool(((side_f * side_t <= 0) & (side_p * side_q <= 0) & ~((side_f == 0) & (side_t == 0))).any())
+    side_f, side_t = _turn(x, y, p, q, froms), _turn(x, y, p, q, tos)
+    side_p, side_q = _turn(x, y, froms, tos, p), _turn(x, y, froms, tos, q)
+    return other & (side_f * side_t <= 0) & (side_p * side_q <= 0) & ~((side_f == 0) & (side_t == 0))
+
+
+def _within(x, y, a, c, b, points) -> np.ndarray:
+    """The points inside the triangle a-c-b, its sides left out."""
+    sides = [_turn(x, y, p, q, points) for p, q in ((a, b), (b, c), (c, a))]
+    return (sides[0] > 0) & (sides[1] > 0) & (sides[2] > 0)
 
 
 def _area(x: np.ndarray, y: np.ndarray) -> float:

@@ -144,3 +144,45 @@ def test_concave_hull_of_a_hot_group(spark):
     assert shoelace(low) < 0.6 * shoelace(full)
     assert all(in_ring(low, (x, y)) for k, x, y in rows if k == "half")
     assert [tuple(p) for p in got["dot"].low] == [(1.0, 1.0)]
+
+
+def u_shape(step):
+    """Outer and inner walls of a straight U, 1 wide, its cave 0.2 wide and 0.8 deep."""
+    corners = [(0, 0), (1, 0), (1, 1), (0.6, 1), (0.6, 0.2), (0.4, 0.2), (0.4, 1), (0, 1), (0, 0)]
+    points = []
+    for (ax, ay), (bx, by) in zip(corners, corners[1:]):
+        n = round(max(abs(bx - ax), abs(by - ay)) / step)
+        points += [(ax + (bx - ax) * i / n, ay + (by - ay) * i / n) for i in range(n)]
+    return points
+
+
+def test_straight_walls_are_entered():
+    x, y = map(np.array, zip(*u_shape(0.02)))
+    low, full = concave.dig(x, y, np.ones(len(x), dtype=int), [0.0, 1.0])
+    assert abs(shoelace(list(zip(*full))) - 1.0) < 1e-9
+    assert abs(shoelace(list(zip(*low))) - 0.84) < 0.02
+    assert all(in_ring(list(zip(*low)), p) for p in zip(x, y))
+
+
+def test_a_far_off_point_coarsens_nothing(spark):
+    near = u_shape(0.005)
+    rows = [("near", *p) for p in near] + [("far", *p) for p in near] + [("far", 5e4, 5e4)]
+    df = spark.createDataFrame(rows, "k string, x double, y double")
+    cells = {r.k: r.n for r in concave._in_cells(df, ["k"], "x", "y", 512).groupBy("k").agg(F.count_distinct("cell").alias("n")).collect()}
+    assert 128 < cells["near"] <= 512 and 128 < cells["far"] <= 512
+    got = {r.k: [tuple(p) for p in r.low] for r in concave.concave_hulls(df, ["k"], {"low": 0.0}, resolution=512).collect()}
+    assert abs(shoelace(got["near"]) - 0.84) < 0.05
+    for k, ring in got.items():
+        assert all(in_ring(ring, (x, y)) for name, x, y in rows if name == k)
+
+
+@pytest.mark.parametrize("resolution", [1, 5, 40, 10_000])
+def test_cells_are_as_fine_as_the_resolution_allows(spark, resolution):
+    df = cloud(spark, {"hot": 900, "a": 30, "b": 2, "c": 1}).unionByName(cloud(spark, {None: 40}))
+    cells = concave._in_cells(df, ["k"], "x", "y", resolution)
+    counts = {r.k: (r.n, r.finest) for r in cells.groupBy("k", "finest").agg(F.count_distinct("cell").alias("n")).collect()}
+    assert len(counts) == 5 and all(n <= resolution for n, _ in counts.values())
+    if resolution == 10_000:
+        assert [counts[k][0] for k in ("hot", "a", "b", "c", None)] == [900, 30, 2, 1, 40]
+    if resolution == 40:
+        assert counts["hot"][0] > 10
