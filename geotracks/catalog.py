@@ -12,11 +12,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from geotracks import fixtures as fx
 from geotracks.functions import geometry as geo
 from geotracks.functions import names
-from geotracks.operators import boundaries, flags, layers, lines, merge, ordering, sites
+from geotracks.operators import boundaries, concave, flags, layers, lines, merge, ordering, sites
 from geotracks.operators.classify import classify, new_names, track_heads
 from geotracks.operators.placemarks import placemarks
 from geotracks.plans import derive
-from geotracks.plans.importer import ImportResult, import_tracks
+from geotracks.plans.importer import Features, ImportResult, import_tracks
 from geotracks.session import materialize, work_folder
 from geotracks.sources import geojson, gpx, kml, tables
 from geotracks.sources.store import TrackStore
@@ -190,21 +190,55 @@ def plot_convex(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hulls.select("fid", "area_id", "plot_id", "clazz", _rounded("hectares"))
 
 
+def _concave(features: Features) -> DataFrame:
+    """Hectares of the hull that keeps the whole area; points outside of a smaller hull; their order."""
+    shares = {"low": 0.0, "half": 0.5, "full": 1.0}
+    rings = concave.concave_hulls(features.vertices, ["fid"], shares)
+    points = features.vertices.select("fid", "x", "y").join(rings, "fid")
+    kept = geo.covers(F.col("low"), F.col("x"), F.col("y")) & geo.covers(F.col("half"), F.col("x"), F.col("y"))
+    outside = points.groupBy("fid").agg(F.count_if(~kept).alias("outside"))
+    low, half, full = (concave.hectares(F.col(name)) for name in shares)
+    shapes = rings.select("fid", F.round(full, 4).alias("hectares"), ((low <= half) & (half <= full)).alias("ordered"))
+    return features.table.join(shapes, "fid", "left").join(outside, "fid", "left")
+
+
 @register
 def area_concave(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hulls = derive.concave(_stored(spark, sf_dir).areas)
-    return hulls.select(
-        "fid", "area_id", "clazz", _rounded("hectares"), F.size("wkb_geometry").alias("points")
-    )
+    hulls = _concave(_stored(spark, sf_dir).areas)
+    return hulls.select("fid", "area_id", "clazz", "hectares", "outside", "ordered")
 
 
 @register
 def plot_concave(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hulls = derive.concave(_stored(spark, sf_dir).plots)
-    return hulls.select(
-        "fid", "area_id", "plot_id", "clazz", _rounded("hectares"),
-        F.size("wkb_geometry").alias("points"),
-    )
+    hulls = _concave(_stored(spark, sf_dir).plots)
+    return hulls.select("fid", "area_id", "plot_id", "clazz", "hectares", "outside", "ordered")
+
+
+def _edges(rings: DataFrame) -> DataFrame:
+    sides = rings.select("fid", F.explode(geo.ring_edges(F.col("wkb_geometry"))).alias("side"))
+    ends = {"x": "side.a.x", "y": "side.a.y", "next_x": "side.b.x", "next_y": "side.b.y"}
+    named = sides.select("fid", *[F.round(c, 9).alias(n) for n, c in ends.items()])
+    return named.where("x <> next_x OR y <> next_y")
+
+
+@register
+def area_convex_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _edges(derive.convex(_stored(spark, sf_dir).areas))
+
+
+@register
+def plot_convex_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _edges(derive.convex(_stored(spark, sf_dir).plots))
+
+
+@register
+def area_polygon_vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return derive.polygon_vertices(_stored(spark, sf_dir).areas)
+
+
+@register
+def plot_polygon_vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return derive.polygon_vertices(_stored(spark, sf_dir).plots)
 
 
 @register

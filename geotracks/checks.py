@@ -18,10 +18,9 @@ _AREA_KEY = "nullif(regexp_extract(name, '^.{3}-[0-9]+-[0-9]+-[0-9]+', 0, 's'),
 
 
 
-def _hulls(points: str, keys: str) -> str:
-    """Hull hectares of each group: a-b is an edge if no c lies right of it or beyond it."""
-    return f"""SELECT {keys}, abs(coalesce(sum(strip), 0)) / 10000 AS hectares FROM (
-      SELECT {keys}, ax, ay, qx, qy, strip FROM (
+def _hull_edges(points: str, keys: str) -> str:
+    """Hull edges of each group: a-b is an edge if no c lies right of it or beyond it."""
+    return f"""SELECT {keys}, ax, ay, qx, qy, strip FROM (
         SELECT {keys}, a.lon AS ax, a.lat AS ay, b.lon AS qx, b.lat AS qy,
           (b.mx - a.mx) * (b.my + a.my) / 2 AS strip,
           (b.lon - a.lon) * (c.lat - a.lat) - (b.lat - a.lat) * (c.lon - a.lon) AS turn,
@@ -30,8 +29,12 @@ def _hulls(points: str, keys: str) -> str:
         FROM {points} a JOIN {points} b USING ({keys}) JOIN {points} c USING ({keys})
         WHERE a.lon <> b.lon OR a.lat <> b.lat)
       GROUP BY {keys}, ax, ay, qx, qy, strip
-      HAVING bool_and(turn > 1e-14 OR (turn >= -1e-14 AND along BETWEEN -1e-14 AND length + 1e-14)))
-    GROUP BY {keys}"""
+      HAVING bool_and(turn > 1e-14 OR (turn >= -1e-14 AND along BETWEEN -1e-14 AND length + 1e-14))"""
+
+
+def _hulls(edges: str, keys: str) -> str:
+    """Hull hectares of each group."""
+    return f"SELECT {keys}, abs(coalesce(sum(strip), 0)) / 10000 AS hectares FROM {edges} GROUP BY {keys}"
 
 
 # Common table expressions by name, each with those it needs.
@@ -106,7 +109,20 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
              row_number() OVER (PARTITION BY kind ORDER BY min(batch_no), name) AS fid
            FROM heads WHERE kind IS NOT NULL GROUP BY kind, name, area_key""",
     ),
-    "hulls": (("points",), _hulls("points", "batch_no, ogc_fid")),
+    "hull_edges": (("points",), _hull_edges("points", "batch_no, ogc_fid")),
+    "hulls": (("hull_edges",), _hulls("hull_edges", "batch_no, ogc_fid")),
+    # The points of the lines that are one: the part that comes second begins behind the joint.
+    "rings": (
+        ("pts", "links", "shapes", "segs"),
+        """SELECT batch_no, ogc_fid, lon, lat, closed,
+             row_number() OVER (PARTITION BY batch_no, ogc_fid ORDER BY later, pt_no) AS pt_no,
+             count(*) OVER (PARTITION BY batch_no, ogc_fid) AS n
+           FROM (SELECT p.batch_no, p.ogc_fid, p.pt_no, lon, lat, sh.closed, parts,
+                   (seg_no = 1) = middle AS later
+                 FROM pts p JOIN shapes sh USING (batch_no, ogc_fid) JOIN links USING (batch_no, ogc_fid)
+                 SEMI JOIN segs USING (batch_no, ogc_fid, seg_no) WHERE lines = 1)
+           WHERE parts = 1 OR NOT later OR pt_no > 1""",
+    ),
     # Short lines of two parts; the second starts at the end of the first in even blocks.
     "blocks": (
         ("fx_event_points",),
@@ -128,7 +144,8 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
         ("blocks",),
         "SELECT DISTINCT block, lon, lat, mx, my FROM blocks",
     ),
-    "block_hulls": (("block_points",), _hulls("block_points", "block")),
+    "block_hull_edges": (("block_points",), _hull_edges("block_points", "block")),
+    "block_hulls": (("block_hull_edges",), _hulls("block_hull_edges", "block")),
     "points": (("pts",), "SELECT DISTINCT batch_no, ogc_fid, lon, lat, mx, my FROM pts"),
     "convex": (
         ("state", "shapes", "hulls"),
@@ -187,6 +204,37 @@ def _convex(kind: str, columns: str) -> str:
     )
 
 
+def _concave(kind: str, columns: str) -> str:
+    """No point is outside, and a hull of a smaller share is no larger: the same for every feature."""
+    return (
+        _with("convex")
+        + f"""SELECT {columns}, 0 AS clazz, round(hectares, 4) AS hectares,
+             CASE WHEN hectares IS NOT NULL THEN CAST(0 AS BIGINT) END AS outside,
+             CASE WHEN hectares IS NOT NULL THEN true END AS ordered
+           FROM convex WHERE kind = '{kind}'"""
+    )
+
+
+def _convex_edges(kind: str) -> str:
+    return (
+        _with("state", "shapes", "hull_edges")
+        + f"""SELECT fid, round(ax, 9) AS x, round(ay, 9) AS y, round(qx, 9) AS next_x, round(qy, 9) AS next_y
+           FROM state JOIN shapes USING (batch_no, ogc_fid) JOIN hull_edges USING (batch_no, ogc_fid)
+           WHERE kind = '{kind}' AND ring_points IS NOT NULL"""
+    )
+
+
+def _polygon_vertices(kind: str) -> str:
+    return (
+        _with("state", "shapes", "rings")
+        + f"""SELECT fid, r.pt_no, lon AS x, lat AS y FROM state JOIN shapes sh USING (batch_no, ogc_fid)
+             JOIN (SELECT batch_no, ogc_fid, pt_no, lon, lat FROM rings
+                   UNION ALL SELECT batch_no, ogc_fid, n + 1, lon, lat FROM rings WHERE pt_no = 1 AND NOT closed) r
+               USING (batch_no, ogc_fid)
+           WHERE kind = '{kind}' AND lines = 1 AND ring_points >= 4"""
+    )
+
+
 def _polygon(kind: str, columns: str) -> str:
     return (
         _with("state", "shapes")
@@ -317,6 +365,12 @@ CHECKS: dict[str, str] = {
     "plot_polygon": _polygon("plot", "fid, name AS plot_id, area_id"),
     "area_convex": _convex("area", "fid, name AS area_id"),
     "plot_convex": _convex("plot", "fid, area_id, name AS plot_id"),
+    "area_concave": _concave("area", "fid, name AS area_id"),
+    "plot_concave": _concave("plot", "fid, area_id, name AS plot_id"),
+    "area_convex_edges": _convex_edges("area"),
+    "plot_convex_edges": _convex_edges("plot"),
+    "area_polygon_vertices": _polygon_vertices("area"),
+    "plot_polygon_vertices": _polygon_vertices("plot"),
     "flag_plots": _flag("plot", "fid, area_id, name AS plot_id", "fx_exclude_plots"),
     "flag_areas": _flag("area", "fid, name AS area_id", "fx_exclude_areas"),
     "area_plot_reconcile": _with("convex")

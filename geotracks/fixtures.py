@@ -39,17 +39,22 @@ _TRACK_NAME = (
     " ELSE concat(area_name, chr(10)) END"
 )
 
+# Some tracks are in the second batch only, some in the first only; no event is left out.
+_BATCH = (
+    "CASE WHEN user_id % 4 = 0 THEN 2 WHEN user_id % 11 = 0 THEN 1"
+    " WHEN ts < {midnight} THEN 1 ELSE 2 END AS batch_no"
+)
+
 TRACK_POINTS_SQL = f"""
 WITH e AS (
   SELECT {", ".join(_TRACK_EVENT_COLUMNS)},
-         CASE WHEN ts < TIMESTAMP '2024-01-16 00:00:00' THEN 1 ELSE 2 END AS batch_no
+         {_BATCH.format(midnight="TIMESTAMP '2024-01-16 00:00:00'")}
   FROM events),
 a AS (
   SELECT *, {_AREA_NAME} AS area_name,
          row_number() OVER (PARTITION BY u, batch_no ORDER BY event_id) AS k,
          count(*) OVER (PARTITION BY u, batch_no) AS n
-  FROM e
-  WHERE NOT (batch_no = 1 AND u % 4 = 0) AND NOT (batch_no = 2 AND u % 11 = 0)),
+  FROM e),
 p AS (
   SELECT u, batch_no, k * 10 AS ord, CASE WHEN k <= n / 2 THEN 0 ELSE 1 END AS seg_no,
          lon, lat, area_name, g, r FROM a
@@ -102,21 +107,24 @@ TARGET_SQL = """
 SELECT s_suppkey AS fid, concat('K', CAST(s_suppkey AS STRING)) AS code, s_name AS label,
        s_acctbal AS val, s_nationkey AS cat, CAST(s_suppkey % 10 AS DOUBLE) AS x,
        CAST(s_suppkey % 7 AS DOUBLE) AS y
-FROM {supplier} WHERE s_suppkey % 3 <> 0
+FROM {supplier}
 """
 
-# {twice} is the supplier table with each row once per i in (0, 1).
+# {twice} is the supplier table with each row once per i in (0, 1): every supplier, and some twice.
+# A third has keys that the target lacks.
 SOURCE_SQL = """
-SELECT CASE WHEN i = 0 THEN s_suppkey ELSE s_suppkey + 1000000 END AS fid,
+SELECT CASE WHEN s_suppkey % 3 = 0 THEN s_suppkey + 2000000 + i * 1000000
+            ELSE s_suppkey + i * 1000000 END AS fid,
        s_suppkey * 2 + i AS seq,
        CASE WHEN s_suppkey % 25 = 6 THEN NULL
+            WHEN s_suppkey % 3 = 0 THEN concat('N', CAST(s_suppkey AS STRING))
             ELSE concat('K', CAST(s_suppkey AS STRING)) END AS code,
        s_name AS label,
        CASE WHEN s_suppkey % 4 = 0 THEN s_acctbal + 1 + i ELSE s_acctbal END AS val,
        s_nationkey AS cat, CAST(s_suppkey % 10 AS DOUBLE) AS x,
        CAST(s_suppkey % 7 AS DOUBLE) AS y
 FROM {twice}
-WHERE s_suppkey % 2 = 0 AND (i = 0 OR s_suppkey % 12 = 0 OR s_suppkey % 20 = 4)
+WHERE i = 0 OR s_suppkey % 12 = 0 OR s_suppkey % 20 = 4
 """
 _TWICE = "(SELECT *, unnest([0, 1]) AS i FROM supplier)"
 
@@ -145,15 +153,8 @@ def track_vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``TRACK_VERTICES`` rows: one track per (batch, user), src is the batch number."""
     events = (
         table(spark, sf_dir, "events")
-        .withColumn(
-            "batch_no",
-            F.when(
-                F.col("ts").cast("timestamp_ntz") < F.expr("TIMESTAMP_NTZ '2024-01-16 00:00:00'"),
-                1,
-            ).otherwise(2),
-        )
-        .selectExpr(*_TRACK_EVENT_COLUMNS, "batch_no")
-        .where("NOT (batch_no = 1 AND u % 4 = 0) AND NOT (batch_no = 2 AND u % 11 = 0)")
+        .withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+        .selectExpr(*_TRACK_EVENT_COLUMNS, _BATCH.format(midnight="TIMESTAMP_NTZ '2024-01-16 00:00:00'"))
     )
     walked = number_rows(events, ["event_id"], by=["u", "batch_no"], name="k", total="n")
     half = F.expr("CAST(floor(n / 2) AS BIGINT)")

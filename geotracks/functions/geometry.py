@@ -154,3 +154,28 @@ def square(minx: Column, miny: Column, maxx: Column, maxy: Column) -> Column:
 def same_geometry(a: Column, b: Column) -> Column:
     """Equality with equal coordinates in equal order; two nulls are equal."""
     return a.eqNullSafe(b)
+
+
+def ring_edges(ring: Column) -> Column:
+    """Pairs ``a, b`` of neighbouring points of an open ring, the last with the first."""
+    after = F.concat(F.slice(ring, 2, F.size(ring)), F.slice(ring, 1, 1))
+    return F.zip_with(ring, after, lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+
+
+def covers(ring: Column, x: Column, y: Column, within: float = 1e-12) -> Column:
+    """True if a point lies in an open ring, or no farther than ``within`` from one of its edges."""
+
+    def crosses(edge: Column) -> Column:
+        a, b = edge["a"], edge["b"]
+        at = (b["x"] - a["x"]) * (y - a["y"]) / F.nullif(b["y"] - a["y"], F.lit(0.0)) + a["x"]
+        return ((a["y"] > y) != (b["y"] > y)) & (x < at)
+
+    def touches(edge: Column) -> Column:
+        a, b = edge["a"], edge["b"]
+        dx, dy = b["x"] - a["x"], b["y"] - a["y"]
+        along = F.coalesce(F.try_divide((x - a["x"]) * dx + (y - a["y"]) * dy, dx * dx + dy * dy), F.lit(0.0))
+        share = F.greatest(F.lit(0.0), F.least(F.lit(1.0), along))
+        return F.hypot(x - a["x"] - share * dx, y - a["y"] - share * dy) <= within
+
+    edges = ring_edges(ring)
+    return F.exists(edges, touches) | (F.size(F.filter(edges, crosses)) % 2 == 1)

@@ -21,14 +21,19 @@ def convex(features: Features) -> DataFrame:
     return features.table.join(shapes, "fid", "left")
 
 
-def concave(features: Features, area_pct: float = 0.0, shape_pct: float = 0.5) -> DataFrame:
+def concave(
+    features: Features,
+    area_pct: float = 0.0,
+    shape_pct: float = 0.5,
+    resolution: int = concave_hull.RESOLUTION,
+) -> DataFrame:
     """Feature columns, ``hectares`` of one concave hull and the ring of another.
 
-    Both are shrunk from the convex hull towards a share of its area.
+    Both are shrunk from the convex hull towards a share of its area; ``resolution`` bounds the
+    cells in which a feature's shape is seen.
     """
-    shapes = concave_hull.concave_hulls(
-        features.vertices, ["fid"], {"area": area_pct, "shape": shape_pct}
-    ).select(
+    shares = {"area": area_pct, "shape": shape_pct}
+    shapes = concave_hull.concave_hulls(features.vertices, ["fid"], shares, resolution=resolution).select(
         "fid",
         concave_hull.hectares(F.col("area")).alias("hectares"),
         F.col("shape").alias("wkb_geometry"),
@@ -74,6 +79,12 @@ def polygon(features: Features, strict: bool = False, nested: bool = False) -> D
     )
 
 
+def polygon_vertices(features: Features) -> DataFrame:
+    """The vertices, ``fid, pt_no, x, y``, of every feature that is a polygon."""
+    whole = polygon(features).where("hectares IS NOT NULL").select("fid")
+    return features.vertices.join(whole, "fid").select("fid", "pt_no", "x", "y")
+
+
 def plot_polygon(plots: Features, strict: bool = False, nested: bool = False) -> DataFrame:
     """``polygon`` of plots in the column order of its view: plot_id before area_id."""
     out = polygon(plots, strict, nested)
