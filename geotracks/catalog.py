@@ -98,6 +98,14 @@ def ring_close(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register
+def line_merge_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tracks of many touching parts, one of them with a third of all events, as one line each."""
+    merged = lines.merge_lines(fx.chained_vertices(spark, sf_dir), ["track"])
+    ends = [F.round(F.col(c), 9).alias(c) for c in ("sx", "sy", "ex", "ey")]
+    return merged.lines.select("track", "line_no", "points", *ends, "closed")
+
+
 # --- areas and plots ----------------------------------------------------------------------
 
 _states: dict[tuple[str, str], ImportResult] = {}

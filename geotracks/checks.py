@@ -349,6 +349,13 @@ CHECKS: dict[str, str] = {
     "plot_area_key": _with("heads") + "SELECT batch_no, ogc_fid, name, area_key FROM heads",
     "line_merge_ordered": _with("shapes")
     + "SELECT batch_no, ogc_fid, CAST(lines AS BIGINT) AS lines, points, closed FROM shapes",
+    "line_merge_long": _with("fx_event_points")
+    + """SELECT CAST(track AS BIGINT) AS track, CAST(0 AS INTEGER) AS line_no, count(*) AS points,
+           round(arg_min(lon, event_id), 9) AS sx, round(arg_min(lat, event_id), 9) AS sy,
+           round(arg_max(lon, event_id), 9) AS ex, round(arg_max(lat, event_id), 9) AS ey, false AS closed
+         FROM (SELECT CASE WHEN event_id % 3 = 0 THEN -1 ELSE user_id END AS track, event_id
+               FROM events) JOIN fx_event_points USING (event_id)
+         GROUP BY track HAVING count(*) > 1""",
     "ring_close": _with("shapes")
     + """SELECT batch_no, ogc_fid, ring_points AS points, true AS closed,
            round(hectares, 4) AS hectares FROM shapes WHERE ring_points IS NOT NULL""",

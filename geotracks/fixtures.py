@@ -27,6 +27,8 @@ EVENT_POINT_COLUMNS = [
     "2 + CAST((event_id * 7919) % 1009 AS DOUBLE) / 100000 AS lon",
     "9 + CAST((event_id * 104729) % 997 AS DOUBLE) / 100000 AS lat",
 ]
+#: Edges of a part of the chained tracks.
+CHAIN_PART = 4
 _AREA_NAME = (
     "concat(CASE g % 4 WHEN 0 THEN 'AAA' WHEN 1 THEN 'BBB' WHEN 2 THEN 'CCC' ELSE 'DDD' END,"
     " '-', CAST(1 + g % 4 AS STRING), '-', CAST(1 + g % 9 AS STRING), '-', CAST(g AS STRING))"
@@ -187,6 +189,25 @@ def track_vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def chained_vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vertices of tracks whose parts of ``CHAIN_PART`` edges touch; one track has a third of all events."""
+    track = F.when(F.col("event_id") % 3 == 0, -1).otherwise(F.col("user_id"))
+    events = table(spark, sf_dir, "events").select(
+        track.alias("track"), *[F.expr(c) for c in EVENT_POINT_COLUMNS]
+    )
+    walked = number_rows(events, ["event_id"], by=["track"], name="k")
+    # The last point of a part is the first of the next one too.
+    part = F.floor((F.col("k") - 1) / CHAIN_PART)
+    ends = (F.col("k") > 1) & ((F.col("k") - 1) % CHAIN_PART == 0)
+    place = lambda seg: F.struct(
+        seg.cast("int").alias("seg_no"), (F.col("k") - seg * CHAIN_PART).cast("long").alias("pt_no")
+    )
+    places = F.array_compact(F.array(place(part), F.when(ends, place(part - 1))))
+    return walked.select("track", F.explode(places).alias("at"), F.col("lon").alias("x"), F.col("lat").alias("y")).select(
+        "track", "at.*", "x", "y"
+    )
+
+
 def exclude_plots(vertices: DataFrame) -> DataFrame:
     """Ids to flag among plots; one exists nowhere."""
     return _ids(vertices, 3, "ZZZ-0-0-0-0")

@@ -6,9 +6,9 @@ works on a table with one row per part, and vertices are renumbered by one join
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -99,12 +99,13 @@ def place_parts(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
     """
     keys = list(keys)
     parts = parts.where("points > 1")
-    longest = parts.groupBy(*keys).count().agg(F.max("count")).collect()[0][0] or 1
-    if longest == 1:
+    sizes = parts.groupBy(*keys).agg(F.ceil(F.log2(F.count("*").cast("double"))).cast("int").alias("rounds"))
+    longest = sizes.agg(F.max("rounds")).collect()[0][0] or 0
+    if longest == 0:
         return parts.withColumns(
             {"line_no": F.col("seg_no"), "forward": F.lit(True), "before": F.lit(0).cast("long")}
         )
-    states = _walk(_steps(parts, keys), keys, math.ceil(math.log2(longest)))
+    states = _walk(_steps(parts, keys).join(sizes, keys), keys, longest)
 
     # Both directions of a part side by side (f: forward, b: backward); the walk back tells
     # what lies before it. Plain long columns, so that every aggregate is a hash aggregate.
@@ -192,43 +193,57 @@ def _steps(parts: DataFrame, keys: list[str]) -> DataFrame:
     return states.join(links, [*keys, "state"], "left")
 
 
-def _walk(steps: DataFrame, keys: list[str], rounds: int) -> DataFrame:
-    """Pointer doubling: each round lets every state look twice as far ahead."""
-    states = steps.select(
-        *keys,
-        "state",
-        "edges",
-        "ahead",
-        F.col("edges").alias("span"),
-        F.when(F.col("ahead").isNull(), F.col("state")).alias("last"),
-        F.col("state").alias("lowest"),
-        F.lit(0).cast("long").alias("lowest_at"),
+def _walk(steps: DataFrame, keys: list[str], longest: int) -> DataFrame:
+    """Pointer doubling: each round lets every state look twice as far ahead.
+
+    A track takes part in as many rounds as its number of parts asks for, ``rounds``, and is out
+    of the work then. A state that looks past the end of its line meets nothing, and is dealt
+    out by its own number, so such states never come together.
+    """
+    states = materialize(
+        steps.select(
+            *keys,
+            "rounds",
+            "state",
+            "edges",
+            "ahead",
+            F.col("edges").alias("span"),
+            F.when(F.col("ahead").isNull(), F.col("state")).alias("last"),
+            F.col("state").alias("lowest"),
+            F.lit(0).cast("long").alias("lowest_at"),
+        )
     )
-    for done in range(1, rounds + 1):
-        other = states.select(
+    done = [states.where("rounds = 0")]
+    for turn in range(1, longest + 1):
+        active = states.where(F.col("rounds") >= turn)
+        other = active.select(
             *keys,
-            F.col("state").alias("ahead"),
+            F.col("state").alias("_to"),
             *[
                 F.col(c).alias(f"o_{c}")
                 for c in ("ahead", "span", "last", "lowest", "lowest_at")
             ],
         )
         lower = F.col("o_lowest") < F.col("lowest")
-        states = states.join(other, [*keys, "ahead"], "left").select(
-            *keys,
-            "state",
-            "edges",
-            F.col("o_ahead").alias("ahead"),
-            (F.col("span") + F.coalesce("o_span", F.lit(0))).alias("span"),
-            F.coalesce("last", "o_last").alias("last"),
-            F.when(lower, F.col("o_lowest")).otherwise(F.col("lowest")).alias("lowest"),
-            F.when(lower, F.col("span") + F.col("o_lowest_at"))
-            .otherwise(F.col("lowest_at"))
-            .alias("lowest_at"),
+        # States are not negative.
+        looking = active.withColumn("_to", F.coalesce("ahead", -1 - F.col("state")))
+        states = materialize(
+            looking.join(other, [*keys, "_to"], "left").select(
+                *keys,
+                "rounds",
+                "state",
+                "edges",
+                F.col("o_ahead").alias("ahead"),
+                (F.col("span") + F.coalesce("o_span", F.lit(0))).alias("span"),
+                F.coalesce("last", "o_last").alias("last"),
+                F.when(lower, F.col("o_lowest")).otherwise(F.col("lowest")).alias("lowest"),
+                F.when(lower, F.col("span") + F.col("o_lowest_at"))
+                .otherwise(F.col("lowest_at"))
+                .alias("lowest_at"),
+            )
         )
-        if done % 3 == 0 and done < rounds:
-            states = materialize(states)
-    return states
+        done.append(states.where(F.col("rounds") == turn))
+    return reduce(DataFrame.unionByName, done).drop("rounds")
 
 
 def broken_tracks(lines: DataFrame, keys: Sequence[str]) -> DataFrame:
