@@ -294,6 +294,20 @@ def stored_area_convex(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.derived("area", "convex").select("fid", "area_id", "clazz", _rounded("hectares"))
 
 
+@register
+def store_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four batches committed, the store compacted and cleaned, its areas read back with their sizes."""
+    store = TrackStore(spark, f"{work_folder(spark)}/store-{uuid.uuid4().hex}")
+    staged = materialize(fx.track_vertices(spark, sf_dir))
+    for number, src in enumerate(("1", "2", "1", "2")):
+        import_batch(store, staged.where(F.col("src") == src), label=str(number))
+    store.compact()
+    store.vacuum()
+    features = store.features("area")
+    sizes = features.vertices.groupBy("fid").agg(F.count("*").alias("points"))
+    return features.table.join(sizes, "fid", "left")
+
+
 # --- short lines: blocks of consecutive events, at most BLOCK points each -------------------
 
 BLOCK = 20
@@ -589,6 +603,18 @@ def geojson_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register
+def layer_rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A layer written, appended to, and replaced by what is read from it."""
+    path = f"{work_folder(spark)}/layer-{uuid.uuid4().hex}"
+    target = fx.merge_target(spark, sf_dir)
+    tables.write_layer(target, path)
+    tables.write_layer(target.withColumn("fid", F.col("fid") + 5_000_000), path, "append")
+    tables.write_layer(tables.read_layer(spark, path).withColumn("val", F.col("val") * 2), path)
+    tables.vacuum_layer(spark, path)
+    return tables.read_layer(spark, path)
+
+
 @register
 def append_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = fx.merge_source(spark, sf_dir).drop("label")

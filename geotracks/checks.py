@@ -390,6 +390,9 @@ CHECKS: dict[str, str] = {
     "track_import_stream": _with("heads")
     + """SELECT kind, row_number() OVER (PARTITION BY kind ORDER BY name) AS fid, name
          FROM (SELECT DISTINCT kind, name FROM heads WHERE kind IS NOT NULL)""",
+    "store_compacted": _with("state", "shapes")
+    + """SELECT fid, name AS area_id, 0 AS clazz, ring_points AS points
+         FROM state LEFT JOIN shapes USING (batch_no, ogc_fid) WHERE kind = 'area'""",
     "stored_area_convex": _convex("area", "fid, name AS area_id"),
     "line_functions": _with("block_edges", "block_hulls")
     + """SELECT block, CAST(CASE WHEN n = 1 OR joined THEN 1 ELSE 2 END AS INTEGER) AS lines,
@@ -488,6 +491,9 @@ CHECKS: dict[str, str] = {
             {_DESCRIPTION} AS description, y || ',' || x AS coordinates
           FROM (SELECT *, row_number() OVER (ORDER BY fid) AS idx FROM fx_target)""",
     "geojson_features": _with("fx_target") + "SELECT fid, code, label, cat, x, y FROM fx_target",
+    "layer_rewrite": _with("fx_target")
+    + """SELECT fid, code, label, val * 2 AS val, cat, x, y FROM fx_target
+         UNION ALL SELECT fid + 5000000, code, label, val * 2, cat, x, y FROM fx_target""",
     "append_by_name": _with("fx_source", "fx_target")
     + """SELECT * FROM fx_target
          UNION ALL SELECT fid, code, NULL, val, cat, x, y FROM fx_source""",

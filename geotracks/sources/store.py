@@ -2,7 +2,8 @@
 
 The feature tables are small and written anew for each version. Vertices are only ever
 added: a version holds those of the features it wrote, and a feature row names the version
-its geometry is in. A version counts once its row in ``commits`` is there, so a batch that
+its geometry is in, so only folders that hold something current are read. ``compact`` writes
+them as one, ``vacuum`` deletes the others. A version counts once its row in ``commits`` is there, so a batch that
 failed half-way leaves no trace, and a batch with a label is stored once however often it runs.
 """
 
@@ -13,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from geotracks.plans import derive
 from geotracks.plans.importer import LEVEL_KEYS, Features, ImportResult
+from geotracks.sources import files
 
 DERIVATIONS = ("convex", "concave", "polygon")
 
@@ -40,8 +42,10 @@ class TrackStore:
             return None
         stored = self._stored(level, version)
         places = stored.select("fid", F.col("geom_version").alias("version"))
+        # At most one version for each commit since the last compaction: other folders are not read.
+        live = [v for (v,) in places.select("version").distinct().collect() if v is not None]
         stored_vertices = self.spark.read.schema(_VERTICES).parquet(f"{self.base}/vertices")
-        vertices = stored_vertices.where(F.col("kind") == level)
+        vertices = stored_vertices.where((F.col("kind") == level) & F.col("version").isin(live))
         current = vertices.join(places, ["fid", "version"], "left_semi")
         return Features(
             stored.drop("geom_version"), current.select("fid", "line_no", "pt_no", "x", "y")
@@ -70,6 +74,51 @@ class TrackStore:
         self._mark("commits", version, label)
         return version
 
+    def compact(self) -> int | None:
+        """Write all current vertices together, as a version of its own.
+
+        Reading then takes one folder of vertices, whatever the number of batches before. The
+        features are the same. None in a new store.
+        """
+        last = self.version()
+        if last is None:
+            return None
+        version = last + 1
+        for level in LEVEL_KEYS:
+            self.features(level).vertices.write.mode("overwrite").parquet(
+                f"{self.base}/vertices/version={version}/kind={level}"
+            )
+            place = F.when(F.col("geom_version").isNotNull(), version).cast("int")
+            self._stored(level, last).withColumn("geom_version", place).write.mode(
+                "overwrite"
+            ).parquet(f"{self.base}/{level}/version={version}")
+        self._mark("commits", version)
+        return version
+
+    def vacuum(self) -> list[str]:
+        """Delete the folders that the current version does not need, and return their names.
+
+        Rejects stay. What the derivations were last made of stays too.
+        """
+        version = self.version()
+        if version is None:
+            return []
+        needed = {name: {version} for name in LEVEL_KEYS}
+        needed["vertices"] = set()
+        for level in LEVEL_KEYS:
+            places = self._stored(level, version).select("geom_version").distinct().collect()
+            needed["vertices"] |= {v for (v,) in places}
+            for kind in DERIVATIONS:
+                needed[f"{level}_{kind}"] = {self._latest(f"{level}_refreshed")}
+        gone = []
+        for table, versions in needed.items():
+            for folder in files.children(self.spark, f"{self.base}/{table}"):
+                number = folder.removeprefix("version=")
+                if number.isdigit() and int(number) not in versions:
+                    files.delete(self.spark, f"{self.base}/{table}/{folder}")
+                    gone.append(f"{table}/{folder}")
+        return gone
+
     def refresh(self, level: str = "all") -> bool:
         """Rebuild the stored derivations of a level, or of both.
 

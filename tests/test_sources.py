@@ -272,3 +272,49 @@ def test_grid_of_nothing(spark):
     assert layers.square_grid(empty, 1.0).count() == 0
     with pytest.raises(ValueError):
         layers.grid_envelope(empty, 0)
+
+
+def test_a_write_that_fails_leaves_the_layer(spark, tmp_path):
+    path = f"{tmp_path}/layer"
+    with pytest.raises(ValueError, match="no layer"):
+        tables.read_layer(spark, path)
+    first = spark.range(100).select("id", (F.col("id") % 7).alias("v"))
+    tables.write_layer(first, path)
+    broken = F.when(F.col("id") == 77, F.raise_error(F.lit("broken")).cast("long")).otherwise(F.col("v"))
+    for mode in ("overwrite", "append"):
+        with pytest.raises(Exception, match="broken"):
+            tables.write_layer(first.repartition(8).withColumn("v", broken), path, mode)
+        assert tables.read_layer(spark, path).exceptAll(first).count() == 0 and tables.read_layer(spark, path).count() == 100
+    tables.write_layer(tables.read_layer(spark, path).where("id < 10"), path)
+    tables.write_layer(first.where("id >= 90"), path, "append")
+    assert sorted(r.id for r in tables.read_layer(spark, path).collect()) == [*range(10), *range(90, 100)]
+    tables.write_layer(first, path, "ignore")
+    with pytest.raises(ValueError, match="there is a layer"):
+        tables.write_layer(first, path, "error")
+    with pytest.raises(ValueError, match="cannot be appended"):
+        tables.write_layer(first.select("id"), path, "append")
+    # the first version and what the two failed writes left
+    assert tables.vacuum_layer(spark, path) >= 1
+    assert tables.read_layer(spark, path).count() == 20
+    tables.write_layer(first.limit(0), path)
+    assert tables.read_layer(spark, path).columns == ["id", "v"] and tables.read_layer(spark, path).count() == 0
+
+
+def test_compaction_reads_one_folder(spark, tmp_path):
+    store = TrackStore(spark, f"{tmp_path}/store")
+    assert store.compact() is None and store.vacuum() == []
+    shifted = [(x + 1, y) for x, y in RING]
+    for name, ring in (("AAA-1-1-1", RING), ("AAA-1-1-2", RING), ("AAA-1-1-1", shifted), ("AAA-1-1-1-1", RING)):
+        import_batch(store, vertices(spark, [(name, [ring])]), label=f"{name} {ring[0]}")
+    rows = lambda: [sorted(map(tuple, t.collect())) for f in map(store.features, ("area", "plot")) for t in (f.table, f.vertices)]
+    # the first batch's line was replaced: its folder is not read any more
+    scanned = lambda: re.search(r"PartitionFilters: \[.*?version#\d+ (IN \([\d,]+\)|= \d+)", store.features("area").vertices._jdf.queryExecution().toString())[1]
+    assert scanned() == "IN (1,2)"
+    before = rows()
+    version = store.compact()
+    assert rows() == before and version == 4
+    assert scanned() == "= 4"
+    gone = store.vacuum()
+    assert "vertices/version=0" in gone and rows() == before
+    import_batch(store, vertices(spark, [("AAA-2-2-2", [RING])]), label="later")
+    assert store.features("area").table.count() == 3 and store.refresh("all")
