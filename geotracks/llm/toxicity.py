@@ -5,9 +5,10 @@ four, five and six bytes. Filters of one, two and three words run over a whole t
 value of each filter goes to a logistic output. Training starts from vectors whose first
 component is the log odds of the word between toxic and other texts.
 
-The model is fitted on a bounded sample of labelled rows: at most about ``max_rows`` of either
-label with at most ``max_words`` words, chosen by a hash of the id. Rows held out are never in
-it. All rows are scored, on their whole text.
+The model is fitted on a bounded sample of labelled rows: about ``max_rows`` ids of either label,
+chosen by a hash of the id, one row of each, of at most ``max_words`` words, and ``max_bytes`` of
+words in all. One task learns from them. Rows held out are never among them. All rows are scored,
+on their whole text.
 
 Thresholds are calibrated by language: for each language of the sample that has both labels, the
 one with the best F1 on rows kept from training. They decide ``toxic``; the score does not know
@@ -20,11 +21,13 @@ no rows.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -165,7 +168,7 @@ def _log_odds(sets: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
     return (np.clip(odds, -2, 4) * np.minimum(1, counts.sum(axis=0) / 5) * 0.5).astype(np.float32)
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 4000, max_words: int = 4000, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
+def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 4000, max_words: int = 4000, max_bytes: int = 256 << 20, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
     """A model fitted on a bounded sample of ``labels`` (id, toxic) that is not held out."""
     known = labels.where("toxic in (0, 1)").select(F.col(id_col).alias("_id"), "toxic").where(~held_out(F.col("_id"))).groupBy("_id").agg(F.max("toxic").alias("toxic"))
     sizes = {row[0]: row[1] for row in known.groupBy("toxic").count().collect()}
@@ -181,9 +184,32 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 4000, max_words: int
                 sets = [found[a:b].tobytes() if b - a <= max_words else None for a, b in zip(first, first[1:])]
                 yield pa.RecordBatch.from_arrays([piece["_id"], piece["toxic"], piece["_lang"], pa.array(sets, pa.binary())], ["_id", "toxic", "_lang", "words"])
 
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(_learned(batches, sizes, max_bytes))], pa.binary())], ["model"])
+
     kind = rows.schema["_id"].dataType.simpleString()
-    sample = rows.mapInArrow(words, f"_id {kind}, toxic int, _lang string, words binary").where("words is not null").toArrow()
-    sample = sample.sort_by("_id")
+    sampled = rows.mapInArrow(words, f"_id {kind}, toxic int, _lang string, words binary").where("words is not null")
+    # an id that many rows have gives one row, told by its own content
+    one = sampled.groupBy("_id").agg(F.min_by(F.struct("toxic", "_lang", "words"), F.xxhash64("words", "_lang")).alias("row")).select("_id", "row.*")
+    # the bounded sample is learned from in one task: the driver gets the model alone
+    trained = one.repartition(1).sortWithinPartitions(F.xxhash64("_id"), "_id").mapInArrow(learn, "model binary").first()
+    return pickle.loads(trained["model"]) if trained else train([], np.empty(0))
+
+
+def _learned(batches: Iterator[pa.RecordBatch], sizes: dict, max_bytes: int) -> Model:
+    """The model of the rows that come first, up to ``max_bytes`` of words."""
+    taken, held = [], 0
+    for batch in batches:
+        ends = held + np.cumsum([len(x.as_buffer()) for x in batch["words"]], dtype=np.int64)
+        fits = int(np.searchsorted(ends, max_bytes, "right"))
+        taken.append(batch.slice(0, fits))
+        held = int(ends[-1]) if len(ends) else held
+        if fits < len(batch):
+            break
+    if not sum(map(len, taken)):
+        return train([], np.empty(0))
+    sample = pa.Table.from_batches(taken)
+    sample = sample.take(pc.sort_indices(sample["_id"]))
     sets = [np.frombuffer(x.as_buffer(), np.int32).reshape(-1, GROUPS) for x in sample["words"]]
     toxic = sample["toxic"].to_numpy()
     # every fifth row calibrates

@@ -163,6 +163,11 @@ def test_toxicity(spark, docs):
     assert all(r.held == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in got)
     scores = [r._score for r in toxicity.score(docs, model).collect()]
     assert len(scores) == len(TEXTS) + 2 and all(0 <= s <= 1 for s in scores)
+    # ids that many rows have, and a sample cut by its bytes
+    hot = table.unionByName(table.where("doc_id < 3").crossJoin(spark.range(300)).drop("id"))
+    assert np.array_equal(toxicity.fit(hot.drop("toxic"), table.select("doc_id", "toxic")).table, model.table)
+    cut = toxicity.fit(table.drop("toxic"), table.select("doc_id", "toxic"), max_bytes=2000)
+    assert not np.array_equal(cut.table, model.table)
     bare = toxicity.fit(docs, table.select("doc_id", "toxic").limit(0))
     assert {r._score for r in toxicity.score(docs, bare).collect()} == {0.0}
 
