@@ -498,6 +498,47 @@ def merge_dry_run_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _merge_counts(spark, sf_dir, runs)
 
 
+def _with_geometry(layer: DataFrame) -> DataFrame:
+    return layer.withColumn("geometry", geo.make_point(F.col("x"), F.col("y"))).drop("x", "y")
+
+
+def _merge_geometry(spark: SparkSession, sf_dir: str, **options) -> merge.MergeResult:
+    """Point features merged on a number that many of them share."""
+    source, target = fx.merge_source(spark, sf_dir), fx.merge_target(spark, sf_dir)
+    return merge.merge_features(_with_geometry(source), _with_geometry(target), order_by="seq", on="cat", **options)
+
+
+@register
+def merge_geometry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    merged = _merge_geometry(spark, sf_dir).features
+    return merged.select("fid", "code", "label", "val", "cat", F.col("geometry.x").alias("x"), F.col("geometry.y").alias("y"))
+
+
+@register
+def merge_geometry_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = [{"compare": c, "dry_run": d} for c in (False, True) for d in (False, True)]
+    counted = [
+        _merge_geometry(spark, sf_dir, **run).counts.select(
+            F.lit(run["compare"]).alias("compare"), F.lit(run["dry_run"]).alias("dry_run"), "updated", "appended"
+        )
+        for run in runs
+    ]
+    return reduce(DataFrame.unionByName, counted)
+
+
+@register
+def same_geometries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tracks of the first batch against a copy: one of them turned round, one moved, one without its line."""
+    tracks = fx.track_vertices(spark, sf_dir).where("src = '1'")
+    here = materialize(tracks.select(F.col("ogc_fid").alias("fid"), F.col("seg_no").alias("line_no"), "pt_no", "x", "y"))
+    last = here.groupBy("fid", "line_no").agg(F.max("pt_no").alias("last"))
+    turned = F.when(F.col("fid") % 3 == 0, F.col("last") + 1 - F.col("pt_no")).otherwise(F.col("pt_no"))
+    moved = F.when((F.col("fid") % 5 == 0) & (F.col("pt_no") == 1), F.col("x") + 1e-7).otherwise(F.col("x"))
+    there = here.join(last, ["fid", "line_no"]).where("fid % 7 <> 0").select("fid", "line_no", turned.alias("pt_no"), moved.alias("x"), "y")
+    pairs = here.select(F.col("fid").alias("fid_a"), F.col("fid").alias("fid_b")).distinct()
+    return lines.same_geometries(here, there, pairs)
+
+
 # --- sites and boundaries -----------------------------------------------------------------
 
 
@@ -571,17 +612,30 @@ def placemark_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placemarks(_point_features(spark, sf_dir), ["fid"])
 
 
+def _many_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = fx.table(spark, sf_dir, "orders")
+    at = geo.make_point((F.col("o_custkey") % 360 - 180).cast("double"), (F.col("o_orderkey") % 180 - 90).cast("double"))
+    return orders.select(F.col("o_orderkey").alias("fid"), F.col("o_orderstatus").alias("status"), F.col("o_custkey").alias("customer"), at.alias("geometry"))
+
+
+@register
+def kml_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders as one report document, written in parts and read back."""
+    path = f"{work_folder(spark)}/report-{uuid.uuid4().hex}"
+    kml.write_kml(placemarks(_many_points(spark, sf_dir), ["fid"]), path)
+    return kml.read_kml(spark, path)
+
+
 @register
-def kml_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The folder elements of the report document."""
-    folders = kml.kml_folders(placemarks(_point_features(spark, sf_dir), ["fid"]))
-    mark = lambda i: F.element_at("Placemark", i)
+def kml_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as one file: its folders, and what its one folder holds."""
+    path = f"{work_folder(spark)}/report-{uuid.uuid4().hex}.kml"
+    kml.write_kml(placemarks(_point_features(spark, sf_dir), ["fid"]), path, join=True)
+    folder = "name string, Style array<struct<_id:string>>, StyleMap struct<_id:string>, Placemark array<struct<name:string,Point:struct<coordinates:string>>>"
+    folders = spark.read.format("xml").option("rowTag", "Folder").schema(folder).load(path)
     return folders.select(
-        "folder",
-        F.size("Placemark").alias("placemarks"),
-        mark(1)["name"].alias("first_name"),
-        mark(-1)["Point"]["coordinates"].alias("last_coordinates"),
-        F.size("Style").alias("styles"),
+        "name", F.size("Style").alias("styles"), F.col("StyleMap._id").alias("style_map"), F.size("Placemark").alias("placemarks"),
+        F.element_at("Placemark", 1)["name"].alias("first_name"), F.element_at("Placemark", -1)["Point"]["coordinates"].alias("last_coordinates"),
     )
 
 

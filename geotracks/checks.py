@@ -179,6 +179,19 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
            FROM fx_source s LEFT JOIN fx_target t ON s.code = t.code
            WINDOW first_up AS (PARTITION BY coalesce(s.code, 'null ' || s.seq) ORDER BY s.seq)""",
     ),
+    # The same on the number that many target rows share; the first of them is found.
+    "walk_cat": (
+        ("fx_source", "fx_target"),
+        """SELECT s.*, t.fid AS t_fid,
+             row_number() OVER first_up AS rn,
+             row_number() OVER (PARTITION BY s.cat ORDER BY s.seq DESC) AS rd,
+             (s.code, s.label, s.val, s.x, s.y) AS now,
+             lag((s.code, s.label, s.val, s.x, s.y)) OVER first_up AS before,
+             (t.code, t.label, t.val, t.x, t.y) AS old
+           FROM fx_source s JOIN fx_target t ON s.cat = t.cat
+             AND t.fid = (SELECT min(fid) FROM fx_target u WHERE u.cat = s.cat)
+           WINDOW first_up AS (PARTITION BY s.cat ORDER BY s.seq)""",
+    ),
     "last_fid": (("fx_target",), "SELECT max(fid) AS m FROM fx_target"),
 }
 
@@ -413,11 +426,15 @@ CHECKS: dict[str, str] = {
     + f"""SELECT nullif(latitude, '') AS latitude, nullif(longitude, '') AS longitude,
             {", ".join(f"nullif({c}, '') AS {c}" for c in _SITE_REST.split(", "))}
           FROM fx_sites WHERE store_name IS NULL OR store_name <> 'store_name'""",
-    "kml_folders": _with("fx_target")
-    + """SELECT CAST((idx - 1) // 5000 AS BIGINT) AS folder, CAST(count(*) AS INTEGER) AS placemarks,
-           'Feature_' || min(idx) AS first_name, arg_max(y || ',' || x, idx) AS last_coordinates,
-           CAST(2 AS INTEGER) AS styles
-         FROM (SELECT *, row_number() OVER (ORDER BY fid) AS idx FROM fx_target) GROUP BY ALL""",
+    "kml_report": f"""SELECT 'Feature_' || idx AS name, '#exampleStyleMap' AS "styleUrl", '<h1>Feature N. ' || idx || '</h1>' || {" || ".join(
+        [*(_PROPERTY.format(n, f"CAST({n} AS VARCHAR)") for n in ("fid", "status", "customer")), _PROPERTY.format("geometry", "'POINT (' || x || ' ' || y || ')'")]
+    )} AS description, y || ',' || x AS coordinates
+    FROM (SELECT o_orderkey AS fid, o_orderstatus AS status, o_custkey AS customer, CAST(o_custkey % 360 - 180 AS DOUBLE) AS x,
+            CAST(o_orderkey % 180 - 90 AS DOUBLE) AS y, row_number() OVER (ORDER BY o_orderkey) AS idx FROM orders)""",
+    "kml_document": _with("fx_target")
+    + """SELECT 'NAME' AS name, CAST(2 AS INTEGER) AS styles, 'exampleStyleMap' AS style_map, CAST(count(*) AS INTEGER) AS placemarks,
+           'Feature_' || min(idx) AS first_name, arg_max(y || ',' || x, idx) AS last_coordinates
+         FROM (SELECT *, row_number() OVER (ORDER BY fid) AS idx FROM fx_target)""",
     "surrogate_keys": """SELECT 1000 + row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS fid,
            o_orderdate, o_orderkey FROM orders""",
     "feature_at": _with("fx_target") + "SELECT * FROM fx_target ORDER BY fid LIMIT 1 OFFSET 7",
@@ -468,6 +485,26 @@ CHECKS: dict[str, str] = {
     + _counts(*_DRY, "false")
     + " UNION ALL "
     + _counts(*_DRY_COMPARED, "true"),
+    "merge_geometry": _with("walk_cat")
+    + f"""SELECT t.fid, {", ".join(f"CASE WHEN w.t_fid IS NULL THEN t.{c} ELSE w.{c} END AS {c}" for c in _FIELDS)}
+          FROM fx_target t LEFT JOIN (SELECT * FROM walk_cat WHERE rd = 1) w ON w.t_fid = t.fid""",
+    "merge_geometry_counts": _with("walk_cat")
+    + " UNION ALL ".join(
+        f"""SELECT {compare} AS compare, {dry_run} AS dry_run, count(*) FILTER (WHERE {updated}) AS updated,
+              CAST(0 AS BIGINT) AS appended FROM walk_cat"""
+        for compare, dry_run, updated in (
+            ("false", "false", "true"),
+            ("false", "true", "true"),
+            ("true", "false", f"({_MOVED}) OR (rn = 1 AND now IS DISTINCT FROM old)"),
+            ("true", "true", "now IS DISTINCT FROM old"),
+        )
+    ),
+    "same_geometries": _with("fx_track_points")
+    + """SELECT fid AS fid_a, fid AS fid_b,
+           fid % 7 <> 0 AND fid % 5 <> 0 AND (fid % 3 <> 0 OR bool_and(even)) AS same
+         FROM (SELECT ogc_fid AS fid, seg_no, count(*) AS n, list((lon, lat) ORDER BY pt_no) = list((lon, lat) ORDER BY pt_no DESC) AS even
+               FROM fx_track_points WHERE batch_no = 1 GROUP BY ogc_fid, seg_no)
+         GROUP BY fid""",
     "sites_drop_header": _with("fx_sites")
     + "SELECT * FROM fx_sites WHERE store_name IS NULL OR store_name <> 'store_name'",
     "sites_points": _with("fx_sites")

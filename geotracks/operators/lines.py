@@ -332,6 +332,48 @@ def is_ring(points: Column, closed: Column) -> Column:
     return closed & (points >= 4)
 
 
+def geometry_prints(vertices: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys, number of vertices and a fingerprint of each geometry.
+
+    Every vertex is hashed with its place, so the sum over a group is bound to the order though
+    it can be taken in any: one aggregate with map-side partials. Equal geometries have equal
+    prints; geometries of equal prints are almost surely equal.
+    """
+    at = ["line_no", "pt_no", "x", "y"]
+    # -0.0 and 0.0 are one place
+    place = [F.col(c) + F.lit(0.0) if c in ("x", "y") else F.col(c) for c in at]
+    return vertices.groupBy(*keys).agg(
+        F.count("*").alias("points"),
+        F.bit_xor(F.xxhash64(*place)).alias("print"),
+        F.bit_xor(F.xxhash64(F.lit(1), *place)).alias("print_2"),
+    )
+
+
+def same_geometries(a: DataFrame, b: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``pairs`` (fid_a, fid_b) with ``same``: the vertices of both features are equal, in order.
+
+    Two features without vertices are the same. Prints rule out most others; where they are
+    equal, vertices are compared one by one.
+    """
+    of = lambda t, side: geometry_prints(t, ["fid"]).select(
+        F.col("fid").alias(f"fid_{side}"), F.struct("points", "print", "print_2").alias(f"print_{side}")
+    )
+    told = pairs.join(of(a, "a"), "fid_a", "left").join(of(b, "b"), "fid_b", "left")
+    told = materialize(told.withColumn("alike", F.col("print_a").eqNullSafe(F.col("print_b"))))
+    alike = told.where("alike AND print_a IS NOT NULL").select("fid_a", "fid_b").distinct()
+    place = ["line_no", "pt_no"]
+    both = (
+        alike.join(a.select(F.col("fid").alias("fid_a"), *place, F.struct("x", "y").alias("p")), "fid_a")
+        .join(b.select(F.col("fid").alias("fid_b"), *place, F.struct("x", "y").alias("q")), ["fid_b", *place])
+    )
+    equal = both.where("p = q").groupBy("fid_a", "fid_b").agg(F.count("*").alias("equal"))
+    return told.join(equal, ["fid_a", "fid_b"], "left").select(
+        "fid_a",
+        "fid_b",
+        (F.col("alike") & (F.coalesce("equal", F.lit(0)) == F.coalesce("print_a.points", F.lit(0)))).alias("same"),
+    )
+
+
 def assemble(vertices: DataFrame, keys: Sequence[str], name: str = "wkb_geometry") -> DataFrame:
     """Nested-array form of vertex tables, for layers whose geometry is known to fit a row."""
     lines = vertices.groupBy(*keys, "line_no").agg(

@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from geotracks.operators.ordering import number_rows, with_previous
+from geotracks.session import materialize
 
 MODES = ("default", "update_only", "append_only")
 _FLOATS = (T.DoubleType, T.FloatType, T.DecimalType)
@@ -81,11 +82,14 @@ def merge_features(
     fields = [c for c in target.columns if c.lower() in in_source and c != fid]
     written = fields if select is None else [c for c in fields if c in select]
     recast = [c for c in written if source.schema[_named(source, c)].dataType != target.schema[c].dataType]
-    rows = source.select(
-        F.col(order_by).alias("_seq"),
-        F.col(fid).alias("_src_fid"),
-        _key(source, target, on or fid, source).alias("_key"),
-        F.struct(*[F.col(c).alias(c) for c in fields]).alias("_row"),
+    # Stored: the plan is made from the keys and the order alone, and its rows are fetched after.
+    rows = materialize(
+        source.select(
+            F.col(order_by).alias("_seq"),
+            F.col(fid).alias("_src_fid"),
+            _key(source, target, on or fid, source).alias("_key"),
+            F.struct(*[F.col(c).alias(c) for c in fields]).alias("_row"),
+        )
     )
     first = _first_per_key(target, on or fid, fid, fields, source, keep_row=compare)
 
@@ -94,7 +98,7 @@ def merge_features(
         taken = _taken_fids(rows, first, target, fid)
         rows = rows.join(taken.select("_seq"), "_seq", "left_anti")
         rejects.append(_reject(taken, F.col("_src_fid"), "append", _TAKEN, F.lit(1)))
-    plan = _actions(_summarize(rows, first, mode, compare, dry_run), mode, dry_run)
+    plan = materialize(_actions(_summarize(rows, first, mode, compare, dry_run), mode, dry_run))
     writes = plan.where("updates > 0 AND _target_fid IS NOT NULL")
     appends = plan.where("appends > 0")
     if recast and not dry_run:
@@ -163,51 +167,60 @@ def _first_per_key(target, name, fid, fields, source, keep_row) -> DataFrame:
 
 
 def _summarize(rows, first, mode, compare, dry_run) -> DataFrame:
-    """One row per source key, with the target row it finds and its number of real changes."""
+    """One row per source key, with the target row it finds and its number of real changes.
+
+    Keys are counted by their order alone. The row whose values are written is joined back by
+    its place in the order, which is unique.
+    """
     keyed = rows.where("_key IS NOT NULL")
-    wanted = F.min_by if mode == "append_only" else F.max_by
-    base = [
+    counted = [
         F.count("*").alias("n"),
         F.min("_seq").alias("_seq"),
+        F.max("_seq").alias("_last"),
         F.min_by("_src_fid", "_seq").alias("_src_fid"),
-        wanted("_row", "_seq").alias("_value"),
     ]
     if not compare:
-        per_key = keyed.groupBy("_key").agg(*base).join(first, "_key", "left")
-        per_key = per_key.withColumn("changed", F.col("n")).withColumn("later", F.col("n") - 1)
+        per_key = keyed.groupBy("_key").agg(*counted).join(first, "_key", "left")
+        per_key = per_key.withColumns({"changed": F.col("n"), "later": F.col("n") - 1})
     elif dry_run:
         # Nothing is written, so every row is compared with the target itself.
-        seen = keyed.join(first, "_key", "left")
         differs = ~F.col("_row").eqNullSafe(F.col("_old"))
-        per_key = seen.groupBy("_key").agg(
-            *base,
-            F.max("_target_fid").alias("_target_fid"),
-            F.count_if(differs).alias("changed"),
-            F.count_if(differs).alias("later"),
+        per_key = (
+            keyed.join(first, "_key", "left")
+            .groupBy("_key")
+            .agg(
+                *counted,
+                F.max("_target_fid").alias("_target_fid"),
+                F.count_if(differs).alias("changed"),
+                F.count_if(differs).alias("later"),
+            )
         )
     else:
-        walked = with_previous(keyed, F.col("_row"), ["_seq"], ["_key"], name="_before")
-        moved = F.col("_before").isNotNull() & ~F.col("_row").eqNullSafe(F.col("_before"))
+        walked = with_previous(keyed, F.struct("_row"), ["_seq"], ["_key"], name="_before")
+        moved = F.col("_before").isNotNull() & ~F.col("_row").eqNullSafe(F.col("_before._row"))
+        starts = keyed.select("_seq", F.col("_row").alias("_start"))
+        same = F.col("_start").eqNullSafe(F.col("_old"))
         per_key = (
             walked.groupBy("_key")
-            .agg(
-                *base,
-                F.min_by("_row", "_seq").alias("_start"),
-                F.count_if(moved).alias("later"),
-            )
+            .agg(*counted, F.count_if(moved).alias("later"))
             .join(first, "_key", "left")
-            .withColumn(
-                "changed",
-                F.col("later") + (~F.col("_start").eqNullSafe(F.col("_old"))).cast("int"),
-            )
+            .join(starts, "_seq")
+            .withColumn("changed", F.col("later") + (~same).cast("int"))
         )
+    value = F.col("_row").alias("_value")
+    if dry_run:
+        per_key = per_key.withColumn("_value", F.lit(None).cast(rows.schema["_row"].dataType))
+    elif mode == "append_only":
+        per_key = per_key.join(keyed.select("_seq", value), "_seq")
+    else:
+        per_key = per_key.join(keyed.select(F.col("_seq").alias("_last"), value), "_last")
     # A null key matches nothing, so each such row stands alone.
     columns = ["n", "_seq", "_src_fid", "_value", "_target_fid", "changed", "later"]
     alone = rows.where("_key IS NULL").select(
         F.lit(1).cast("long").alias("n"),
         "_seq",
         "_src_fid",
-        F.col("_row").alias("_value"),
+        value,
         F.lit(None).cast(first.schema["_target_fid"].dataType).alias("_target_fid"),
         F.lit(1).cast("long").alias("changed"),
         F.lit(0).cast("long").alias("later"),

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-#: Placemarks in one folder element; bounds the row the XML writer takes.
-FOLDER_SIZE = 5000
+from geotracks.sources import files
 
 # Header of the report document.
 ROOT = 'kml xmlns="http://earth.google.com/kml/2.0"'
@@ -24,50 +23,60 @@ STYLES = {
 }
 
 
-def kml_folders(placemarks: DataFrame) -> DataFrame:
-    """Placemarks gathered in folder elements of at most ``FOLDER_SIZE``, in index order."""
+def report_lines(placemarks: DataFrame) -> DataFrame:
+    """``place, line``: the lines of the report document, in order of ``place``.
+
+    One header, a placemark each, one footer; all placemarks are in one folder element.
+    """
+    spark = placemarks.sparkSession
     placemark = F.struct(
-        "idx",
-        "name",
-        "styleUrl",
-        "description",
-        F.struct("coordinates").alias("Point"),
+        "name", "styleUrl", "description", F.struct("coordinates").alias("Point")
     )
-    gathered = placemarks.groupBy(
-        F.floor((F.col("idx") - 1) / FOLDER_SIZE).alias("folder")
-    ).agg(F.array_sort(F.collect_list(placemark)).alias("marks"))
-    styles = F.array(
-        *[
-            F.struct(
-                F.lit(style).alias("_id"),
-                F.struct(F.struct(F.lit(href).alias("href")).alias("Icon")).alias("IconStyle"),
-            )
-            for style, href in STYLES.values()
-        ]
+    # A placemark is one line: breaks between its elements go, those in its texts are escaped.
+    xml = F.regexp_replace(F.to_xml(placemark, {"rowTag": "Placemark"}), r">\s*\n\s*<", "><")
+    line = F.regexp_replace(F.regexp_replace(xml, "\r", "&#13;"), "\n", "&#10;")
+    marks = placemarks.select(F.col("idx").alias("place"), line.alias("line"))
+    ends = spark.createDataFrame(
+        [(0, _header()), (None, f"</Folder>\n</{ROOT.split()[0]}>")], "place long, line string"
     )
-    pairs = F.array(
-        *[
-            F.struct(F.lit(key).alias("key"), F.lit(f"#{STYLES[key][0]}").alias("styleUrl"))
-            for key in ("normal", "highlight")
-        ]
+    return marks.unionByName(ends)
+
+
+def _header() -> str:
+    styles = "".join(
+        f'<Style id="{style}"><IconStyle><Icon><href>{href}</href></Icon></IconStyle></Style>\n'
+        for style, href in STYLES.values()
     )
-    return gathered.select(
-        "folder",
-        F.lit(FOLDER_NAME).alias("name"),
-        F.lit(FOLDER_DESCRIPTION).alias("description"),
-        styles.alias("Style"),
-        F.struct(F.lit(STYLE_MAP).alias("_id"), pairs.alias("Pair")).alias("StyleMap"),
-        F.transform("marks", lambda m: m.dropFields("idx")).alias("Placemark"),
+    pairs = "".join(
+        f"<Pair><key>{key}</key><styleUrl>#{STYLES[key][0]}</styleUrl></Pair>" for key in ("normal", "highlight")
+    )
+    return (
+        f"<{ROOT}>\n<Folder>\n<name>{FOLDER_NAME}</name>\n<description>{FOLDER_DESCRIPTION}</description>\n"
+        f'{styles}<StyleMap id="{STYLE_MAP}">{pairs}</StyleMap>'
     )
 
 
-def write_kml(placemarks: DataFrame, path: str, single_file: bool = False) -> None:
-    """Write placemarks as KML documents, each complete with folder and styles.
+def write_kml(placemarks: DataFrame, path: str, join: bool = False) -> None:
+    """Write one report document, as the part files of a folder.
 
-    Every task writes its own document. ``single_file`` writes one, for small reports.
+    The parts are ranges of the document, in the order of their names: only the first begins
+    with the header, only the last ends with the footer, and each is written by a task of its
+    own. ``join`` makes one file of them (see ``files.join``).
     """
-    folders = kml_folders(placemarks).sort("folder").drop("folder")
-    if single_file:
-        folders = folders.coalesce(1)
-    writer = folders.write.mode("overwrite").format("xml").option("declaration", "")
-    writer.option("rootTag", ROOT).option("rowTag", "Folder").save(path)
+    lines = report_lines(placemarks)
+    order = F.asc_nulls_last("place")
+    ordered = lines.repartitionByRange(order).sortWithinPartitions(order).select("line")
+    if not join:
+        ordered.write.mode("overwrite").text(path)
+        return
+    parts = f"{path}.parts"
+    ordered.write.mode("overwrite").text(parts)
+    files.join(placemarks.sparkSession, parts, path)
+
+
+def read_kml(spark: SparkSession, path: str) -> DataFrame:
+    """The placemarks of a report document by ``write_kml``, joined or not, without their numbers."""
+    fields = "name string, styleUrl string, description string, Point struct<coordinates:string>"
+    lines = spark.read.text(path).where(F.startswith("value", F.lit("<Placemark>")))
+    marks = lines.select(F.from_xml("value", fields).alias("m"))
+    return marks.select("m.name", "m.styleUrl", "m.description", F.col("m.Point.coordinates").alias("coordinates"))

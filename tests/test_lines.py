@@ -113,3 +113,23 @@ def test_disassemble_is_the_inverse(spark):
     assert back.exceptAll(df.select("name", "line_no", "pt_no", "x", "y")).count() == 0
     empty = spark.createDataFrame([("b", [[], [(7.0, 8.0)]])], "name string, wkb_geometry array<array<struct<x:double,y:double>>>")
     assert [tuple(r) for r in lines.disassemble(empty).collect()] == [("b", 0, 1, 7.0, 8.0)]
+
+
+def test_same_geometries(spark):
+    layout = "fid long, line_no int, pt_no long, x double, y double"
+    line = [(0, 1, 0.0, 0.0), (0, 2, 1.0, 0.0), (1, 1, 5.0, 5.0)]
+    a = [(fid, *p) for fid in range(1, 7) for p in line]
+    changed = {
+        2: [(0, 1, 1.0, 0.0), (0, 2, 0.0, 0.0), line[2]],  # turned round
+        3: line[:2],  # a part less
+        4: [(0, 1, -0.0, 0.0), *line[1:]],  # the same place
+        5: [line[0], line[1], (1, 1, 5.0, 5.0 + 1e-12)],
+        6: [],
+    }
+    b = [(fid, *p) for fid in range(1, 7) for p in changed.get(fid, line)]
+    pairs = spark.createDataFrame([(i, i) for i in range(1, 9)] + [(1, 2), (3, 1), (1, 1)], "fid_a long, fid_b long")
+    found = lines.same_geometries(spark.createDataFrame(a, layout), spark.createDataFrame(b, layout), pairs)
+    got = sorted(map(tuple, found.collect()))
+    # 7 and 8 have no vertices on either side, and (1, 1) is asked for twice
+    want = [(1, 1, True), (1, 1, True), (1, 2, False), (2, 2, False), (3, 1, True), (3, 3, False), (4, 4, True), (5, 5, False), (6, 6, False), (7, 7, True), (8, 8, True)]
+    assert got == want

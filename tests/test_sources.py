@@ -194,7 +194,7 @@ def test_append_by_name(spark):
     assert sorted(map(tuple, got.collect())) == [("a", 1, 2.0), ("b", 7, None)]
 
 
-def test_placemarks_and_kml(spark, tmp_path, monkeypatch):
+def test_placemarks_and_kml(spark, tmp_path):
     df = spark.createDataFrame([(2, "b & <c>", 3.5, 4.5), (1, None, 1.25, None)], "id int, label string, x double, y double")
     points = df.select("id", "label", geo.make_point(F.col("x"), F.col("y")).alias("geometry"))
     rows = placemarks(points, ["id"]).orderBy("idx").collect()
@@ -207,11 +207,10 @@ def test_placemarks_and_kml(spark, tmp_path, monkeypatch):
     with pytest.raises(ValueError):
         placemarks(points, ["id"], axis_order="zz")
 
-    monkeypatch.setattr(kml, "FOLDER_SIZE", 1)
-    kml.write_kml(placemarks(points, ["id"]), f"{tmp_path}/kml", single_file=True)
-    (part,) = [p for p in (tmp_path / "kml").iterdir() if p.name.startswith("part-")]
-    text = part.read_text()
-    assert text.count("<Placemark>") == 2 and text.count("<Folder>") == 2
+    kml.write_kml(placemarks(points, ["id"]), f"{tmp_path}/report.kml", join=True)
+    text = (tmp_path / "report.kml").read_text()
+    assert text.count("<Placemark>") == 2 and text.count("<Folder>") == 1
+    assert not (tmp_path / "report.kml.parts").exists()
     assert re.search(r'<kml xmlns="http://earth.google.com/kml/2.0">', text) and text.rstrip().endswith("</kml>")
     assert '<Style id="highlightPlacemark">' in text and '<StyleMap id="exampleStyleMap">' in text
     import xml.etree.ElementTree as ET
@@ -318,3 +317,26 @@ def test_compaction_reads_one_folder(spark, tmp_path):
     assert "vertices/version=0" in gone and rows() == before
     import_batch(store, vertices(spark, [("AAA-2-2-2", [RING])]), label="later")
     assert store.features("area").table.count() == 3 and store.refresh("all")
+
+
+def test_report_parts_are_one_document(spark, tmp_path):
+    """The parts, in the order of their names, are the document, whatever their number."""
+    import xml.etree.ElementTree as ET
+
+    layer = spark.range(12_000).select("id", F.concat(F.lit("<&>'\n> <b\r"), "id").alias("label"), geo.make_point(F.col("id") * 1.0, F.lit(2.0)).alias("geometry"))
+    kept = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    kml.write_kml(placemarks(layer, ["id"]), f"{tmp_path}/report")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", kept)
+    parts = sorted(p for p in (tmp_path / "report").iterdir() if p.name.startswith("part-"))
+    assert len(parts) > 2
+    root = ET.fromstring("".join(p.read_text() for p in parts))
+    space = "{http://earth.google.com/kml/2.0}"
+    (folder,) = root.findall(f"{space}Folder")
+    names = [m.find(f"{space}name").text for m in folder.findall(f"{space}Placemark")]
+    assert names == [f"Feature_{i}" for i in range(1, 12_001)]
+    assert kml.read_kml(spark, f"{tmp_path}/report").exceptAll(
+        placemarks(layer, ["id"]).select("name", "styleUrl", "description", "coordinates")
+    ).count() == 0
+    kml.write_kml(placemarks(layer.limit(0), ["id"]), f"{tmp_path}/none.kml", join=True)
+    assert len(ET.fromstring((tmp_path / "none.kml").read_text()).find(f"{space}Folder").findall(f"{space}Placemark")) == 0
