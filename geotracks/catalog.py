@@ -16,7 +16,9 @@ from geotracks.operators import boundaries, concave, flags, layers, lines, merge
 from geotracks.operators.classify import classify, new_names, track_heads
 from geotracks.operators.placemarks import placemarks
 from geotracks.plans import derive
+from geotracks.plans.boundaries import append_boundaries, read_boundaries
 from geotracks.plans.importer import Features, ImportResult, import_tracks
+from geotracks.schemas import BOUNDARY_LEVELS, WGS84
 from geotracks.session import materialize, work_folder
 from geotracks.sources import geojson, gpx, kml, tables
 from geotracks.sources.store import TrackStore
@@ -283,6 +285,26 @@ def track_import_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register
+def track_import_held(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tracks whose vertices come in two runs of the stream, held until they are whole."""
+    run = f"{work_folder(spark)}/stream-{uuid.uuid4().hex}"
+    vertices = materialize(fx.track_vertices(spark, sf_dir))
+    sizes = vertices.groupBy("src", "ogc_fid").agg(F.count_distinct("seg_no").cast("int").alias("parts"), F.count("*").alias("points"))
+    sizes.write.parquet(f"{run}/totals")
+    store = TrackStore(spark, f"{run}/store")
+    for part in (vertices.where("pt_no = 1"), vertices.where("pt_no > 1")):
+        part.write.mode("append").parquet(f"{run}/landing")
+        stream_vertices(spark, f"{run}/landing", store, f"{run}/offsets", totals=f"{run}/totals").awaitTermination()
+    found = []
+    for kind, key in (("area", "area_id"), ("plot", "plot_id")):
+        features = store.features(kind)
+        sizes = features.vertices.groupBy("fid").agg(F.count("*").alias("points"))
+        named = features.table.join(sizes, "fid", "left").select(F.lit(kind).alias("kind"), F.col(key).alias("name"), F.coalesce("points", F.lit(0)).alias("points"))
+        found.append(named)
+    return found[0].unionByName(found[1])
+
+
 @register
 def stored_area_convex(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both batches committed to a store, its area derivations refreshed, one read back."""
@@ -425,6 +447,50 @@ def mercator_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# --- tables -------------------------------------------------------------------------------
+
+
+@register
+def opened_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A view on a layer, opened by the name of the layer it is to be merged with."""
+    name = f"layer_{uuid.uuid4().hex}"
+    tables.create_view(fx.merge_target(spark, sf_dir), name)
+    return tables.open_layer(spark, ["other", name], like=name)
+
+
+@register
+def table_from_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name = f"counts_{uuid.uuid4().hex}"
+    counts = fx.merge_target(spark, sf_dir).groupBy("cat").agg(F.count("*").alias("features"), F.max("fid").alias("last_fid"))
+    tables.create_table(counts, name, f"{work_folder(spark)}/{name}")
+    return tables.open_layer(spark, [name])
+
+
+@register
+def project_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fx.merge_target(spark, sf_dir).select(*merge.field_list("code,val"))
+
+
+@register
+def merge_layouts_differ(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Comparing is switched off, with a notice, where the layers have other fields."""
+    target = fx.merge_target(spark, sf_dir).withColumn("more", F.lit(1))
+    merged = merge.merge_features(fx.merge_source(spark, sf_dir), target, order_by="seq", on="code", compare=True)
+    return merged.counts.select(F.lit("; ".join(merged.notices)).alias("notice"), "updated", "appended")
+
+
+@register
+def import_statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What an import says of all tracks, and of none."""
+    tracks = materialize(fx.track_vertices(spark, sf_dir))
+    done = []
+    for label, part in (("whole", tracks), ("nothing", tracks.limit(0))):
+        result = import_tracks(part)
+        names = sum(result.level(level).table.count() for level in ("area", "plot"))
+        done.append((label, result.status, names))
+    return spark.createDataFrame(done, "input string, status boolean, names long")
+
+
 # --- feature merge ------------------------------------------------------------------------
 
 
@@ -569,7 +635,13 @@ def sites_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _boundary_columns(df: DataFrame) -> DataFrame:
     # Decimals as doubles: the same number on every engine.
     numbers = ("str_year", "exp_year", "adm0_code", "shape_leng", "shape_area")
-    return df.select(*[F.col(c).cast("double").alias(c) if c in numbers else c for c in df.columns])
+    points = F.flatten(F.flatten("wkb_geometry"))
+    corner = lambda pick, c: pick(F.transform(points, lambda p: p[c]))
+    return df.select(
+        *[F.col(c).cast("double").alias(c) if c in numbers else c for c in df.columns if c != "wkb_geometry"],
+        corner(F.array_min, "x").alias("minx"), corner(F.array_min, "y").alias("miny"),
+        corner(F.array_max, "x").alias("maxx"), corner(F.array_max, "y").alias("maxy"),
+    )
 
 
 @register
@@ -584,6 +656,37 @@ def boundary_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejected
 
 
+@register
+def boundary_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tables of all three levels, each loaded twice: ids of the first load stay taken."""
+    base = f"{work_folder(spark)}/boundaries-{uuid.uuid4().hex}"
+    raw = fx.boundaries(spark, sf_dir)
+    stored = []
+    for level in BOUNDARY_LEVELS:
+        for shift in (0, 10):
+            append_boundaries(raw.withColumn("ogc_fid", F.col("ogc_fid") + shift), level, base)
+        stored.append(_boundary_columns(read_boundaries(spark, level, base)).withColumn("level", F.lit(level)))
+    return reduce(DataFrame.unionByName, stored).select("level", "ogc_fid", "adm0_name", "adm0_code", "minx")
+
+
+def _corners(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corners of the boundaries that can be loaded, with their reference system."""
+    accepted, _ = boundaries.load_boundaries(fx.boundaries(spark, sf_dir), 0)
+    point = F.explode(F.flatten(F.flatten("wkb_geometry")))
+    return accepted.select(point.alias("p"), geo.set_srid(WGS84).alias("srid")).select("p.x", "p.y", "srid")
+
+
+@register
+def layer_bounds_srid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return layers.bounds(_corners(spark, sf_dir))
+
+
+@register
+def layer_grid_srid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cells = layers.square_grid(layers.bounds(_corners(spark, sf_dir)), 0.75)
+    return cells.select("cell_id", _rounded("minx", 9), _rounded("miny", 9), "srid")
+
+
 @register
 def boundary_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     accepted, _ = boundaries.load_boundaries(fx.boundaries(spark, sf_dir), 0)
@@ -618,6 +721,17 @@ def _many_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.select(F.col("o_orderkey").alias("fid"), F.col("o_orderstatus").alias("status"), F.col("o_custkey").alias("customer"), at.alias("geometry"))
 
 
+@register
+def geojson_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as a new table, its fields those of the first feature."""
+    run = f"{work_folder(spark)}/geojson-{uuid.uuid4().hex}"
+    _write_geojson(_point_features(spark, sf_dir), f"{run}/in")
+    name = f"features_{uuid.uuid4().hex}"
+    geojson.geojson_to_table(spark, f"{run}/in", name, lines=True, path=f"{run}/table")
+    point = geojson.geometry_of(F.col("coordinates"), "Point")
+    return spark.table(name).select("fid", "code", "label", "cat", point["x"].alias("x"), point["y"].alias("y"))
+
+
 @register
 def kml_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All orders as one report document, written in parts and read back."""
@@ -639,18 +753,20 @@ def kml_document(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _write_geojson(points: DataFrame, path: str) -> DataFrame:
+    """Points written as newline-delimited features; returns these."""
+    rest = [c for c in points.columns if c != "geometry"]
+    at = F.struct(F.lit("Point").alias("type"), F.array("geometry.x", "geometry.y").alias("coordinates"))
+    features = points.select(F.struct(*rest).alias("properties"), at.alias("geometry"))
+    features.write.mode("overwrite").json(path)
+    return features
+
+
 @register
 def geojson_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Supplier points written as newline-delimited GeoJSON, and read back."""
     path = f"{work_folder(spark)}/geojson-{uuid.uuid4().hex}"
-    features = _point_features(spark, sf_dir).select(
-        F.struct("fid", "code", "label", "cat").alias("properties"),
-        F.struct(
-            F.lit("Point").alias("type"),
-            F.array("geometry.x", "geometry.y").alias("coordinates"),
-        ).alias("geometry"),
-    )
-    features.write.mode("overwrite").json(path)
+    features = _write_geojson(_point_features(spark, sf_dir), path)
     read = geojson.read_geojson(spark, path, features.schema["properties"].dataType, lines=True)
     return geojson.with_geometry(read, "Point").select(
         "fid", "code", "label", "cat", F.col("geometry.x").alias("x"), F.col("geometry.y").alias("y")

@@ -333,7 +333,7 @@ _BOUNDARY_OK = "geom_type = 'MultiPolygon' AND srid = 4326 AND try_cast(adm0_cod
 _BOUNDARY = f"""SELECT CAST(ogc_fid AS BIGINT) AS ogc_fid, status, CAST(str_year AS DOUBLE) AS str_year,
   CAST(exp_year AS DOUBLE) AS exp_year, disp_area, CAST(adm0_code AS DOUBLE) AS adm0_code, adm0_name,
   CAST(shape_leng AS DOUBLE) AS shape_leng, CAST(shape_area AS DOUBLE) AS shape_area,
-  geom_type, srid, minx, miny, maxx, maxy
+  minx, miny, maxx, maxy
 FROM fx_boundaries WHERE {_BOUNDARY_OK}"""
 _PROPERTY = (
     "'<ul><li><p><font color=\"green\">Property <b>{0}</b> has value <b>' || {1}"
@@ -515,8 +515,35 @@ CHECKS: dict[str, str] = {
     "boundary_load": _with("fx_boundaries") + _BOUNDARY,
     "boundary_rejects": _with("fx_boundaries")
     + f"""SELECT CAST(ogc_fid AS BIGINT) AS ogc_fid, CASE WHEN geom_type <> 'MultiPolygon' THEN 'geometry type'
-            ELSE 'adm0_code' END AS reason, CAST(1 AS BIGINT) AS features
+            WHEN srid <> 4326 THEN 'reference system' ELSE 'adm0_code' END AS reason, CAST(1 AS BIGINT) AS features
           FROM fx_boundaries WHERE NOT ({_BOUNDARY_OK})""",
+    "boundary_append": _with("fx_boundaries")
+    + f"""SELECT level, CAST(ogc_fid + shift AS BIGINT) AS ogc_fid, adm0_name, CAST(adm0_code AS DOUBLE) AS adm0_code, minx
+          FROM fx_boundaries, (VALUES (0), (1), (2)) l(level), (VALUES (0), (10)) t(shift)
+          WHERE {_BOUNDARY_OK} AND (shift = 0 OR ogc_fid + 10 NOT IN (SELECT ogc_fid FROM fx_boundaries WHERE {_BOUNDARY_OK}))""",
+    "layer_bounds_srid": _with("fx_boundaries")
+    + f"""SELECT min(minx) AS minx, min(miny) AS miny, max(maxx) AS maxx, max(maxy) AS maxy, CAST(4326 AS INTEGER) AS srid
+          FROM fx_boundaries WHERE {_BOUNDARY_OK}""",
+    "layer_grid_srid": _with("fx_boundaries")
+    + f"""SELECT CAST(r.range * nx + c.range + 1 AS BIGINT) AS cell_id, round(minx + (maxx - minx) / 2 - nx * 0.75 / 2 + c.range * 0.75, 9) AS minx,
+            round(miny + (maxy - miny) / 2 - ny * 0.75 / 2 + r.range * 0.75, 9) AS miny, CAST(4326 AS INTEGER) AS srid
+          FROM (SELECT *, CAST(trunc((maxx - minx) / 0.75) AS BIGINT) + 1 AS nx, CAST(trunc((maxy - miny) / 0.75) AS BIGINT) + 1 AS ny
+                FROM (SELECT min(minx) AS minx, min(miny) AS miny, max(maxx) AS maxx, max(maxy) AS maxy FROM fx_boundaries WHERE {_BOUNDARY_OK})) f,
+            range(0, nx) c, range(0, ny) r""",
+    "opened_layer": _with("fx_target") + "SELECT * FROM fx_target",
+    "table_from_query": _with("fx_target") + "SELECT cat, count(*) AS features, max(fid) AS last_fid FROM fx_target GROUP BY cat",
+    "project_fields": _with("fx_target") + "SELECT code, val FROM fx_target",
+    "merge_layouts_differ": _with("walk")
+    + f"""SELECT 'compare is ignored: the layouts differ' AS notice, count(*) FILTER (WHERE {_PLAIN[0]["default"]}) AS updated,
+            count(*) FILTER (WHERE {_PLAIN[1]["default"]}) AS appended FROM walk""",
+    "import_statuses": _with("heads")
+    + """SELECT 'whole' AS input, true AS status, count(DISTINCT name) AS names FROM heads WHERE kind IS NOT NULL
+         UNION ALL SELECT 'nothing', false, 0""",
+    "geojson_table": _with("fx_target")
+    + "SELECT fid, code, label, CAST(cat AS BIGINT) AS cat, x, y FROM fx_target",
+    "track_import_held": _with("state", "shapes")
+    + """SELECT kind, name, CAST(coalesce(ring_points, 0) AS BIGINT) AS points
+         FROM state LEFT JOIN shapes USING (batch_no, ogc_fid)""",
     "boundary_filter": _with("fx_boundaries")
     + f"SELECT * FROM ({_BOUNDARY}) WHERE adm0_code = 6",
     "boundary_hectares": _with("fx_boundaries")

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from geotracks.functions import geometry as geo
 from geotracks.operators.ordering import number_rows
 
 # Column expressions shared by both engines.
@@ -95,7 +96,7 @@ FROM {customer}
 BOUNDARIES_SQL = """
 SELECT n_nationkey + 1 AS ogc_fid,
        CASE WHEN n_nationkey % 6 = 5 THEN 'Polygon' ELSE 'MultiPolygon' END AS geom_type,
-       4326 AS srid,
+       CASE WHEN n_nationkey % 11 = 7 THEN 3857 ELSE 4326 END AS srid,
        CAST(n_nationkey % 5 AS DOUBLE) AS minx, CAST(floor(n_nationkey / 5) AS DOUBLE) AS miny,
        CAST(n_nationkey % 5 + 1 AS DOUBLE) AS maxx,
        CAST(floor(n_nationkey / 5) + 1 AS DOUBLE) AS maxy,
@@ -234,7 +235,9 @@ def sites(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def boundaries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(BOUNDARIES_SQL, nation=table(spark, sf_dir, "nation"))
+    raw = spark.sql(BOUNDARIES_SQL, nation=table(spark, sf_dir, "nation"))
+    ring = geo.square(*[F.col(c) for c in ("minx", "miny", "maxx", "maxy")])
+    return raw.withColumn("wkb_geometry", F.array(F.array(ring)))
 
 
 def merge_target(spark: SparkSession, sf_dir: str) -> DataFrame:

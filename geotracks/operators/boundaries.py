@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from geotracks.functions.numbers import is_number_text
-from geotracks.schemas import BOUNDARY_FIELDS, BOUNDARY_LEVELS, WGS84
+from geotracks.schemas import BOUNDARY_FIELDS, BOUNDARY_LEVELS, MULTIPOLYGON, WGS84
 
 # Fixed value: how the boundary tables are called.
 _TABLE = "g2013_2012_{level}"
-_SHAPE = ["geom_type", "srid", "wkb_geometry"]
+#: Columns of a boundary table, in their order.
+COLUMNS = ["ogc_fid", "wkb_geometry", *BOUNDARY_FIELDS]
 
 
 def table_name(level: int) -> str:
@@ -24,13 +25,13 @@ def load_boundaries(
 ) -> tuple[DataFrame, DataFrame]:
     """Split raw text features into rows that fit the table of ``level``, and the others.
 
-    A feature needs a MultiPolygon in WGS84, text within its length, numbers within their
-    precision, and an ``ogc_fid`` not taken by ``existing`` or by an equal-id feature before
-    it in the order of its own columns. Rejects are counted by ``ogc_fid`` and ``reason``.
+    A feature needs a MultiPolygon in WGS84 (``geom_type``, ``srid``, ``wkb_geometry``), text
+    within its length, numbers within their precision, and an ``ogc_fid`` not taken by
+    ``existing`` or by an equal-id feature before it in the order of its own columns. Accepted
+    rows have the ten columns of the table, and no other. Rejects are counted by ``ogc_fid`` and
+    ``reason``.
     """
     table_name(level)
-    shape = [c for c in _SHAPE if c in raw.columns]
-    extra = [c for c in raw.columns if c not in BOUNDARY_FIELDS and c not in ("ogc_fid", *shape)]
     reason = F.when(~F.col("geom_type").eqNullSafe("MultiPolygon"), "geometry type").when(
         ~F.col("srid").eqNullSafe(WGS84), "reference system"
     )
@@ -41,9 +42,8 @@ def load_boundaries(
 
     typed = checked.where("reason IS NULL").select(
         F.col("ogc_fid").cast("long").alias("ogc_fid"),
+        F.col("wkb_geometry").cast(MULTIPOLYGON).alias("wkb_geometry"),
         *[_value(F.col(n), t).alias(n) for n, t in BOUNDARY_FIELDS.items()],
-        *shape,
-        *extra,
     )
     rest = [c for c in typed.columns if c != "ogc_fid"]
     # A repeated id keeps its least row; the aggregate reduces repeats before the shuffle.
@@ -53,7 +53,7 @@ def load_boundaries(
     repeats = single.where("_copies > 1").select(
         "ogc_fid", F.lit("repeated ogc_fid").alias("reason"), (F.col("_copies") - 1).alias("features")
     )
-    accepted = single.select("ogc_fid", "_row.*")
+    accepted = single.select("ogc_fid", "_row.*").select(*COLUMNS)
     if existing is not None:
         taken = existing.select("ogc_fid")
         clash = accepted.join(taken, "ogc_fid", "left_semi").select(

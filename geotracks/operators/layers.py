@@ -8,10 +8,16 @@ from geotracks.functions import geometry as geo
 
 
 def bounds(points: DataFrame, x: str = "x", y: str = "y") -> DataFrame:
-    """One row minx, miny, maxx, maxy of a vertex table or point layer."""
-    return points.agg(
-        F.min(x).alias("minx"), F.min(y).alias("miny"), F.max(x).alias("maxx"), F.max(y).alias("maxy")
-    )
+    """One row minx, miny, maxx, maxy of a vertex table or point layer.
+
+    A layer with a column ``srid`` gives its reference system too; it must have a single one.
+    """
+    box = [F.min(x).alias("minx"), F.min(y).alias("miny"), F.max(x).alias("maxx"), F.max(y).alias("maxy")]
+    if "srid" not in points.columns:
+        return points.agg(*box)
+    several = F.raise_error(F.lit("a layer of several reference systems has no bounds")).cast("int")
+    system = F.when(F.min("srid").eqNullSafe(F.max("srid")), F.min("srid")).otherwise(several)
+    return points.agg(*box, system.alias("srid"))
 
 
 def grid_envelope(box: DataFrame, side: float) -> DataFrame:
@@ -29,9 +35,10 @@ def grid_envelope(box: DataFrame, side: float) -> DataFrame:
             "ny": ((F.col("maxy") - F.col("miny")) / s).cast("long") + 1,
         }
     )
+    system = ["srid"] if "srid" in box.columns else []
     low = lambda a, b, n: F.col(a) + (F.col(b) - F.col(a)) / 2 - (F.col(n) * s) / 2
     return counted.select(
-        "nx", "ny", low("minx", "maxx", "nx").alias("minx"), low("miny", "maxy", "ny").alias("miny")
+        "nx", "ny", low("minx", "maxx", "nx").alias("minx"), low("miny", "maxy", "ny").alias("miny"), *system
     ).select(
         "nx",
         "ny",
@@ -39,6 +46,7 @@ def grid_envelope(box: DataFrame, side: float) -> DataFrame:
         "miny",
         (F.col("minx") + F.col("nx") * s).alias("maxx"),
         (F.col("miny") + F.col("ny") * s).alias("maxy"),
+        *system,
     )
 
 
@@ -51,9 +59,12 @@ def square_grid(box: DataFrame, side: float) -> DataFrame:
     frame = grid_envelope(box, side).first()
     spark = box.sparkSession
     if frame["nx"] is None:
-        return _cells(spark.range(0), 1, 0.0, 0.0, side)
-    cells = spark.range(frame["nx"] * frame["ny"])
-    return _cells(cells, frame["nx"], frame["minx"], frame["miny"], side)
+        cells = _cells(spark.range(0), 1, 0.0, 0.0, side)
+    else:
+        cells = _cells(spark.range(frame["nx"] * frame["ny"]), frame["nx"], frame["minx"], frame["miny"], side)
+    if "srid" not in box.columns:
+        return cells
+    return cells.withColumn("srid", F.lit(frame["srid"]).cast("int"))
 
 
 def _cells(ids: DataFrame, nx: int, minx: float, miny: float, side: float) -> DataFrame:

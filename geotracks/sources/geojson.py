@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from geotracks.schemas import LINE, MULTILINE, MULTIPOLYGON, POINT
+from geotracks.sources.tables import create_table
 
 _PAIR = T.ArrayType(T.DoubleType())
 # Nesting of the coordinates of each geometry type.
@@ -51,6 +52,38 @@ def read_geojson(
     return None if rows.isEmpty() else rows
 
 
+def geojson_to_table(
+    spark: SparkSession,
+    source: str,
+    name: str,
+    properties: T.StructType | None = None,
+    lines: bool = False,
+    path: str | None = None,
+) -> None:
+    """Make a new table of a feature collection: its properties, ``geom_type``, ``coordinates``.
+
+    Without ``properties`` the fields are those of the first feature, as in the collection; of
+    the others those are taken by name. A collection without features is an error, and so is a
+    table that is there already.
+    """
+    if properties is None:
+        properties = _of_first(spark, source, lines)
+    rows = read_geojson(spark, source, properties, lines) if properties is not None else None
+    if rows is None:
+        raise ValueError(f"no features in {source}")
+    create_table(rows, name, path)
+
+
+def _of_first(spark: SparkSession, path: str, lines: bool) -> T.StructType | None:
+    """The fields of the first feature's properties; only that feature's text is fetched."""
+    one = T.StructType([T.StructField("properties", T.StringType())])
+    first = _features(spark, path, lines, one).select("f.properties").where("properties IS NOT NULL").first()
+    if first is None:
+        return None
+    ddl = spark.range(1).select(F.schema_of_json(F.lit(first["properties"]))).first()[0]
+    return T.StructType.fromDDL(f"p {ddl}")["p"].dataType
+
+
 def with_geometry(features: DataFrame, geom_type: str, name: str = "geometry") -> DataFrame:
     """Features of one geometry type, with its coordinates as a nested array column."""
     if geom_type not in _DEPTH:

@@ -81,6 +81,11 @@ def read_layer(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(*[f"{path}/data/{folder}" for folder in current["folders"]])
 
 
+def layer_exists(spark: SparkSession, path: str) -> bool:
+    """True if a layer was written to ``path``."""
+    return _current(spark, path) is not None
+
+
 def vacuum_layer(spark: SparkSession, path: str) -> int:
     """Delete what former versions and failed writes left behind; returns how many folders."""
     current = _current(spark, path)

@@ -12,11 +12,12 @@ from geotracks import fixtures as fx
 from geotracks.functions import geometry as geo
 from geotracks.operators import boundaries, layers, sites
 from geotracks.operators.placemarks import placemarks
+from geotracks.plans.boundaries import append_boundaries, read_boundaries
 from geotracks.plans.importer import import_tracks
 from geotracks.schemas import TRACK_VERTICES
 from geotracks.sources import geojson, gpx, kml, tables
 from geotracks.sources.store import TrackStore
-from geotracks.streaming.gpx_import import import_batch, query_id, stream_gpx, stream_vertices
+from geotracks.streaming.gpx_import import held_tracks, import_batch, query_id, stream_gpx, stream_vertices
 
 RING = [(2.0, 9.0), (2.1, 9.0), (2.1, 9.1), (2.0, 9.0)]
 
@@ -244,7 +245,7 @@ def test_layers_and_tables(spark, tmp_path):
             tables.open_layer(spark, **bad)
     assert [r.fid for r in layers.where_equals(df, "adm0_code", 5).collect()] == [1]
     tables.write_layer(layers.where_equals(df, "adm0_code", 5), f"{tmp_path}/out")
-    assert spark.read.parquet(f"{tmp_path}/out").count() == 1
+    assert tables.read_layer(spark, f"{tmp_path}/out").count() == 1
     with pytest.raises(Exception):
         layers.where_equals(df, "no_field", 5)
 
@@ -340,3 +341,75 @@ def test_report_parts_are_one_document(spark, tmp_path):
     ).count() == 0
     kml.write_kml(placemarks(layer.limit(0), ["id"]), f"{tmp_path}/none.kml", join=True)
     assert len(ET.fromstring((tmp_path / "none.kml").read_text()).find(f"{space}Folder").findall(f"{space}Placemark")) == 0
+
+
+@pytest.mark.parametrize(
+    "cuts",
+    [
+        [[0, 1], [2, 3, 4]],  # whole parts in each batch, and in both together
+        [[0], [1], [2, 3], [4]],
+        [[4, 3], [2], [], [1, 0], [0, 1]],  # out of order, an empty batch, and rows that come twice
+    ],
+)
+def test_tracks_are_held_until_they_are_whole(spark, tmp_path, cuts):
+    line = [(0, 1, 2.0, 9.0), (0, 2, 2.1, 9.0), (1, 1, 2.1, 9.0), (1, 2, 2.1, 9.1), (1, 3, 2.0, 9.0)]
+    rows = [("s", 1, "AAA-1-1-1", *p) for p in line]
+    other = [("s", 2, "AAA-1-1-2", *p) for p in line]
+    spark.createDataFrame([("s", 1, 2, 5), ("t", 1, 9, 9)], "src string, ogc_fid long, parts int, points long").write.parquet(f"{tmp_path}/totals")
+    landing, offsets, store = f"{tmp_path}/landing", f"{tmp_path}/offsets", TrackStore(spark, f"{tmp_path}/store")
+    held = []
+    for cut in cuts:
+        # nothing is stated for the other track, so it is never whole
+        part = [rows[i] for i in cut] + other[:1]
+        spark.createDataFrame(part, TRACK_VERTICES).write.mode("append").parquet(landing)
+        stream_vertices(spark, landing, store, offsets, totals=f"{tmp_path}/totals").awaitTermination()
+        held.append({r.ogc_fid for r in held_tracks(spark, store, offsets).collect()})
+        areas = store.features("area")
+        names = [] if areas is None else [r.area_id for r in areas.table.collect()]
+        seen = {i for earlier in cuts[: len(held)] for i in earlier}
+        assert names == (["AAA-1-1-1"] if seen == set(range(5)) else [])
+    assert 2 in held[-1] and all(1 in h for h in held[: 1])
+    points = store.features("area").vertices.orderBy("pt_no").collect()
+    assert [(p.x, p.y) for p in points] == RING
+
+
+def test_geojson_to_table(spark, tmp_path):
+    point = {"type": "Point", "coordinates": [1.0, 2.0]}
+    text = collection([feature(point, name="a", n=1), feature(point, n=2, other=True), feature(None, name="c")])
+    (tmp_path / "c.json").write_text(text)
+    (tmp_path / "empty.json").write_text(collection([]))
+    name = f"t{uuid.uuid4().hex}"
+    geojson.geojson_to_table(spark, f"{tmp_path}/c.json", name, path=f"{tmp_path}/t")
+    got = spark.table(name)
+    # the fields of the first feature, and no others
+    assert [f"{f.name} {f.dataType.simpleString()}" for f in got.schema] == ["n bigint", "name string", "geom_type string", "coordinates string"]
+    assert sorted(map(str, ((r.n, r.name, r.geom_type) for r in got.collect()))) == sorted(map(str, [(1, "a", "Point"), (2, None, "Point"), (None, "c", None)]))
+    for schema in (None, T.StructType([T.StructField("n", T.LongType())])):
+        with pytest.raises(ValueError, match="no features"):
+            geojson.geojson_to_table(spark, f"{tmp_path}/empty.json", f"{name}_e", schema)
+    with pytest.raises(Exception, match="already exists"):
+        geojson.geojson_to_table(spark, f"{tmp_path}/c.json", name)
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_boundaries_are_appended(spark, tmp_path):
+    raw = fx.boundaries(spark, SMALL).withColumn("more", F.lit("x"))
+    for level in (0, 1, 2):
+        first = append_boundaries(raw, level, str(tmp_path))
+        table = read_boundaries(spark, level, str(tmp_path))
+        assert table.columns == boundaries.COLUMNS and len(boundaries.COLUMNS) == 10
+        assert first.where("reason = 'reference system'").count() > 0
+        again = append_boundaries(raw.withColumn("ogc_fid", F.col("ogc_fid") + 1000 * (F.col("ogc_fid") % 2)), level, str(tmp_path))
+        stored = read_boundaries(spark, level, str(tmp_path))
+        ids = [r.ogc_fid for r in stored.collect()]
+        assert len(ids) == len(set(ids)) > table.count()
+        assert again.where("reason = 'repeated ogc_fid'").count() == table.where("ogc_fid % 2 = 0").count()
+
+
+def test_bounds_carry_the_reference_system(spark):
+    points = spark.createDataFrame([(1.0, 2.0, 4326), (3.0, 5.0, 4326)], "x double, y double, srid int")
+    assert tuple(layers.bounds(points).first()) == (1.0, 2.0, 3.0, 5.0, 4326)
+    assert {r.srid for r in layers.square_grid(layers.bounds(points), 1.0).collect()} == {4326}
+    assert layers.square_grid(layers.bounds(points.limit(0)), 1.0).columns[-1] == "srid"
+    with pytest.raises(Exception, match="several reference systems"):
+        layers.bounds(points.unionByName(points.withColumn("srid", F.lit(3857)))).collect()
