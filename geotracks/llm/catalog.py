@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geotracks.llm import ann, bpe, conversations, credentials, embeddings, language, licenses, minhash, mixing, resampling, sharding, toxicity, urls
+from geotracks.llm.checks import CHECKS  # noqa: F401 - the entry file takes it from here
 from geotracks.llm.common import load
 
 
@@ -98,117 +99,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op13_ownership_secret_scan,
     )
 }
-
-_OP1 = """
-WITH cut AS (
-  SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
-  FROM pages
-), parsed AS (
-  SELECT page_id,
-         translate(regexp_extract(coalesce(rest, ''), '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
-         regexp_extract(coalesce(rest, ''), '^[^/?#]*([^?#]*)', 1) AS path
-  FROM cut
-), rules(verdict, h, p) AS (
-  VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'),
-         ('allow', 'com', '/fr/'), ('block', 'com', '/de/')
-), fits AS (
-  SELECT parsed.*, h || p AS rule, verdict,
-         row_number() OVER (PARTITION BY parsed.page_id ORDER BY length(h || p) DESC NULLS LAST) AS n
-  FROM parsed LEFT JOIN rules
-    ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
-)
-SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM fits WHERE n = 1
-"""
-
-#: A word's CRC-32 modulo 10000: bytes are folded in bit by bit, once for each distinct word.
-_CRC = """
-  xor(list_reduce(
-    list_concat([4294967295::UBIGINT], list_transform(range(length(hex(w)) // 2), lambda i: ('0x' || substr(hex(w), 2 * i + 1, 2))::UBIGINT)),
-    lambda c, b: list_reduce(
-      list_concat([xor(c, b)], list_transform(range(8), lambda z: 0::UBIGINT)),
-      lambda x, z: xor(x // 2, (x % 2) * 3988292384::UBIGINT)
-    )
-  ), 4294967295::UBIGINT)
-"""
-
-_OP12 = f"""
-WITH texts AS (
-  SELECT 'd' AS side, row_number() OVER () AS r, doc_id, text FROM documents
-  UNION ALL SELECT 'b', row_number() OVER (), NULL, text FROM benchmark
-), words AS MATERIALIZED (
-  SELECT side, r, unnest(regexp_extract_all(
-    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'
-  )) AS w FROM texts
-), buckets AS MATERIALIZED (
-  SELECT w, ({_CRC}) % 10000 AS bucket FROM (SELECT DISTINCT w FROM words)
-), sums AS (
-  SELECT bucket, count(*) FILTER (side = 'd') AS s, count(*) FILTER (side = 'b') AS t FROM words JOIN buckets USING (w) GROUP BY bucket
-), gains AS (
-  SELECT bucket, floor(1000 * ln((t + 1)::DOUBLE * ((SELECT sum(s) FROM sums) + 10000)::DOUBLE
-    / ((s + 1)::DOUBLE * ((SELECT sum(t) FROM sums) + 10000)::DOUBLE)))::BIGINT AS gain FROM sums
-), weights AS (
-  SELECT r, count(*) AS n, floor(sum(gain) / count(*))::BIGINT AS weight
-  FROM words JOIN buckets USING (w) JOIN gains USING (bucket) WHERE side = 'd' GROUP BY r
-), scored AS (
-  SELECT doc_id, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight,
-         coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
-  FROM (SELECT * FROM texts WHERE side = 'd') LEFT JOIN weights USING (r)
-), placed AS (
-  SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id NULLS LAST, n_features) AS place,
-         count(*) FILTER (n_features >= 20) OVER () AS eligible
-  FROM scored
-)
-SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND place <= eligible * 10 // 100 THEN place END AS rank FROM placed
-"""
-
-
-
-def _sql_text(pattern: str) -> str:
-    return "'" + pattern.replace("'", "''") + "'"
-
-
-def _matches(kind: str, pattern: str, group: int) -> str:
-    text = _sql_text(pattern)
-    return f"""SELECT r, '{kind}' AS kind, string_split_regex(t, {text}) AS parts, regexp_extract_all(t, {text}) AS whole,
-      regexp_extract_all(t, {text}, {group}) AS vals FROM docs WHERE regexp_matches(t, {text})"""
-
-
-_LOOKBEHIND = "(?<![0-9a-f])"  # a run is taken whole without it too
-_CANDIDATES = " UNION ALL ".join(
-    [_matches(k, p.replace(_LOOKBEHIND, ""), g) for k, (p, g, _) in credentials.PATTERNS.items()] + [_matches("form", credentials.FORMS, 0)]
-)
-_OP13 = f"""
-WITH docs AS MATERIALIZED (
-  SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t FROM documents
-), found AS ({_CANDIDATES}
-), numbered AS (
-  SELECT r, kind, parts, whole, vals, unnest(range(1, len(whole) + 1)) AS i FROM found
-), walked AS (
-  SELECT r, kind, whole[i] AS m, vals[i] AS v, sum(length(parts[i]) + length(whole[i])) OVER (PARTITION BY r, kind ORDER BY i) AS stop FROM numbered
-), valid AS MATERIALIZED (
-  SELECT r, doc_id, source, kind, v, stop - length(m) AS start, stop FROM walked JOIN docs USING (r)
-  WHERE kind = 'form' OR length(v) >= CASE kind WHEN 'assign' THEN 8 WHEN 'access' THEN 16 ELSE 32 END
-), owned AS (
-  SELECT v, count(DISTINCT {{'o': source}}) AS owners, count(DISTINCT {{'o': source, 'd': doc_id}}) AS repositories FROM valid GROUP BY v
-), judged AS (
-  SELECT r, v, stop, CASE WHEN owners >= 5 AND repositories >= 5 THEN 'copied'
-    WHEN owners = 1 AND length(v) >= 12 AND regexp_matches(v, '[A-Za-z]') AND regexp_matches(v, '[0-9]')
-      AND len(list_distinct(string_split(v, ''))) >= 6 AND NOT regexp_matches(v, {_sql_text(credentials.PLACEHOLDER)}) THEN 'live' END AS kind
-  FROM valid JOIN owned USING (v)
-), spans AS (
-  SELECT r, kind, start, stop, true AS base FROM valid WHERE kind <> 'form'
-  UNION ALL SELECT DISTINCT r, kind, stop - length(v), stop, false FROM judged WHERE kind IS NOT NULL
-), ordered AS (
-  SELECT *, list_position(['assign', 'access', 'hex', 'live', 'copied'], kind) AS k, kind || ':' || start || ':' || stop AS s FROM spans
-), texts AS (
-  SELECT r, count(*) FILTER (base AND kind = 'assign') AS n_assign, count(*) FILTER (base AND kind = 'access') AS n_access,
-         count(*) FILTER (base AND kind = 'hex') AS n_hex, string_agg(s, ',' ORDER BY start, k) FILTER (base) AS base_spans,
-         string_agg(s, ',' ORDER BY start, k, stop) AS spans FROM ordered GROUP BY r
-)
-SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
-       sha256(coalesce(base_spans, '')) AS base_sha256, coalesce(spans, '') AS spans
-FROM docs LEFT JOIN texts USING (r)
-"""
-
-#: DuckDB SQL over the same tables. Queries without an entry are held to brute force in tests/llm.
-CHECKS: dict[str, str] = {"op1_url_filters": _OP1, "op12_regular_sampling_resampling": _OP12, "op13_ownership_secret_scan": _OP13}
