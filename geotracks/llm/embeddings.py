@@ -2,8 +2,10 @@
 
 In each pass vectors are ordered by label and by 63 concatenated random sign hashes. Every vector
 is compared with its neighbours in that order, a window of ``WINDOW`` to twice as many. Links of
-all passes give components. The number of passes follows from the largest label's size, so that
-a pair at the threshold is missed by all passes with a probability of about ``MISS``.
+all passes give components. The number of passes follows from how crowded the labels are, as
+measured over all rows, so that a pair at the threshold is missed by all passes with a probability
+of about ``MISS``, also where a label's vectors have a common direction. More passes are then
+needed: their number grows with the bits that a label's vectors share.
 
 Link counts are exact within each component, whatever the windows saw: vectors within half the
 threshold's angle of the component's first vector are all linked with one another, so these are
@@ -31,6 +33,8 @@ from geotracks.session import materialize
 
 THRESHOLD = 0.93
 WINDOW = 64
+#: Orders in which crowding is measured.
+TRIALS = 3
 MISS = 1e-4
 BLOCK = 256
 BITS = 63
@@ -49,13 +53,61 @@ def valid_vectors(column: pa.Array) -> list[np.ndarray | None]:
     return out
 
 
-def passes_for(n: int, threshold: float = THRESHOLD) -> int:
-    """Passes over ``n`` vectors of one label that miss a pair at the threshold with MISS."""
-    agree = 1 - math.acos(threshold) / math.pi
-    hit = agree ** max(0.0, math.log2(max(n, 1) / WINDOW))
+def passes_for(hit: float) -> int:
+    """Passes that all miss a pair with MISS, if one finds it with the probability ``hit``."""
     return max(4, math.ceil(math.log(MISS) / math.log(1 - min(hit, 0.9))))
 
 
+def _measured_hit(classes: DataFrame, threshold: float, seed: int) -> float:
+    """The chance of one pass to bring a pair at the threshold together, in the label with the least.
+
+    Two vectors come as near in the order as those a window apart do if they agree on the bits on
+    which these agree. Random planes agree on a pair at the threshold with a known chance for each
+    bit, however crowded its label is; how many bits must agree is measured over all rows, in
+    ``TRIALS`` orders of keys alone.
+    """
+    agree = 1 - math.acos(threshold) / math.pi
+    label = classes.schema["_label"].dataType.simpleString()
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        planes: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for size in pc.unique(batch["size"]).to_pylist():
+                part = batch.filter(pc.equal(batch["size"], size))
+                for trial, key in enumerate(_sign_keys(part["vec"], size, TRIALS, seed + 1, planes)):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), trial, np.int32)), pa.array(key), part["_label"], part["size"]], names)
+
+    def crowding(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            held = batch if held is None else pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+            if len(held) > WINDOW:
+                near, far = held.slice(0, len(held) - WINDOW), held.slice(WINDOW)
+                same = pc.and_kleene(pc.and_kleene(pc.equal(near["trial"], far["trial"]), pc.equal(near["size"], far["size"])), pc.equal(near["_label"], far["_label"]))
+                differ = (near["key"].to_numpy() ^ far["key"].to_numpy()).astype(np.float64)
+                bits = BITS - np.ceil(np.log2(differ + 1))
+                yield pa.RecordBatch.from_arrays([near["_label"], near["size"], pa.array(agree**bits)], ["_label", "size", "hit"]).filter(same)
+                held = far
+
+    names = ["trial", "key", "_label", "size"]
+    keyed = classes.select("_label", "size", "vec").mapInArrow(keys, f"trial int, key long, _label {label}, size int")
+    order = ["trial", "size", "_label", "key"]
+    ranged = keyed.repartitionByRange(*order).sortWithinPartitions(*order)
+    hits = ranged.mapInArrow(crowding, f"_label {label}, size int, hit double")
+    # the most crowded quarter of a label's rows is what counts
+    least = hits.groupBy("_label", "size").agg(F.percentile_approx("hit", 0.25, 1000).alias("hit")).agg(F.min("hit")).first()[0]
+    return 0.9 if least is None else least
+
+
+def _sign_keys(vectors: pa.Array, size: int, passes: int, seed: int, planes: dict) -> Iterator[np.ndarray]:
+    """For each pass the keys of vectors of one size: the signs against BITS random planes."""
+    if size not in planes:
+        planes[size] = np.random.default_rng([seed, size]).normal(size=(size // 8, passes * BITS))
+    bits = _matrix(vectors) @ planes[size] > 0
+    for p in range(passes):
+        yield bits[:, p * BITS : (p + 1) * BITS] @ (1 << np.arange(BITS - 1, -1, -1, dtype=np.int64))
+
+
 def _clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         vectors = valid_vectors(batch["_vector"])
@@ -76,8 +128,7 @@ def link(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddin
     classes = rows.where("vec is not null").groupBy("print").agg(F.min("_id").alias("least"), F.count("*").alias("weight"), F.first("_label").alias("_label"), F.first("vec").alias("vec"))
     # vectors of different sizes are never compared
     classes = materialize(classes.withColumn("size", F.octet_length("vec")).withColumn("cls", F.monotonically_increasing_id()))
-    largest = classes.groupBy("_label", "size").count().agg(F.max("count")).first()[0] or 0
-    edges = _window_links(classes, passes_for(largest, threshold), threshold, seed)
+    edges = _window_links(classes, passes_for(_measured_hit(classes, threshold, seed)), threshold, seed)
     roots = materialize(components(edges).withColumnRenamed("node", "cls"))
     counts = _counts(classes, roots, threshold)
     known = classes.join(roots, "cls", "left").join(counts, "cls", "left").select(
@@ -101,11 +152,7 @@ def _window_links(classes: DataFrame, passes: int, threshold: float, seed: int)
         for batch in batches:
             for size in pc.unique(batch["size"]).to_pylist():
                 part = batch.filter(pc.equal(batch["size"], size))
-                if size not in planes:
-                    planes[size] = np.random.default_rng([seed, size]).normal(size=(size // 8, passes * BITS))
-                bits = _matrix(part["vec"]) @ planes[size] > 0
-                for p in range(passes):
-                    key = bits[:, p * BITS : (p + 1) * BITS] @ (1 << np.arange(BITS - 1, -1, -1, dtype=np.int64))
+                for p, key in enumerate(_sign_keys(part["vec"], size, passes, seed, planes)):
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), p, np.int32)), pa.array(key), *(part[c] for c in ("_label", "size", "cls", "vec"))], names)
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
