@@ -12,8 +12,8 @@ so a part of any size is no long task, and each block returns at most k rows of
 
 Vectors that are null, zero, or hold null or non-finite components take no part, as queries
 neither. Vectors of another size than the query's are no candidates. Equal scores are ordered by
-id. Repeated rows with one id count once, and a query never finds its own id. An empty table
-gives no rows.
+id. Rows that repeat an id are vectors of their own, as queries and as candidates; a query never
+finds its own row. Rows without an id take no part. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -144,7 +144,7 @@ def fit(x: np.ndarray, rows: int, k: int, recall: float = RECALL) -> Router:
 def _clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         body = [v.tobytes() if v is not None else None for v in valid_vectors(batch["_vector"])]
-        yield pa.RecordBatch.from_arrays([batch["_id"], pa.array(body, pa.binary())], ["_id", "vec"])
+        yield pa.RecordBatch.from_arrays([batch["_row"], batch["_id"], pa.array(body, pa.binary())], ["_row", "_id", "vec"])
 
 
 def search(vectors: DataFrame, queries, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", sample: int = SAMPLE) -> DataFrame:
@@ -153,15 +153,15 @@ def search(vectors: DataFrame, queries, k: int = 20, id_col: str = "vec_id", vec
     ``queries``: a function from the id's column to a condition.
     """
     spark = vectors.sparkSession
-    named = vectors.select(F.col(id_col).cast("long").alias("_id"), F.col(vector_col).alias("_vector"))
-    rows = named.mapInArrow(_clean, "_id long, vec binary").where("vec is not null and _id is not null")
-    rows = materialize(rows.groupBy("_id").agg(F.min("vec").alias("vec")).withColumn("size", F.octet_length("vec")))
+    named = vectors.select(F.monotonically_increasing_id().alias("_row"), F.col(id_col).cast("long").alias("_id"), F.col(vector_col).alias("_vector"))
+    rows = named.mapInArrow(_clean, "_row long, _id long, vec binary").where("vec is not null and _id is not null")
+    rows = materialize(rows.withColumn("size", F.octet_length("vec")))
     routers: dict[int, Router] = {}
     # one index for each vector size; a table has one size unless rows are broken
     for size, n in [(r["size"], r["count"]) for r in rows.groupBy("size").count().orderBy(F.desc("count")).limit(8).collect()]:
         share = min(1.0, sample / n)
-        # a hash of the id picks about ``sample`` vectors, so the driver gets a bounded table
-        picked = rows.where((F.col("size") == size) & (F.pmod(F.xxhash64("_id", F.lit(5)), F.lit(1 << 30)) < share * (1 << 30))).toArrow().sort_by("_id")
+        # a hash of the row's number picks about ``sample`` vectors, so the driver gets a bounded table
+        picked = rows.where((F.col("size") == size) & (F.pmod(F.xxhash64("_row", F.lit(5)), F.lit(1 << 30)) < share * (1 << 30))).toArrow().sort_by("_row")
         if picked.num_rows:
             routers[size] = fit(np.stack([np.frombuffer(v.as_buffer()) for v in picked["vec"]]), n, k)
     shared = spark.sparkContext.broadcast(routers)
@@ -182,19 +182,19 @@ def search(vectors: DataFrame, queries, k: int = 20, id_col: str = "vec_id", vec
 
         return run
 
-    schema = "_id long, vec binary, size int, part long"
-    packed = F.collect_list(F.struct("_id", "vec"))
+    schema = "_row long, _id long, vec binary, size int, part long"
+    packed = F.collect_list(F.struct("_row", "_id", "vec"))
 
     def blocks(table: DataFrame, rows_each: int, name: str) -> DataFrame:
         table = materialize(table)
         sizes = table.groupBy("size", "part").agg(F.ceil(F.count("*") / rows_each).alias("_blocks"))
-        cut = table.join(sizes, ["size", "part"]).withColumn("_block", F.pmod(F.hash("_id"), "_blocks"))
+        cut = table.join(sizes, ["size", "part"]).withColumn("_block", F.pmod(F.hash("_row"), "_blocks"))
         return cut.groupBy("size", "part", "_block").agg(packed.alias(name)).drop("_block")
 
     asked = blocks(rows.where(queries(F.col("_id"))).mapInArrow(route(True), schema), QUERIES, "asked")
     held = blocks(rows.mapInArrow(route(False), schema), BLOCK, "held")
-    found = asked.join(held, ["size", "part"]).select("asked", "held").mapInArrow(_nearest(k), "query_id long, vec_id long, score double")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = asked.join(held, ["size", "part"]).select("asked", "held").mapInArrow(_nearest(k), "query_row long, query_id long, vec_id long, score double")
+    best = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", F.col("vec_id").alias(id_col), "score")
 
 
@@ -206,17 +206,17 @@ def _nearest(k: int):
     """The k best of each query among all blocks that a task meets, so few rows are shuffled."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        kept: list[tuple[np.ndarray, ...]] = []
         for batch in batches:
             for asked, held in zip(batch["asked"], batch["held"]):
-                (q, x), (ids, y) = _block(asked), _block(held)
+                (rows, q, x), (others, ids, y) = _block(asked), _block(held)
                 scores = x @ y.T
-                scores[q[:, None] == ids[None]] = -np.inf
+                scores[rows[:, None] == others[None]] = -np.inf
                 n = min(k, len(ids))
                 # all that reach the k-th score, so ties go to the smaller id
                 limit = -np.partition(-scores, n - 1, axis=1)[:, n - 1]
                 i, j = np.nonzero((scores >= limit[:, None]) & np.isfinite(scores))
-                kept.append(_best([(q[i], ids[j], scores[i, j])], k))
+                kept.append(_best([(rows[i], q[i], ids[j], scores[i, j])], k))
                 if sum(len(x[0]) for x in kept) >= HELD_ANSWERS:
                     kept = [_best(kept, k)]
                     # as many queries as fill half of it go out; the window takes the rest
@@ -228,19 +228,19 @@ def _nearest(k: int):
     return run
 
 
-def _best(found: list[tuple[np.ndarray, np.ndarray, np.ndarray]], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of (queries, ids, scores) the k best of each query."""
-    q, ids, scores = (np.concatenate(x) for x in zip(*found))
-    order = np.lexsort((ids, -scores, q))
-    q, ids, scores = q[order], ids[order], scores[order]
-    top = np.arange(len(q)) - np.searchsorted(q, q) < k
-    return q[top], ids[top], scores[top]
+def _best(found: list[tuple[np.ndarray, ...]], k: int) -> tuple[np.ndarray, ...]:
+    """Of (query rows, query ids, ids, scores) the k best of each query's row."""
+    rows, q, ids, scores = (np.concatenate(x) for x in zip(*found))
+    order = np.lexsort((ids, -scores, rows))
+    rows, q, ids, scores = rows[order], q[order], ids[order], scores[order]
+    top = np.arange(len(rows)) - np.searchsorted(rows, rows) < k
+    return rows[top], q[top], ids[top], scores[top]
 
 
-def _answers(found: tuple[np.ndarray, np.ndarray, np.ndarray]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(x) for x in found], ["query_id", "vec_id", "score"])
+def _answers(found: tuple[np.ndarray, ...]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in found], ["query_row", "query_id", "vec_id", "score"])
 
 
-def _block(rows: pa.ListScalar) -> tuple[np.ndarray, np.ndarray]:
+def _block(rows: pa.ListScalar) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     held = rows.values
-    return held.field("_id").to_numpy(), np.stack([np.frombuffer(v.as_buffer()) for v in held.field("vec")])
+    return held.field("_row").to_numpy(), held.field("_id").to_numpy(), np.stack([np.frombuffer(v.as_buffer()) for v in held.field("vec")])

@@ -105,6 +105,54 @@ def test_ann(spark):
     assert ann.search(table.limit(0), lambda c: c % 20 == 0).count() == 0
 
 
+def test_ann_takes_rows_that_share_an_id_apart(spark):
+    """Ties go to smaller ids, equal rows find one another, and each row of an id is asked."""
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 1.0]), (7, [1.0, 0.0]), (7, [0.0, 2.0]), (3, [1.0, 0.0]), (None, [9.0, 9.0])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in ann.search(table, lambda c: c % 20 == 0, 2).collect())
+    # the first row of id 0 meets 3 and 7 at 1.0, the second one meets 7 at 2.0, then 0, 3 and 7 at 0.0
+    assert got == [(0, 1, 3, 1.0), (0, 1, 7, 2.0), (0, 2, 0, 0.0), (0, 2, 7, 1.0)]
+
+
+def test_ann_routes_to_a_few_parts(spark, monkeypatch):
+    """On clustered vectors most parts are left out, and nine neighbours of ten are found."""
+    draw = np.random.default_rng(8)
+    centres = draw.normal(size=(60, 12)) * 3
+    x = np.concatenate([c + draw.normal(size=(50, 12)) for c in centres])
+    monkeypatch.setattr(ann, "PART_ROWS", 100)
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    routers = []
+    fit = ann.fit
+    monkeypatch.setattr(ann, "fit", lambda *a: routers.append(fit(*a)) or routers[-1])
+    got = ann.search(table, lambda c: c % 20 == 0, 20).collect()
+    d = x @ x.T
+    np.fill_diagonal(d, -np.inf)
+    hits = sum(r.vec_id in np.argsort(-d[r.query_id], kind="stable")[:20] for r in got)
+    assert len(got) == 20 * 150 and hits / len(got) >= 0.9
+    parts = routers[0].second.shape[1]
+    assert parts >= 16 and routers[0].probes < parts / 2
+
+
+@pytest.mark.parametrize("common", [0.0, 0.8, 0.9])
+def test_embeddings_with_a_common_direction(spark, common):
+    """Pairs just above the threshold are found however much all vectors of a label agree."""
+    draw = np.random.default_rng(6)
+    unit = lambda v: v / np.linalg.norm(v, axis=-1, keepdims=True)
+    axis = unit(draw.normal(size=48))
+    around = draw.normal(size=(1400, 48))
+    around = unit(around - (around @ axis)[:, None] * axis)
+    x = common**0.5 * axis + (1 - common) ** 0.5 * around
+    noise = draw.normal(size=(100, 48))
+    noise = unit(noise - (noise * x[:100]).sum(axis=1, keepdims=True) * x[:100])
+    x = np.concatenate([x, 0.935 * x[:100] + (1 - 0.935**2) ** 0.5 * noise])
+    table = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: r.n_links for r in embeddings.link(table).collect()}
+    linked = unit(x) @ unit(x).T >= 0.93
+    want = linked.sum(axis=1) - 1
+    assert want[:100].min() >= 1
+    assert sum(min(got[i], n) for i, n in enumerate(want)) >= 0.99 * want.sum() and all(got[i] <= n for i, n in enumerate(want))
+
+
 def test_embeddings(spark):
     draw = np.random.default_rng(4)
     base = draw.normal(size=(6, 16))
