@@ -74,8 +74,10 @@ class Model:
         for k, w in zip(WIDTHS, self.filters):
             z = sum(x[i : len(x) - k + 1 + i] @ w[i] for i in range(k))
             starts = first[:-1]
-            # three pads end each text, so windows span no two texts, and any text, an empty one
-            # too, reaches the value 0
+            # three pads end each text, so any text, an empty one too, reaches the value 0; windows
+            # that begin at the last two would reach into the next text
+            for last in (1, 2):
+                z[(first[1:] - last)[first[1:] - last < len(z)]] = 0
             values.append(np.maximum.reduceat(z, starts, axis=0) if n else np.empty((0, FILTERS), np.float32))
             if places:
                 at.append(np.stack([a + z[a : min(b, len(z))].argmax(axis=0) for a, b in zip(first, first[1:])]))
