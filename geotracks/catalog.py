@@ -263,6 +263,18 @@ def flag_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flags.flag(_stored(spark, sf_dir).areas.table, ids, "area_id")
 
 
+@register
+def flag_listed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The survey's own lists on parcels named after the customers' numbers."""
+    named = fx.table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("fid"),
+        F.concat(F.lit("GOR-4-2-"), F.col("c_custkey") % 9).alias("area_id"),
+        F.concat(F.lit("SAK-1-4-1-"), F.col("c_custkey") % 15).alias("plot_id"),
+        F.lit(0).alias("clazz"),
+    )
+    return flags.flag(flags.flag(named, flags.EXCLUDED_PLOTS, "plot_id"), flags.EXCLUDED_AREAS, "area_id", 2)
+
+
 @register
 def area_plot_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = _stored(spark, sf_dir)

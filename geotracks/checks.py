@@ -7,11 +7,13 @@ of points, merges by windows over the source rows. Meant for small scale factors
 from __future__ import annotations
 
 from geotracks.fixtures import CHECK_SQL
+from geotracks.operators.flags import EXCLUDED_AREAS, EXCLUDED_PLOTS
 
 _RING_METRES = "6378137.0"
 _MX = f"{_RING_METRES} * radians({{0}})"
 _MY = f"{_RING_METRES} * ln(tan(pi() / 4 + radians({{0}}) / 2))"
 
+# Patterns of the names of areas and plots.
 _AREA = "regexp_matches(name, '^.{3}-[0-9]+-[0-9]+-[0-9]+$', 's')"
 _PLOT = "regexp_matches(name, '^.{3}-[0-9]+-[0-9]+-[0-9]+-[0-9]+$', 's')"
 _AREA_KEY = "nullif(regexp_extract(name, '^.{3}-[0-9]+-[0-9]+-[0-9]+', 0, 's'), '')"
@@ -269,6 +271,10 @@ def _upsert(kind: str, columns: str, listed: str) -> str:
     )
 
 
+def _listed(ids: list[str]) -> str:
+    return ", ".join(f"'{i}'" for i in dict.fromkeys(ids))
+
+
 def _flag(kind: str, columns: str, listed: str) -> str:
     return (
         _with("state", listed)
@@ -335,6 +341,7 @@ _BOUNDARY = f"""SELECT CAST(ogc_fid AS BIGINT) AS ogc_fid, status, CAST(str_year
   CAST(shape_leng AS DOUBLE) AS shape_leng, CAST(shape_area AS DOUBLE) AS shape_area,
   minx, miny, maxx, maxy
 FROM fx_boundaries WHERE {_BOUNDARY_OK}"""
+# Texts of the report.
 _PROPERTY = (
     "'<ul><li><p><font color=\"green\">Property <b>{0}</b> has value <b>' || {1}"
     " || '</b></font></p></li></ul>'"
@@ -393,6 +400,9 @@ CHECKS: dict[str, str] = {
     "plot_polygon_vertices": _polygon_vertices("plot"),
     "flag_plots": _flag("plot", "fid, area_id, name AS plot_id", "fx_exclude_plots"),
     "flag_areas": _flag("area", "fid, name AS area_id", "fx_exclude_areas"),
+    "flag_listed": f"""SELECT fid, area_id, plot_id, CAST(CASE WHEN area_id IN ({_listed(EXCLUDED_AREAS)}) THEN 2
+             WHEN plot_id IN ({_listed(EXCLUDED_PLOTS)}) THEN 1 ELSE 0 END AS INTEGER) AS clazz
+           FROM (SELECT c_custkey AS fid, 'GOR-4-2-' || c_custkey % 9 AS area_id, 'SAK-1-4-1-' || c_custkey % 15 AS plot_id FROM customer)""",
     "area_plot_reconcile": _with("convex")
     + """SELECT area_id, round(hectares, 3) AS hectares, round(plot_sum, 3) AS plot_sum,
            round(hectares - plot_sum, 3) AS difference
