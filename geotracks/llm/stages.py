@@ -1,7 +1,9 @@
 """The stages of the corpus pipeline: (spark, docs, sf_dir) to a DataFrame.
 
 All but the last return the columns that they get. Extra columns pass through; columns that begin
-with an underscore are the operators' own.
+with an underscore are the operators' own. An empty table gives an empty one. Null and empty texts:
+toxicity scores them like texts without words, language rejects them as they hold no trigram, near
+dedup keeps each of them, mixing drops what has no words, and BPE encodes them to no ids.
 """
 
 from __future__ import annotations

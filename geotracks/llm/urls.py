@@ -79,7 +79,9 @@ def judge(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col:
         .mapInArrow(_sweep, "uid long, key string, range int, rule string, verdict string")
     )
     begins = swept.groupBy("range").agg(F.min("key").alias("first"))
-    heads = begins.select("range", F.explode(F.transform(F.sequence(F.lit(1), F.length("first")), lambda i: F.substring(F.col("first"), F.lit(1), i))).alias("head"))
+    # only prefixes as long as a rule's key can be one: they are few, however long the url is
+    lengths = [n for (n,) in known.select(F.length("key")).distinct().collect()]
+    heads = begins.select("range", F.explode(F.array(*(F.substring("first", 1, n) for n in lengths)).cast("array<string>")).alias("head")).distinct()
     carried = heads.join(known.select(F.col("key").alias("head"), F.col("rule").alias("late"), F.col("verdict").alias("late_verdict")), "head")
     late = swept.where("rule is null").select("uid", "key", "range").join(carried, "range").where(F.expr("startswith(key, head)"))
     found = swept.where("rule is not null").select("uid", "rule", "verdict").unionByName(

@@ -35,6 +35,7 @@ def test_urls(spark):
     rows = [
         (1, "http://a.ORG/x"), (2, "https://x.example.org/es/1?q"), (3, "http://example.org/en/12#a"), (4, "http://notexample.org/es/"),
         (5, "http://a.com/de/1"), (6, "http://com/fr/"), (7, "http://a.com/en"), (8, None), (9, "no scheme"), (10, "http://org"), (1, "http://a.ORG/x"),
+        (11, "http://a.org/" + "x" * 100_000), (12, "http://" + "a." * 300 + "com/de/x"),
     ]
     pages = spark.createDataFrame(rows, "page_id long, url string").selectExpr("*", "1 as key", "'x' as rule", "2 as uid")
     rules = spark.createDataFrame(urls.RULES, "verdict string, host string, path string")
@@ -50,6 +51,7 @@ def test_urls(spark):
         want.append((page, host, path, best[1], best[2]))
     assert got == sorted(want)
     assert urls.judge(pages.limit(0), rules).count() == 0
+    assert {r.verdict for r in urls.judge(pages, rules.limit(0)).collect()} == {"allow"}
 
 
 def test_mixing(docs):
