@@ -186,3 +186,25 @@ def test_cells_are_as_fine_as_the_resolution_allows(spark, resolution):
         assert [counts[k][0] for k in ("hot", "a", "b", "c", None)] == [900, 30, 2, 1, 40]
     if resolution == 40:
         assert counts["hot"][0] > 10
+
+
+def test_the_hull_query_digs_once_though_it_reads_its_rings_twice(spark):
+    from geotracks import catalog
+    from geotracks.plans.importer import Features
+
+    shape = u_shape(0.05)
+    points = spark.createDataFrame([(1, x, y) for x, y in shape], "fid long, x double, y double")
+    got = catalog._concave(Features(spark.range(1, 2).withColumnRenamed("id", "fid"), points))
+    assert "FlatMapGroupsInArrow" not in got._jdf.queryExecution().analyzed().toString()
+    assert [(r.fid, r.outside, r.ordered) for r in got.collect()] == [(1, 0, True)]
+
+
+def test_covers_with_boxed_edges(spark):
+    ring = [(0.0, 0.0), (4.0, 0.0), (4.0, 4.0), (2.0, 1.0), (0.0, 4.0)]
+    at = [(0.5 * i, 0.5 * j) for i in range(-1, 10) for j in range(-1, 10)] + [(3.0, 2.5), (3.0, 2.5 + 1e-9), (1e9, 0.0)]
+    shape = F.array(*[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x, y in ring])
+    df = spark.createDataFrame(at, "x double, y double")
+    got = {(r.x, r.y): r.kept for r in df.select("x", "y", geo.covers(shape, F.col("x"), F.col("y")).alias("kept")).collect()}
+    assert got == {p: in_ring(ring, p) if p[1] != 2.5 + 1e-9 else False for p in at}
+    null = spark.createDataFrame([(None, 1.0), (1.0, None)], "x double, y double")
+    assert {r[0] for r in null.select(geo.covers(shape, F.col("x"), F.col("y"))).collect()} == {None}
