@@ -413,3 +413,19 @@ def test_bounds_carry_the_reference_system(spark):
     assert layers.square_grid(layers.bounds(points.limit(0)), 1.0).columns[-1] == "srid"
     with pytest.raises(Exception, match="several reference systems"):
         layers.bounds(points.unionByName(points.withColumn("srid", F.lit(3857)))).collect()
+
+
+def test_report_lines_are_made_behind_the_exchange_and_as_xml(spark):
+    texts = [
+        "a b", "", " a ", "<b>&amp;</b>", "a\"b'c", "]]>", ">", "a]>b", "\n", "a\nb", "a\rb", "\t", "\x7f", "\u00e9\U0001f600", None, "x" * 5000 + "<>&", "y" + "<>&> " * 170, "y" + "<b>& " * 170,
+    ]
+    rows = [(i + 1, t, "#s", u, "1.0,2.0" if t else None) for i, (t, u) in enumerate((t, u) for t in texts for u in texts)]
+    marks = spark.createDataFrame(rows, "idx long, name string, styleUrl string, description string, coordinates string")
+    placemark = F.struct("name", "styleUrl", "description", F.struct("coordinates").alias("Point"))
+    xml = F.regexp_replace(F.to_xml(placemark, {"rowTag": "Placemark"}), r">\s*\n\s*<", "><")
+    want = marks.select("idx", F.regexp_replace(F.regexp_replace(xml, "\r", "&#13;"), "\n", "&#10;").alias("line"))
+    got = kml.report_lines(marks).where("place > 0")
+    assert {tuple(r) for r in got.collect()} == {tuple(r) for r in want.collect()}
+    plan = kml._in_order(marks)._jdf.queryExecution().analyzed().toString()
+    assert plan.index("to_xml") < plan.index("RepartitionByExpression")
+    assert plan.count("to_xml") == 1
