@@ -124,3 +124,24 @@ def test_a_track_of_one_point_is_rejected(spark):
     known = import_tracks(vertices(spark, [("ABC-1-2-3", [[(0, 0), (1, 0), (1, 1), (0, 0)]])]))
     again = import_tracks(vertices(spark, [("ABC-1-2-3", [[(5, 5)]])], src="b.gpx"), known.areas, known.plots)
     assert [(r.name, r.reason) for r in again.rejects.collect()] == [("ABC-1-2-3", "no line")]
+
+
+def test_stored_fresh_vertices_are_not_joined_again(spark):
+    batch = vertices(spark, [("AAA-1-1-1", [SQUARE]), ("AAA-1-1-1-1", [OPEN]), ("AAA-1-1-1-2", GAP)])
+    plain, stored = import_tracks(batch), import_tracks(batch, store_fresh=True)
+    plan = lambda df: df._jdf.queryExecution().analyzed().toString()
+    assert "Join" in plan(plain.fresh_vertices) and "Join" not in plan(stored.fresh_vertices)
+    for level in ("area", "plot"):
+        got, want = stored.level(level), plain.level(level)
+        assert table(got) == table(want)
+        assert sorted(map(tuple, got.vertices.collect())) == sorted(map(tuple, want.vertices.collect()))
+
+
+def test_tracks_of_a_session_are_staged_once(spark):
+    from conftest import SMALL
+    from geotracks import catalog
+
+    paths = [catalog._staged(spark, SMALL).inputFiles() for _ in range(2)]
+    assert paths[0] == paths[1] and paths[0]
+    plan = catalog.flag_areas(spark, SMALL)._jdf.queryExecution().analyzed().toString()
+    assert "Generate" not in plan
