@@ -80,20 +80,32 @@ def _special(path: str) -> list[str]:
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list, pa.Array, np.ndarray, np.ndarray]]:
     """(block, ids, distinct words by falling count, words of each text, their places)."""
-    held: list[pa.RecordBatch] = []
-    size = seq = 0
+    # of a text its words' places are held, and each word once; the texts themselves are not
+    ids, counts, coded, words = [], [], [], pa.array([], pa.string())
+    size = seq = part = 0
+
+    def hold(piece: pa.RecordBatch) -> None:
+        nonlocal words, part
+        part = piece["part"][0].as_py()
+        ids.extend(piece["_id"].to_pylist())
+        counts.append(pc.list_value_length(piece["words"]).to_numpy(zero_copy_only=False))
+        found = piece["words"].flatten().dictionary_encode()
+        at = np.array(pc.fill_null(pc.index_in(found.dictionary, value_set=words), -1))
+        fresh = at < 0
+        at[fresh] = len(words) + np.arange(fresh.sum())
+        words = pa.concat_arrays([words, found.dictionary.filter(pa.array(fresh))])
+        coded.append(at[found.indices.to_numpy()])
 
     def block():
-        number = (held[0]["part"][0].as_py() << 24) + seq
-        ids = [x for b in held for x in b["_id"].to_pylist()]
-        counts = np.concatenate([pc.list_value_length(b["words"]).to_numpy(zero_copy_only=False) for b in held])
-        coded = pa.chunked_array([b["words"].flatten() for b in held], pa.string()).dictionary_encode().combine_chunks()
-        held.clear()
-        places = coded.indices.to_numpy()
-        order = np.argsort(-np.bincount(places, minlength=len(coded.dictionary)), kind="stable")
+        nonlocal ids, counts, coded, words
+        places = np.concatenate(coded)
+        order = np.argsort(-np.bincount(places, minlength=len(words)), kind="stable")
         rank = np.empty(len(order), np.uint32)
         rank[order] = np.arange(len(order), dtype=np.uint32)
-        return number, ids, coded.dictionary.take(pa.array(order)), counts, rank[places]
+        found = (part << 24) + seq, ids, words.take(pa.array(order)), np.concatenate(counts), rank[places]
+        ids, counts, coded, words = [], [], [], pa.array([], pa.string())
+        pa.default_memory_pool().release_unused()
+        return found
 
     for batch in batches:
         if not len(batch):
@@ -103,13 +115,13 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list, pa.Arra
         begin = 0
         while begin < len(batch):
             end = min(len(batch), begin + 1 + int(np.searchsorted(upto[begin:], BLOCK_CHARS)))
-            held.append(batch.slice(begin, end - begin))
+            hold(batch.slice(begin, end - begin))
             if upto[end - 1] >= BLOCK_CHARS:
                 yield block()
                 seq, upto = seq + 1, upto - upto[end - 1]
             begin = end
         size = int(upto[-1])
-    if held:
+    if counts:
         yield block()
 
 

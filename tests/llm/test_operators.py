@@ -93,6 +93,38 @@ def test_bpe(docs, spark):
     assert bpe.encode(docs.limit(0), path).count() == 0
 
 
+@pytest.mark.parametrize("rows", [1, 3, 100])
+def test_bpe_blocks_hold_no_texts(monkeypatch, rows):
+    import pyarrow as pa
+
+    draw = np.random.default_rng(5)
+    texts = [[f"w{i}" for i in draw.integers(0, 30, n)] for n in [0, 4, 9, 1, 0, 7, 40, 2, 2, 11]]
+    names = ["_id", "chars", "words", "part"]
+    table = pa.table([range(10), [2 * len(t) for t in texts], pa.array(texts, pa.list_(pa.string())), [3] * 10], names)
+    monkeypatch.setattr(bpe, "BLOCK_CHARS", 30)
+    seen = []
+    for number, ids, words, counts, places in bpe._cut(iter(table.to_batches(max_chunksize=rows))):
+        assert number == (3 << 24) + len(seen) and len(set(words.to_pylist())) == len(words)
+        assert list(np.bincount(places, minlength=len(words))) == sorted(np.bincount(places, minlength=len(words)))[::-1]
+        flat = words.take(pa.array(places)).to_pylist()
+        cuts = np.concatenate(([0], np.cumsum(counts)))
+        seen.append([(i, flat[a:b]) for i, a, b in zip(ids, cuts, cuts[1:])])
+    assert [x for block in seen for x in block] == list(enumerate(texts))
+    assert len(seen) == 3
+
+    # what a block keeps of a batch in Arrow's memory is not the batch
+    def large():
+        begin = pa.total_allocated_bytes()
+        for part in range(20):
+            flat = pa.array([f"word {i % 50}" for i in range(100_000)])
+            yield pa.RecordBatch.from_arrays([pa.array([part]), pa.array([1]), pa.ListArray.from_arrays(pa.array([0, len(flat)], pa.int32()), flat), pa.array([3])], names)
+            held = pa.total_allocated_bytes() - begin
+            assert held < 4 * flat.nbytes
+
+    (block,) = bpe._cut(large())
+    assert len(block[2]) == 50 and len(block[4]) == 2_000_000
+
+
 def test_ann(spark):
     draw = np.random.default_rng(3)
     x = draw.normal(size=(400, 8)).astype(np.float32)
